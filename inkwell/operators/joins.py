@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a size check, with the shuffle join
+as the fallback beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
+    """Hint ``broadcast`` when the dimension has at most ``max_rows`` rows.
+
+    ``known_rows`` skips the check for dimensions built from literals (their
+    size is fixed by construction).  Otherwise the check is a ``limit(n+1)``
+    count, which stops as soon as the bound is exceeded; beyond the bound the
+    DataFrame is returned unhinted and Spark plans a shuffle join (AQE may
+    still convert it at run time from real statistics)."""
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
