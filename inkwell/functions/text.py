@@ -94,3 +94,12 @@ def split_sentences(col: Column) -> Column:
 def split_on_period(col: Column) -> Column:
     """Literal split on ``.`` keeping empty fragments (``str.split('.')``)."""
     return F.split(col, r"\.", -1)
+
+
+def explode_indexed(df, keys, array_col, pos: str = "pos", value: str = "value"):
+    """``posexplode`` without the inferred ``size(array) > 0`` pre-filter:
+    Catalyst would push that filter below the projection and evaluate an
+    expensive array expression twice.  ``posexplode_outer`` plus a filter on
+    the position keeps one evaluation (empty and null arrays yield no row)."""
+    out = df.select(*keys, F.posexplode_outer(array_col).alias(pos, value))
+    return out.where(F.col(pos).isNotNull())

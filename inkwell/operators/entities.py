@@ -10,6 +10,7 @@ weight column, never materialised repeats."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,15 +61,18 @@ def _dictionary(name_gender: DataFrame, provider: str, alias: str) -> DataFrame:
     return bounded_broadcast(d)
 
 
-def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFrame) -> DataFrame:
+def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFrame,
+                      dictionaries: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """D3: KB gender; if absent, the first dictionary (``mostly_*`` folded);
     if still not male/female, the second dictionary.  Adds ``first_name``,
     ``party`` (KB) and ``gender``."""
+    det_d, gz_d = dictionaries or (_dictionary(name_gender, "detector", "det_gender"),
+                                   _dictionary(name_gender, "genderize", "gz_gender"))
     kb = kb_wide.select(F.col("subject").alias("uri"), F.col("gender").alias("kb_gender"),
                         F.col("party").alias("party"))
     p = people.join(kb, "uri", "left").withColumn("first_name", first_name(F.col("label")))
-    p = p.join(_dictionary(name_gender, "detector", "det_gender"), "first_name", "left")
-    p = p.join(_dictionary(name_gender, "genderize", "gz_gender"), "first_name", "left")
+    p = p.join(det_d, "first_name", "left")
+    p = p.join(gz_d, "first_name", "left")
     det = (F.when(F.col("det_gender") == "mostly_female", "female")
            .when(F.col("det_gender") == "mostly_male", "male")
            .otherwise(F.coalesce(F.col("det_gender"), F.lit("unknown"))))
@@ -184,24 +188,29 @@ class Enrichment:
         self.typed = mentions_by_type(m)
         self.kb_wide = kb_lookup(kb_facts)
         self.name_gender = name_gender
+        self._dicts: tuple[DataFrame, DataFrame] | None = None
 
-    @property
+    @cached_property
     def people(self) -> DataFrame:
-        return gender_resolution(self.typed.where("is_person"), self.kb_wide, self.name_gender)
+        if self._dicts is None:
+            self._dicts = (_dictionary(self.name_gender, "detector", "det_gender"),
+                           _dictionary(self.name_gender, "genderize", "gz_gender"))
+        return gender_resolution(self.typed.where("is_person"), self.kb_wide, self.name_gender,
+                                 self._dicts)
 
-    @property
+    @cached_property
     def entries(self) -> DataFrame:
         return party_entries(self.people, self.typed)
 
-    @property
+    @cached_property
     def references(self) -> DataFrame:
         return party_references(self.entries)
 
-    @property
+    @cached_property
     def positions(self) -> DataFrame:
         return party_position(self.kb_wide)
 
-    @property
+    @cached_property
     def expanded(self) -> DataFrame:
         return position_expansion(self.entries, self.positions)
 

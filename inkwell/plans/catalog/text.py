@@ -1,3 +1,72 @@
-"""Catalog: text."""
+"""Sentences, lexicon sentiment, vocabulary."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkwell.functions import fields as B
+from inkwell.operators import sentiment as SO
+from inkwell.operators.vocab import top_vocab
+from inkwell.plans import oracles as O
+from inkwell.plans.catalog import register
+from inkwell.plans.oracle_sentiment import label_sql, split_sql, vader_ctes
+from inkwell.plans.standins import load_articles
+from inkwell.session import read_table
+
+
+def _combined(spark, sf):
+    return load_articles(spark, sf).select("doc_id", B.combined_text().alias("text"))
+
+
+SENTS_CTE = (f"sents_ AS (SELECT doc_id, generate_subscripts(sl, 1) - 1 AS sent_idx, unnest(sl) AS stext "
+             f"FROM (SELECT doc_id, {split_sql(O.COMBINED)} AS sl FROM articles))")
+
+
+@register("sentences", O.with_articles("SELECT doc_id, sent_idx, stext AS sentence FROM sents_", SENTS_CTE))
+def sentences_q(spark, sf):
+    return SO.sentences(_combined(spark, sf), "text", ["doc_id"])
+
+
+@register("lexicon_sentiment", O.with_articles(
+    "SELECT doc_id, sent_idx, compound FROM vader_out", SENTS_CTE + vader_ctes("sents_", ["doc_id", "sent_idx"])))
+def lexicon_sentiment_q(spark, sf):
+    return SO.lexicon_sentiment(_combined(spark, sf), "text", ["doc_id"]).select("doc_id", "sent_idx", "compound")
+
+
+TURNS = ("WITH turns_ AS (SELECT conv_id, turn, text AS stext FROM conversations)"
+         + vader_ctes("turns_", ["conv_id", "turn"]))
+
+
+@register("sentiment_mean", TURNS + " SELECT conv_id, avg(compound) AS sentiment_score, "
+          "count(*) AS n_segments FROM vader_out GROUP BY conv_id")
+def sentiment_mean_q(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return SO.sentiment_mean(conv, "text", ["conv_id"])
+
+
+@register("sentiment_label", TURNS + f" SELECT conv_id, turn, compound AS sentiment_score, "
+          f"{label_sql('compound')} AS sentiment_label FROM vader_out")
+def sentiment_label_q(spark, sf):
+    conv = read_table(spark, sf, "conversations")
+    return SO.article_sentiment(conv, "text", ["conv_id", "turn"], convert_to_sents=False) \
+        .select("conv_id", "turn", "sentiment_score", "sentiment_label")
+
+
+@register("article_sentiment", O.with_articles(
+    f"SELECT a.doc_id, count(v.compound) AS n_sentences, avg(v.compound) AS sentiment_score, "
+    f"{label_sql('avg(v.compound)')} AS sentiment_label "
+    f"FROM articles a LEFT JOIN vader_out v ON a.doc_id = v.doc_id GROUP BY a.doc_id",
+    SENTS_CTE + vader_ctes("sents_", ["doc_id", "sent_idx"])))
+def article_sentiment_q(spark, sf):
+    return SO.article_sentiment(_combined(spark, sf), "text", ["doc_id"])
+
+
+TOP_K = 100
+
+
+@register("top_vocab", f"""
+SELECT term, count(*) AS n FROM (
+  SELECT unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS term FROM documents)
+WHERE term <> '' GROUP BY term ORDER BY n DESC, term LIMIT {TOP_K}""")
+def top_vocab_q(spark, sf):
+    return top_vocab(read_table(spark, sf, "documents"), "text", TOP_K)

@@ -59,5 +59,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_TABLES: dict[tuple[int, str], object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table by name; the resolved DataFrame is memoised per session
+    so file listing and footer reads happen once per plan build."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
