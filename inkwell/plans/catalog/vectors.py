@@ -1,3 +1,76 @@
-"""Catalog: vectors."""
+"""Vectors on the ``embeddings`` table.
+
+Label vectors are the lowest ``vec_id`` row of each label."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from inkwell.operators import embeddings as V
+from inkwell.plans.catalog import register
+from inkwell.session import read_table
+
+TOP_N = 3
+
+
+def _emb(spark, sf):
+    return read_table(spark, sf, "embeddings")
+
+
+def _labels(spark, sf):
+    return V.label_vectors_by_min_id(_emb(spark, sf), "label", "embedding", "vec_id")
+
+
+@register("sentence_vectors", """
+SELECT label, CAST(i - 1 AS INTEGER) AS dim, avg(x) AS value FROM (
+  SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
+GROUP BY label, i""")
+def sentence_vectors_q(spark, sf):
+    return V.mean_pool(_emb(spark, sf), ["label"], "embedding")
+
+
+LV = "lv AS (SELECT label, arg_min(embedding, vec_id) AS lvec FROM embeddings GROUP BY label)"
+
+
+@register("zero_shot_labels", f"""
+WITH {LV},
+sims AS (SELECT e.vec_id, lv.label,
+           list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(lv.lvec AS DOUBLE[])) AS sim
+         FROM embeddings e CROSS JOIN lv),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, label) AS rk FROM sims)
+SELECT vec_id, CAST(rk AS INTEGER) AS rank, label, round(sim, 5) AS similarity FROM r WHERE rk <= {TOP_N}""")
+def zero_shot_labels_q(spark, sf):
+    out = V.zero_shot_labels(_emb(spark, sf), "vec_id", "embedding", _labels(spark, sf), "label",
+                             "embedding", top_n=TOP_N)
+    return out.withColumn("similarity", F.round("similarity", 5))
+
+
+@register("label_similarity", f"""
+WITH {LV},
+sims AS (SELECT a.label AS label_a, b.label AS label_b,
+           list_cosine_similarity(CAST(a.lvec AS DOUBLE[]), CAST(b.lvec AS DOUBLE[])) AS sim
+         FROM lv a CROSS JOIN lv b),
+r AS (SELECT *, row_number() OVER (PARTITION BY label_a ORDER BY sim DESC, label_b) AS rk FROM sims)
+SELECT label_a, CAST(rk AS INTEGER) AS rank, label_b, round(sim, 5) AS similarity FROM r""")
+def label_similarity_q(spark, sf):
+    labels = _labels(spark, sf)
+    return V.label_similarity(labels, "label", "embedding").withColumn("similarity", F.round("similarity", 5))
+
+
+def _xy(spark, sf):
+    """X = each embedding, Y = the label vector of its label."""
+    lab = _labels(spark, sf).select("label", F.col("embedding").alias("target"))
+    return _emb(spark, sf).join(F.broadcast(lab), "label")
+
+
+@register("fit_projection")
+def fit_projection_q(spark, sf):
+    z = V.fit_projection(_xy(spark, sf), "embedding", "target")
+    return V.projection_frame(spark, z)
+
+
+@register("apply_projection")
+def apply_projection_q(spark, sf):
+    z = V.fit_projection(_xy(spark, sf), "embedding", "target")
+    return V.zero_shot_labels(_emb(spark, sf), "vec_id", "embedding", _labels(spark, sf), "label",
+                              "embedding", top_n=TOP_N, z=z)
