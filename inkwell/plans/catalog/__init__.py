@@ -28,4 +28,4 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every catalog module (each registers on import)."""
     from inkwell.plans.catalog import (composite, entities, evaluation,  # noqa: F401
-                                       fields, labels, sources, text, vectors)
+                                       fields, labels, models, sources, text, vectors)
