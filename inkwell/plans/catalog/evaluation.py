@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fields as B
 from inkwell.functions import sentiment as S
 from inkwell.operators import evaluation as G
+from inkwell.operators.classifier import split_bucket
 from inkwell.operators.entailment import entailment_labels
 from inkwell.operators.labelling import boolean_categories
 from inkwell.plans import oracles as O
@@ -22,10 +23,6 @@ from inkwell.session import read_table
 TOXIC_TERMS = ["idiot", "stupid", "worthless", "trash"]
 
 
-def split_bucket(key):
-    return ((key % 1000003) * 7919 + 13) % 100
-
-
 def _reviews(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     lab = read_table(spark, sf, "labels").select("doc_id", "quality", "toxic")

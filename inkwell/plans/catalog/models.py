@@ -49,3 +49,52 @@ def entailment_bucket_q(spark, sf):
     p = F.col("t.p")
     return long.select("doc_id", F.col("t.topic").alias("topic"), p.alias("p"),
                        entailment_percent(p).alias("percent"), entailment_bucket(p).alias("bucket"))
+
+
+# ---------------------------------------------------------------------------
+# Spark ML on documents x labels (rows-only checks)
+# ---------------------------------------------------------------------------
+from inkwell.operators import classifier as CL  # noqa: E402
+from inkwell.session import read_table, scratch_path  # noqa: E402
+
+
+def _labelled(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return docs.join(read_table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
+
+
+@register("train_text_classifier")
+def train_text_classifier_q(spark, sf):
+    _model, report = CL.train_text_classifier(_labelled(spark, sf), "doc_id", "text", "toxic")
+    return report
+
+
+@register("grid_search")
+def grid_search_q(spark, sf):
+    return CL.grid_search(_labelled(spark, sf), "doc_id", "text", "toxic")
+
+
+@register("model_artifact")
+def model_artifact_q(spark, sf):
+    data = _labelled(spark, sf).select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
+    train, test = CL.train_test_split(data, "doc_id")
+    model = CL.text_pipeline().fit(train)
+    path = scratch_path(spark, "model")
+    CL.save_model(model, path)
+    reloaded = CL.load_model(path)
+    a = model.transform(test).select("doc_id", F.col("prediction").alias("prediction"))
+    b = reloaded.transform(test).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
+    return a.join(b, "doc_id").withColumn("same", F.col("prediction") == F.col("reloaded_prediction"))
+
+
+SARCASM_RULE = ["!", "idiot", "stupid"]
+
+
+@register("article_sarcasm", O.with_articles(
+    "SELECT doc_id, count(*) AS n_fragments, avg(CASE WHEN " + " OR ".join(
+        f"contains(lower(frag), {O.q(t)})" for t in SARCASM_RULE)
+    + f" THEN 1.0 ELSE 0.0 END) AS sarcasm_score FROM (SELECT doc_id, unnest(string_split(c, '.')) AS frag "
+      f"FROM (SELECT doc_id, {O.COMBINED} AS c FROM articles) WHERE c IS NOT NULL) GROUP BY doc_id"))
+def article_sarcasm_q(spark, sf):
+    arts = load_articles(spark, sf).select("doc_id", B.combined_text().alias("text"))
+    return CL.article_sarcasm(arts, "doc_id", "text", scorer=CL.rule_scorer(SARCASM_RULE))
