@@ -99,6 +99,12 @@ def rule_scorer(terms: Sequence[str]) -> Callable[[Column], Column]:
     return score
 
 
+def sarcasm_score(text: Column, scorer: Callable[[Column], Column]) -> Column:
+    """In-row mean of fragment scores over the ``.``-split text."""
+    preds = F.transform(split_on_period(text), scorer)
+    return F.aggregate(preds, F.lit(0.0), lambda a, x: a + x) / F.size(preds)
+
+
 def article_sarcasm(df: DataFrame, key: str, text: str, scorer: Callable[[Column], Column] | None = None,
                     model: PipelineModel | None = None, drop_blank: bool = False) -> DataFrame:
     """``.``-split fragments (blanks kept unless ``drop_blank``), one 0/1

@@ -125,3 +125,25 @@ def entity_uri_labels(articles: DataFrame, mentions: DataFrame,
         "*", F.array(*[F.col(n) for n in names]).alias("entity_flags"),
         F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
                           F.array(*[F.col(n) for n in names])).alias("entity_map"))
+
+
+# ---------------------------------------------------------------------------
+# One pass over tagger output for every per-article label (used by H1)
+# ---------------------------------------------------------------------------
+def mention_label_aggregates(mentions: DataFrame,
+                             categories: Mapping[str, Mapping[str, Sequence[str]]] = CATEGORY_KEYWORDS,
+                             entities: Sequence[tuple[str, str]] = FOOTBALL_TEAMS,
+                             key: str = "article_key") -> DataFrame:
+    """Keyword hits (should / should_not per category) over tagger labels
+    and entity URI hits, in a single partial aggregation per article."""
+    lab = tagger_labels(mentions)
+    low_label = F.lower(F.col("tag_label"))
+    low_uris = F.lower(F.concat_ws(" ", "tag_uris"))
+    flags = []
+    for c in _category_flags(low_label, categories, "m_"):
+        flags.append(c)
+    per_row = lab.select(F.col("article_key").alias(key), *flags,
+                         *[low_uris.contains(uri.lower()).alias(name) for name, uri in entities])
+    aggs = [F.max(F.col(f"m_{n}__{k}")).alias(f"m_{n}__{k}") for n in categories for k in ("s", "n")]
+    aggs += [F.max(F.col(name)).alias(name) for name, _ in entities]
+    return per_row.groupBy(key).agg(*aggs)

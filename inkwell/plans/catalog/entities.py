@@ -30,7 +30,7 @@ SCORE_SQL = "CASE " + " ".join(
 SLUG_SQL = "CASE " + " ".join(f"WHEN contains(lower(party_uri), {O.q(s)}) THEN {O.q(s)}"
                               for s in POLITICAL_PARTIES) + " END"
 
-ENTITY_CTES = O.MENTIONS_CTE + "," + O.KB_CTE + "," + O.NAME_GENDER_CTE + f""",
+ENTITY_BODY = f"""
 typed AS (
   SELECT *, list_contains(coalesce(types, []::VARCHAR[]), {O.q(PERSON_TYPE)}) AS is_person,
     list_contains(coalesce(types, []::VARCHAR[]), {O.q(POLITICAL_PARTY_TYPE)}) AS is_party,
@@ -117,7 +117,7 @@ feat AS (
   LEFT JOIN flags ON o.article_key = flags.article_key
   LEFT JOIN ppl ON o.article_key = ppl.article_key
 )"""
-SCORE_SQL_P = SCORE_SQL
+ENTITY_CTES = O.MENTIONS_CTE + "," + O.KB_CTE + "," + O.NAME_GENDER_CTE + "," + ENTITY_BODY
 
 
 def E(body: str) -> str:
