@@ -31,10 +31,29 @@ EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
 MAX_LEXICON_TERMS = 1_000_000
 
 
-def lexicon_map(lexicon: Mapping[str, float] | DataFrame | None = None) -> Column:
+class Lexicon:
+    """A bounded valence table as a literal map plus its key set; ``isin``
+    on the key set is planned as a hash set (InSet), so the linear map probe
+    only runs for tokens that are in the lexicon."""
+
+    def __init__(self, terms: list[str], values: list[float]):
+        self.terms = terms
+        self.map = F.map_from_arrays(F.array(*[F.lit(k) for k in terms]),
+                                     F.array(*[F.lit(v) for v in values]))
+
+    def lookup(self, w: Column) -> Column:
+        return F.when(w.isin(self.terms), F.try_element_at(self.map, w))
+
+    def contains(self, w: Column) -> Column:
+        return w.isin(self.terms)
+
+
+def lexicon_map(lexicon: Mapping[str, float] | DataFrame | Lexicon | None = None) -> Lexicon:
     """Valence lookup as a literal map.  A DataFrame lexicon
     ``(term, valence)`` is size-checked (lexicons are bounded dictionaries)
     before it is turned into a literal."""
+    if isinstance(lexicon, Lexicon):
+        return lexicon
     if lexicon is None:
         lexicon = LX.DEFAULT_LEXICON
     if isinstance(lexicon, DataFrame):
@@ -43,14 +62,12 @@ def lexicon_map(lexicon: Mapping[str, float] | DataFrame | None = None) -> Colum
             raise ValueError(f"lexicon exceeds {MAX_LEXICON_TERMS} terms")
         lexicon = {r["term"].lower(): float(r["valence"]) for r in rows if r["term"] is not None}
     items = sorted((k.lower(), float(v)) for k, v in lexicon.items())
-    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in items]),
-                             F.array(*[F.lit(v) for _, v in items]))
+    return Lexicon([k for k, _ in items], [v for _, v in items])
 
 
-def booster_map() -> Column:
+def booster_map() -> Lexicon:
     items = [(w, LX.B_INCR) for w in LX.BOOSTERS_UP] + [(w, LX.B_DECR) for w in LX.BOOSTERS_DOWN]
-    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in items]),
-                             F.array(*[F.lit(v) for _, v in items]))
+    return Lexicon([k for k, _ in items], [v for _, v in items])
 
 
 def is_upper(c: Column) -> Column:
@@ -65,7 +82,7 @@ def tokens(sentence: Column) -> Column:
     return F.filter(F.split(sentence, WHITESPACE_CLASS + "+"), lambda t: F.length(t) > 1)
 
 
-def _token_score(st: Column, i: Column, lex: Column) -> Column:
+def _token_score(st: Column, i: Column, lex: Lexicon) -> Column:
     """Score of token ``i`` of a staged sentence struct (all look-ups were
     done once per token in earlier stages; here only array reads)."""
     words, vals, boosts = st.getField("words"), st.getField("vals"), st.getField("boosts")
@@ -98,7 +115,7 @@ def _token_score(st: Column, i: Column, lex: Column) -> Column:
         return F.when(active, (acc + s2 * damp) * factor).otherwise(acc)
 
     v2 = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), v1, step)
-    least_in_lex = F.coalesce(F.map_contains_key(lex, F.lit("least")), F.lit(False))
+    least_in_lex = F.lit("least" in lex.terms)
     least = F.when((prev(1) == "least") & ~least_in_lex,
                    F.when(i > 1, F.when(~F.coalesce(prev(2).isin("at", "very"), F.lit(False)),
                                         LX.N_SCALAR).otherwise(1.0))
@@ -114,7 +131,7 @@ def _count_char(s: Column, ch: str) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
 
 
-def _stage(texts: Column, lex: Column) -> Column:
+def _stage(texts: Column, lex: Lexicon) -> Column:
     """array<string> -> array<struct> with per-token look-ups done once."""
     boost = booster_map()
     s1 = F.transform(texts, lambda s: F.struct(s.alias("text"), tokens(s).alias("raws")))
@@ -127,8 +144,8 @@ def _stage(texts: Column, lex: Column) -> Column:
         raws, words = b.getField("raws"), b.getField("words")
         upper = F.transform(raws, is_upper)
         return F.struct(b.getField("text").alias("text"), words.alias("words"),
-                        F.transform(words, lambda w: F.try_element_at(lex, w)).alias("vals"),
-                        F.transform(words, lambda w: F.try_element_at(boost, w)).alias("boosts"),
+                        F.transform(words, lex.lookup).alias("vals"),
+                        F.transform(words, boost.lookup).alias("boosts"),
                         upper.alias("upper"),
                         F.transform(words, negated).alias("negs"))
     s3a = F.transform(s2, s3)
@@ -148,7 +165,7 @@ def _bind(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), 0)
 
 
-def _compound(st: Column, lex: Column) -> Column:
+def _compound(st: Column, lex: Lexicon) -> Column:
     scores = F.transform(st.getField("words"), lambda _w, i: _token_score(st, i, lex))
     total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
     text = st.getField("text")
@@ -163,7 +180,7 @@ def _compound(st: Column, lex: Column) -> Column:
     return _bind(total, finish)
 
 
-def sentence_scores(text: Column, lex: Column | None = None) -> Column:
+def sentence_scores(text: Column, lex: Lexicon | None = None) -> Column:
     """E1+E2: array<struct<sentence, compound>> for a text (regex sentence
     split, blanks dropped)."""
     lex = lexicon_map() if lex is None else lex
@@ -171,13 +188,13 @@ def sentence_scores(text: Column, lex: Column | None = None) -> Column:
         st.getField("text").alias("sentence"), _compound(st, lex).alias("compound")))
 
 
-def list_scores(texts: Column, lex: Column | None = None) -> Column:
+def list_scores(texts: Column, lex: Lexicon | None = None) -> Column:
     """E2 on an array of texts taken as given (no sentence split)."""
     lex = lexicon_map() if lex is None else lex
     return F.transform(_stage(texts, lex), lambda st: _compound(st, lex))
 
 
-def sentence_compound(sentence: Column, lex: Column | None = None) -> Column:
+def sentence_compound(sentence: Column, lex: Lexicon | None = None) -> Column:
     """Compound score of one text taken as a single sentence."""
     return F.get(list_scores(F.array(sentence), lex), 0)
 
