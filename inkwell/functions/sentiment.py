@@ -28,6 +28,7 @@ from inkwell.functions.text import WHITESPACE_CLASS, split_sentences
 
 PUNCT = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
+PUNCT_CHARS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"   # same set, as plain characters
 MAX_LEXICON_TERMS = 1_000_000
 
 
@@ -138,7 +139,7 @@ def _stage(texts: Column, lex: Lexicon) -> Column:
     s2 = F.transform(s1, lambda a: F.struct(
         a.getField("text").alias("text"), a.getField("raws").alias("raws"),
         F.transform(a.getField("raws"),
-                    lambda t: F.lower(F.regexp_replace(t, EDGE_PUNCT_RE, ""))).alias("words")))
+                    lambda t: F.lower(F.btrim(t, F.lit(PUNCT_CHARS)))).alias("words")))
 
     def s3(b):
         raws, words = b.getField("raws"), b.getField("words")
@@ -207,9 +208,11 @@ def mean_of(values: Column) -> Column:
 
 def sentiment_label(score: Column) -> Column:
     """(0.1, 0.5) mildy_positive; >= 0.5 positive; (-0.5, -0.1)
-    mildy_negative; <= -0.5 negative; else neutral (label spelling kept)."""
-    return (F.when((score > 0.1) & (score < 0.5), "mildy_positive")
-            .when(score >= 0.5, "positive")
-            .when((score < -0.1) & (score > -0.5), "mildy_negative")
-            .when(score <= -0.5, "negative")
-            .otherwise("neutral"))
+    mildy_negative; <= -0.5 negative; else neutral (label spelling kept).
+    The score is bound once, so an expensive score expression is not
+    re-evaluated by each branch."""
+    return _bind(score, lambda s: F.when((s > 0.1) & (s < 0.5), "mildy_positive")
+                 .when(s >= 0.5, "positive")
+                 .when((s < -0.1) & (s > -0.5), "mildy_negative")
+                 .when(s <= -0.5, "negative")
+                 .otherwise("neutral"))

@@ -59,7 +59,7 @@ def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], n
 
 def entailment_probability(logits: Column) -> Column:
     """Softmax over [contradiction, entailment] -> P(entailment)."""
-    return 1.0 / (1.0 + F.exp(F.get(logits, 0) - F.get(logits, 2)))
+    return F.get(F.transform(F.array(logits), lambda l: 1.0 / (1.0 + F.exp(F.get(l, 0) - F.get(l, 2)))), 0)
 
 
 def entailment_labels(df: DataFrame, text: str, keys: Sequence[str],

@@ -39,12 +39,14 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
     ``sarcasm_score`` (the last three only where combined text exists)."""
-    combined = B.combined_text()
-    body = B.body_clean()
     lex = S.lexicon_map(lexicon)
-    base = articles.select(
-        F.col(key), *_category_flags(article_text(), categories, ""),
-        combined.alias("_combined"), F.substring(body, 1, ENTAILMENT_MAX_CHARS).alias("_premise"))
+    # clean body once; combined text and premise derive from it (the
+    # optimizer keeps an expensive column that is used twice in one place)
+    staged = articles.select(F.col(key), *_category_flags(article_text(), categories, ""),
+                             B.headline().alias("_h"), B.summary().alias("_s"), B.body_clean().alias("_body"))
+    base = staged.select(
+        "*", F.nullif(F.concat_ws(" ", "_h", "_s", "_body"), F.lit("")).alias("_combined"),
+        F.substring("_body", 1, ENTAILMENT_MAX_CHARS).alias("_premise"))
 
     has_text = F.col("_combined").isNotNull()
     has_body = has_text & F.col("_premise").isNotNull() & (F.col("_premise") != "")

@@ -74,9 +74,11 @@ def site_dispatch(articles: DataFrame, sport_cols: Sequence[Column], news_cols:
 # ---------------------------------------------------------------------------
 # H3 flat records per site
 # ---------------------------------------------------------------------------
-def common_fields() -> list[Column]:
+def common_fields(body: Column | None = None, combined: Column | None = None) -> list[Column]:
     lvl = [B.category_level(i) for i in range(3)]
     tg = B.tags(lvl[0], lvl[1])
+    body = B.body_clean() if body is None else body
+    combined = B.combined_text(body) if combined is None else combined
     return [
         B.asset_uri().alias("asset_uri"), B.doc_type().alias("type"), B.site().alias("site"),
         B.has_content_warning().alias("has_content_warning"), tg.alias("tags"),
@@ -86,18 +88,19 @@ def common_fields() -> list[Column]:
         B.last_published().alias("last_published"), B.first_published().alias("first_published"),
         B.news_update_or_last_published().alias("news_update_or_last_published"),
         B.headline().alias("headline"), B.short_headline().alias("short_headline"),
-        B.summary().alias("summary"), B.body_clean().alias("body"),
-        B.combined_text().alias("combined_body_summary_headline"),
+        B.summary().alias("summary"), body.alias("body"),
+        combined.alias("combined_body_summary_headline"),
         B.ad_campaign().alias("ad_campaign"),
     ]
 
 
-def news_fields() -> list[Column]:
+def news_fields(combined: Column | None = None) -> list[Column]:
     cat = B.article_category_name()
+    combined = B.combined_text() if combined is None else combined
     return [cat.alias("article_category_name"), B.is_breaking_news().alias("is_breaking_news"),
             C.is_uk_news(cat).alias("is_uk_news"), C.nation(cat).alias("nation"),
             C.is_press_review().alias("is_press_review"),
-            C.is_legal(B.combined_text(), B.tags_text()).alias("is_legal"),
+            C.is_legal(combined, B.tags_text()).alias("is_legal"),
             C.is_politics(cat).alias("is_politics"), C.is_elections(cat).alias("is_elections")]
 
 
@@ -115,8 +118,12 @@ def site_records(articles: DataFrame, key: str = "article_key", entity_features:
     """H3: one flat record per accepted article (sport or news), nulls and
     empties pruned, optional entity features (D9-D12) joined by key,
     camelCase names."""
-    accepted, _ = site_dispatch(articles, sport_fields(**sport_lists), news_fields(),
-                                common_cols=[F.col(key)] + common_fields()[:2] + common_fields()[3:])
+    # clean body and combined text once per article
+    staged = articles.withColumn("_body", B.body_clean()) \
+        .withColumn("_combined", B.combined_text(F.col("_body")))
+    common = [c for i, c in enumerate(common_fields(F.col("_body"), F.col("_combined"))) if i != 2]
+    accepted, _ = site_dispatch(staged, sport_fields(**sport_lists), news_fields(F.col("_combined")),
+                                common_cols=[F.col(key)] + common)
     if entity_features is not None:
         accepted = accepted.join(entity_features, key, "left")
     out = prune_empty(accepted, keep=[key])
