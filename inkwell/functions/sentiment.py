@@ -133,31 +133,38 @@ def _count_char(s: Column, ch: str) -> Column:
 
 
 def _stage(texts: Column, lex: Lexicon) -> Column:
-    """array<string> -> array<struct> with per-token look-ups done once."""
-    boost = booster_map()
+    """array<string> -> array<struct<text, raws, words, has_lex>>."""
     s1 = F.transform(texts, lambda s: F.struct(s.alias("text"), tokens(s).alias("raws")))
     s2 = F.transform(s1, lambda a: F.struct(
         a.getField("text").alias("text"), a.getField("raws").alias("raws"),
         F.transform(a.getField("raws"),
                     lambda t: F.lower(F.btrim(t, F.lit(PUNCT_CHARS)))).alias("words")))
+    return F.transform(s2, lambda b: F.struct(
+        *[b.getField(k).alias(k) for k in ("text", "raws", "words")],
+        F.exists(b.getField("words"), lex.contains).alias("has_lex")))
+
+
+def _lookups(b: Column, lex: Lexicon) -> Column:
+    """Per-token look-ups of one staged sentence (run only when the
+    sentence holds a lexicon word)."""
+    boost = booster_map()
+    raws, words = b.getField("raws"), b.getField("words")
+    upper = F.transform(raws, is_upper)
+    n_caps = F.size(F.filter(upper, lambda u: u))
+    n = F.size(words)
+    return F.struct(b.getField("text").alias("text"), words.alias("words"),
+                    F.transform(words, lex.lookup).alias("vals"),
+                    F.transform(words, boost.lookup).alias("boosts"),
+                    upper.alias("upper"), F.transform(words, negated).alias("negs"),
+                    ((n_caps > 0) & (n_caps < n)).alias("cap_diff"),
+                    (F.array_position(words, "but") - 1).alias("but_pos"))
+
 
-    def s3(b):
-        raws, words = b.getField("raws"), b.getField("words")
-        upper = F.transform(raws, is_upper)
-        return F.struct(b.getField("text").alias("text"), words.alias("words"),
-                        F.transform(words, lex.lookup).alias("vals"),
-                        F.transform(words, boost.lookup).alias("boosts"),
-                        upper.alias("upper"),
-                        F.transform(words, negated).alias("negs"))
-    s3a = F.transform(s2, s3)
-
-    def s4(c):
-        n_caps = F.size(F.filter(c.getField("upper"), lambda u: u))
-        n = F.size(c.getField("words"))
-        return F.struct(*[c.getField(k).alias(k) for k in ("text", "words", "vals", "boosts", "upper", "negs")],
-                        ((n_caps > 0) & (n_caps < n)).alias("cap_diff"),
-                        (F.array_position(c.getField("words"), "but") - 1).alias("but_pos"))
-    return F.transform(s3a, s4)
+def _sentence_score(b: Column, lex: Lexicon) -> Column:
+    """A sentence without lexicon words sums to 0, and punctuation emphasis
+    only applies to a non-zero sum, so its compound is exactly 0."""
+    return F.when(b.getField("has_lex"), _bind(_lookups(b, lex), lambda st: _compound(st, lex))) \
+        .otherwise(F.lit(0.0))
 
 
 def _bind(value: Column, fn) -> Column:
@@ -186,13 +193,13 @@ def sentence_scores(text: Column, lex: Lexicon | None = None) -> Column:
     split, blanks dropped)."""
     lex = lexicon_map() if lex is None else lex
     return F.transform(_stage(split_sentences(text), lex), lambda st: F.struct(
-        st.getField("text").alias("sentence"), _compound(st, lex).alias("compound")))
+        st.getField("text").alias("sentence"), _sentence_score(st, lex).alias("compound")))
 
 
 def list_scores(texts: Column, lex: Lexicon | None = None) -> Column:
     """E2 on an array of texts taken as given (no sentence split)."""
     lex = lexicon_map() if lex is None else lex
-    return F.transform(_stage(texts, lex), lambda st: _compound(st, lex))
+    return F.transform(_stage(texts, lex), lambda st: _sentence_score(st, lex))
 
 
 def sentence_compound(sentence: Column, lex: Lexicon | None = None) -> Column:
