@@ -183,10 +183,14 @@ class Enrichment:
     property is a lazily composed DataFrame (Catalyst plans each use)."""
 
     def __init__(self, mentions: DataFrame, kb_facts: DataFrame, name_gender: DataFrame,
-                 source: str | None = "mango"):
+                 source: str | None = "mango", materialize_kb: bool = False):
         m = mentions if source is None else mentions.where(F.col("source") == source)
         self.typed = mentions_by_type(m)
         self.kb_wide = kb_lookup(kb_facts)
+        if materialize_kb:
+            # one row per subject, read by four branches: aggregate it once
+            from inkwell.session import materialize
+            self.kb_wide = materialize(self.kb_wide)
         self.name_gender = name_gender
         self._dicts: tuple[DataFrame, DataFrame] | None = None
 

@@ -30,7 +30,8 @@ H1_COLUMNS = ["article_key", *CATEGORY_KEYWORDS, "n_teams", *ENTAILMENT_TOPICS,
 
 def _h1(spark, sf):
     return article_features(load_articles(spark, sf), load_mentions(spark, sf), load_kb_facts(spark, sf),
-                            load_name_gender(spark, sf), sarcasm_scorer=rule_scorer(SARCASM_RULE))
+                            load_name_gender(spark, sf), sarcasm_scorer=rule_scorer(SARCASM_RULE),
+                            materialize_kb=True)
 
 
 def _h1_sql() -> str:
@@ -77,7 +78,8 @@ def article_features_q(spark, sf):
 def enrich_corpus_q(spark, sf):
     path = scratch_path(spark, "enriched-corpus")
     enrich_corpus(load_articles(spark, sf), path, mentions=load_mentions(spark, sf),
-                  kb_facts=load_kb_facts(spark, sf), name_gender=load_name_gender(spark, sf))
+                  kb_facts=load_kb_facts(spark, sf), name_gender=load_name_gender(spark, sf),
+                  materialize_kb=True)
     back = spark.read.option("basePath", path).json(path)
     return back.groupBy(F.col("site").cast("string").alias("site")).agg(F.count("*").alias("n"))
 
@@ -152,7 +154,8 @@ def _records(spark, sf, site, entity_features):
 
 @register("news_record", _record_sql("news", NEWS_PAIRS, True))
 def news_record_q(spark, sf):
-    enr = Enrichment(load_mentions(spark, sf), load_kb_facts(spark, sf), load_name_gender(spark, sf))
+    enr = Enrichment(load_mentions(spark, sf), load_kb_facts(spark, sf), load_name_gender(spark, sf),
+                     materialize_kb=True)
     feats = enr.article_features(load_articles(spark, sf).select("article_key")).select("article_key", *ENTITY_COLS)
     recs = _records(spark, sf, "news", feats)
     cols = ["articleKey"] + [underscore_to_camel(n) for n, _ in _pairs_common() + NEWS_PAIRS] + \

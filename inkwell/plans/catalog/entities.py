@@ -17,7 +17,8 @@ from inkwell.session import read_table
 
 
 def _enrichment(spark, sf) -> Enrichment:
-    return Enrichment(load_mentions(spark, sf), load_kb_facts(spark, sf), load_name_gender(spark, sf))
+    return Enrichment(load_mentions(spark, sf), load_kb_facts(spark, sf), load_name_gender(spark, sf),
+                      materialize_kb=True)
 
 
 def _orders(spark, sf):

@@ -34,7 +34,7 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                      topics: Mapping[str, Sequence[str]] = ENTAILMENT_TOPICS,
                      entail_scorer=term_share_scorer,
                      sarcasm_scorer: Callable[[Column], Column] | None = None,
-                     lexicon=None) -> DataFrame:
+                     lexicon=None, materialize_kb: bool = False) -> DataFrame:
     """H1: ``key``, score features (when mentions and KB are given), one
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
@@ -75,7 +75,7 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
             *[F.col(n) for n in topics], F.col("sentiment_label"), F.col("sarcasm_score")]
     result = out.select(*cols)
     if mentions is not None and kb_facts is not None and name_gender is not None:
-        enr = Enrichment(mentions, kb_facts, name_gender)
+        enr = Enrichment(mentions, kb_facts, name_gender, materialize_kb=materialize_kb)
         scores = enr.article_features(articles.select(key), key)
         result = result.join(scores.select(key, "political_score",
                                            F.col("female_proportion").alias("gender_score")), key, "left")

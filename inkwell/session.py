@@ -72,3 +72,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
         df = spark.read.parquet(path)
         _TABLES[key] = df
     return df
+
+
+def materialize(df):
+    """Cut lineage of a DataFrame reused by several branches of a plan:
+    reliable ``checkpoint()`` into the shared checkpoint folder (survives
+    executor loss, unlike a local checkpoint or a cache)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
