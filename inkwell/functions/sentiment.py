@@ -80,7 +80,12 @@ def negated(w: Column) -> Column:
 
 
 def tokens(sentence: Column) -> Column:
-    return F.filter(F.split(sentence, WHITESPACE_CLASS + "+"), lambda t: F.length(t) > 1)
+    """Whitespace tokens longer than one character.  Whitespace runs are
+    first normalised with ``regexp_replace`` (its literal pattern is compiled
+    once) and then split on a single space, which avoids compiling a regex
+    per sentence inside ``split``."""
+    spaced = F.regexp_replace(sentence, WHITESPACE_CLASS + "+", " ")
+    return F.filter(F.split(spaced, " "), lambda t: F.length(t) > 1)
 
 
 def _token_score(st: Column, i: Column, lex: Lexicon) -> Column:

@@ -11,8 +11,10 @@ WORD_SPLIT = r"[^\p{L}]+"
 
 
 def words(text: Column) -> Column:
-    """Lowercased letter runs."""
-    return F.filter(F.split(F.lower(text), WORD_SPLIT), lambda t: t != "")
+    """Lowercased letter runs (non-letters normalised to one space with a
+    once-compiled pattern, then a plain single-character split)."""
+    spaced = F.regexp_replace(F.lower(text), WORD_SPLIT, " ")
+    return F.filter(F.split(spaced, " "), lambda t: t != "")
 
 
 def vocab_counts(df: DataFrame, text: str) -> DataFrame:
