@@ -69,10 +69,24 @@ def strip_markup(col: Column) -> Column:
     return F.regexp_replace(col, TAG_RE, "")
 
 
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable, so
+    an expensive input referenced several times is computed once."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def clean_html(col: Column, tags_to_remove: Iterable[str] = ()) -> Column:
-    """B9 cleaner: tag blocks -> markup strip -> entities -> whitespace."""
-    return collapse_whitespace(decode_entities(strip_markup(
-        remove_tag_blocks(col, tags_to_remove))))
+    """B9 cleaner: tag blocks -> markup strip -> entities -> whitespace.
+    The markup passes run only on texts containing ``<`` and the entity
+    passes only on texts containing ``&`` (same result, far fewer scans)."""
+    def markup(x):
+        return F.when(x.contains("<"), strip_markup(x)).otherwise(x)
+
+    def entities(x):
+        return F.when(x.contains("&"), decode_entities(x)).otherwise(x)
+
+    return bind(remove_tag_blocks(col, tags_to_remove),
+                lambda a: bind(markup(a), lambda b: collapse_whitespace(entities(b))))
 
 
 # ---------------------------------------------------------------------------
