@@ -59,7 +59,7 @@ def label_accuracy_q(spark, sf):
     return G.label_accuracy(_encoded(spark, sf), "encoded_sentiment", "vader_encoded")
 
 
-@register("profile", REV + """ SELECT stat, value FROM (
+@register("profile", REV + """ SELECT stat, round(value, 6) AS value FROM (
   SELECT unnest([{'stat': 'count', 'value': CAST(count(vader_score) AS DOUBLE)},
                  {'stat': 'mean', 'value': avg(vader_score)},
                  {'stat': 'std', 'value': stddev_samp(vader_score)},
@@ -70,7 +70,7 @@ def label_accuracy_q(spark, sf):
                  {'stat': 'max', 'value': max(vader_score)}], recursive := true) FROM enc_)
   UNION ALL SELECT 'count_' || sentiment, CAST(count(*) AS DOUBLE) FROM enc_ GROUP BY sentiment""")
 def profile_q(spark, sf):
-    return G.profile(_encoded(spark, sf), "vader_score", "sentiment")
+    return G.profile(_encoded(spark, sf), "vader_score", "sentiment").withColumn("value", F.round("value", 6))
 
 
 @register("class_distribution", """
@@ -133,11 +133,11 @@ def threshold_sweep_q(spark, sf):
     return _sweep(spark, sf)
 
 
-@register("roc_points", SWEEP_SQL + """SELECT threshold, fpr, tpr, coalesce(sum(area) OVER (), 0.0) AS auc FROM (
+@register("roc_points", SWEEP_SQL + """SELECT threshold, fpr, tpr, round(coalesce(sum(area) OVER (), 0.0), 6) AS auc FROM (
   SELECT threshold, fpr, tpr, (fpr - lag(fpr) OVER w) * (tpr + lag(tpr) OVER w) / 2.0 AS area
   FROM sw_ WHERE fpr IS NOT NULL AND tpr IS NOT NULL WINDOW w AS (ORDER BY fpr, tpr, threshold))""")
 def roc_points_q(spark, sf):
-    return G.roc_points(_sweep(spark, sf))
+    return G.roc_points(_sweep(spark, sf)).withColumn("auc", F.round("auc", 6))
 
 
 SAMPLE_N = 1

@@ -31,15 +31,18 @@ def _entail(spark, sf):
 
 
 @register("entailment_labels", O.with_articles(
-    "SELECT doc_id, " + ", ".join(f"\"{n}_p\", \"{n}_p\" >= 0.5 AS \"{n}\"" for n in ENTAILMENT_TOPICS)
+    "SELECT doc_id, " + ", ".join(f"round(\"{n}_p\", 6) AS \"{n}_p\", \"{n}_p\" >= 0.5 AS \"{n}\""
+                                  for n in ENTAILMENT_TOPICS)
     + " FROM ent_", ENTAIL_CTE))
 def entailment_labels_q(spark, sf):
-    return _entail(spark, sf)
+    e = _entail(spark, sf)
+    return e.select("doc_id", *[c for n in ENTAILMENT_TOPICS for c in (
+        F.round(f"{n}_p", 6).alias(f"{n}_p"), F.col(n))])
 
 
 @register("entailment_bucket", O.with_articles(
     " UNION ALL ".join(
-        f"SELECT doc_id, {O.q(n)} AS topic, \"{n}_p\" AS p, \"{n}_p\" * 100.0 AS percent, "
+        f"SELECT doc_id, {O.q(n)} AS topic, round(\"{n}_p\", 6) AS p, round(\"{n}_p\" * 100.0, 4) AS percent, "
         f"CASE WHEN \"{n}_p\" <= 0.4 THEN 'contradiction' WHEN \"{n}_p\" >= 0.6 THEN 'entailment' "
         f"ELSE 'neutral' END AS bucket FROM ent_" for n in ENTAILMENT_TOPICS), ENTAIL_CTE))
 def entailment_bucket_q(spark, sf):
@@ -47,8 +50,8 @@ def entailment_bucket_q(spark, sf):
     long = e.select("doc_id", F.explode(F.array(*[
         F.struct(F.lit(n).alias("topic"), F.col(f"{n}_p").alias("p")) for n in ENTAILMENT_TOPICS])).alias("t"))
     p = F.col("t.p")
-    return long.select("doc_id", F.col("t.topic").alias("topic"), p.alias("p"),
-                       entailment_percent(p).alias("percent"), entailment_bucket(p).alias("bucket"))
+    return long.select("doc_id", F.col("t.topic").alias("topic"), F.round(p, 6).alias("p"),
+                       F.round(entailment_percent(p), 4).alias("percent"), entailment_bucket(p).alias("bucket"))
 
 
 # ---------------------------------------------------------------------------

@@ -18,7 +18,7 @@ def _combined(spark, sf):
     return load_articles(spark, sf).select("doc_id", B.combined_text().alias("text"))
 
 
-SENTS_CTE = (f"sents_ AS (SELECT doc_id, generate_subscripts(sl, 1) - 1 AS sent_idx, unnest(sl) AS stext "
+SENTS_CTE = (f"sents_ AS (SELECT doc_id, CAST(generate_subscripts(sl, 1) - 1 AS INTEGER) AS sent_idx, unnest(sl) AS stext "
              f"FROM (SELECT doc_id, {split_sql(O.COMBINED)} AS sl FROM articles))")
 
 
@@ -37,11 +37,12 @@ TURNS = ("WITH turns_ AS (SELECT conv_id, turn, text AS stext FROM conversations
          + vader_ctes("turns_", ["conv_id", "turn"]))
 
 
-@register("sentiment_mean", TURNS + " SELECT conv_id, avg(compound) AS sentiment_score, "
+@register("sentiment_mean", TURNS + " SELECT conv_id, round(avg(compound), 6) AS sentiment_score, "
           "count(*) AS n_segments FROM vader_out GROUP BY conv_id")
 def sentiment_mean_q(spark, sf):
     conv = read_table(spark, sf, "conversations")
-    return SO.sentiment_mean(conv, "text", ["conv_id"])
+    return SO.sentiment_mean(conv, "text", ["conv_id"]).withColumn(
+        "sentiment_score", F.round("sentiment_score", 6))
 
 
 @register("sentiment_label", TURNS + f" SELECT conv_id, turn, compound AS sentiment_score, "
@@ -53,12 +54,13 @@ def sentiment_label_q(spark, sf):
 
 
 @register("article_sentiment", O.with_articles(
-    f"SELECT a.doc_id, count(v.compound) AS n_sentences, avg(v.compound) AS sentiment_score, "
+    f"SELECT a.doc_id, CAST(count(v.compound) AS INTEGER) AS n_sentences, round(avg(v.compound), 6) AS sentiment_score, "
     f"{label_sql('avg(v.compound)')} AS sentiment_label "
     f"FROM articles a LEFT JOIN vader_out v ON a.doc_id = v.doc_id GROUP BY a.doc_id",
     SENTS_CTE + vader_ctes("sents_", ["doc_id", "sent_idx"])))
 def article_sentiment_q(spark, sf):
-    return SO.article_sentiment(_combined(spark, sf), "text", ["doc_id"])
+    out = SO.article_sentiment(_combined(spark, sf), "text", ["doc_id"])
+    return out.withColumn("sentiment_score", F.round("sentiment_score", 6))
 
 
 TOP_K = 100

@@ -22,11 +22,11 @@ def _labels(spark, sf):
 
 
 @register("sentence_vectors", """
-SELECT label, CAST(i - 1 AS INTEGER) AS dim, avg(x) AS value FROM (
+SELECT label, CAST(i - 1 AS INTEGER) AS dim, round(avg(x), 6) AS value FROM (
   SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
 GROUP BY label, i""")
 def sentence_vectors_q(spark, sf):
-    return V.mean_pool(_emb(spark, sf), ["label"], "embedding")
+    return V.mean_pool(_emb(spark, sf), ["label"], "embedding").withColumn("value", F.round("value", 6))
 
 
 LV = "lv AS (SELECT label, arg_min(embedding, vec_id) AS lvec FROM embeddings GROUP BY label)"
