@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.text import explode_indexed
+from inkwell.session import ship_package
 
 MAX_LABELS = 100_000
 MAX_DIM = 4096
@@ -167,6 +168,8 @@ def encode_texts(df: DataFrame, text: str, out: str = "vector",
     encoder once per task and encodes Arrow batches
     (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows each)."""
 
+    ship_package(df.sparkSession)
+
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder_factory()
@@ -183,6 +186,7 @@ def encode_texts(df: DataFrame, text: str, out: str = "vector",
 def gram_partials(df: DataFrame, x: str, y: str) -> DataFrame:
     """Per-partition partial XtX and XtY as long rows ``(kind, i, j, v)``."""
     schema = "kind string, i int, j int, v double"
+    ship_package(df.sparkSession)
 
     def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         xtx = xty = None

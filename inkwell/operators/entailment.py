@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.config import ENTAILMENT_MAX_CHARS, ENTAILMENT_THRESHOLD, ENTAILMENT_TOPICS
+from inkwell.session import ship_package
 
 Scorer = Callable[[Column, Column, Sequence[str]], Column]
 
@@ -52,6 +53,10 @@ def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], n
             yield pd.Series([row.tolist() for row in logits])
 
     def scorer(premise: Column, hyp: Column, terms: Sequence[str]) -> Column:
+        from pyspark.sql import SparkSession
+        active = SparkSession.getActiveSession()
+        if active is not None:
+            ship_package(active)
         return _score(premise, hyp).asNondeterministic()
 
     return scorer

@@ -80,3 +80,25 @@ def materialize(df):
     executor loss, unlike a local checkpoint or a cache)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``inkwell`` importable in Python workers (``mapInPandas`` and
+    pandas UDF tasks) the way ``--py-files`` does: zip the package once per
+    application into the shared checkpoint folder and ``addPyFile`` it.
+    A no-op when the package is already installed on the workers' path."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(ensure_checkpoint_dir(spark), f"pyfiles-{app}")
+    archive = target + ".zip"
+    if not os.path.exists(archive):
+        shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

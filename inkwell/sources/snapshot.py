@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.session import ship_package
+
 Client = Callable[[list[str]], list[list[dict]]]
 
 SNAPSHOT_SCHEMA = "article_key string, topics_json string, n_topics int"
@@ -33,6 +35,7 @@ def missing_keys(articles: DataFrame, snapshot: DataFrame, key: str = "article_k
 def fetch_topics(keys: DataFrame, client_factory: Callable[[], Client] = lambda: empty_client,
                  key: str = "article_key", batch_size: int = 100, partitions: int | None = None) -> DataFrame:
     """Call the client for each key (batches of ``batch_size`` per call)."""
+    ship_package(keys.sparkSession)
     if partitions is not None:
         keys = keys.repartition(partitions, key)
 
