@@ -35,6 +35,7 @@ def keyword_match(text_lower: Column, should: Sequence[str],
     """C12 over an already-lowercased, space-joined text: false if any
     ``should_not`` term occurs; else true if any ``should`` term occurs."""
     text_lower = F.coalesce(text_lower, F.lit(""))
+    should_not = [s.lower() for s in should_not]
     hit_not = contains_any(text_lower, should_not, case_insensitive=False) if should_not else F.lit(False)
     hit = contains_any(text_lower, [s.lower() for s in should], case_insensitive=False) \
         if should else F.lit(False)
