@@ -184,8 +184,8 @@ def prune_empty(spark, sf):
 def site_dispatch_q(spark, sf):
     accepted, _rejected = site_dispatch(
         load_articles(spark, sf),
-        sport_cols=[B.tags_competition_text().alias("tags_competition_text"),
-                    B.is_match_report().alias("is_match_report")],
-        news_cols=[B.article_category_name().alias("article_category_name")],
+        sport_cols={"tags_competition_text": B.tags_competition_text(),
+                    "is_match_report": B.is_match_report()},
+        news_cols={"article_category_name": B.article_category_name()},
         common_cols=[F.col("doc_id")])
     return accepted

@@ -3,7 +3,7 @@ pruning and camelCase naming -- all schema-level, no Python per row."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,21 +53,24 @@ def prune_empty_keys(df: DataFrame, fields: Sequence[str], key: str) -> DataFram
     return doc.select(key, F.array_join(F.json_object_keys("record"), ",").alias("kept_fields"))
 
 
-def site_dispatch(articles: DataFrame, sport_cols: Sequence[Column], news_cols: Sequence[Column],
+def site_dispatch(articles: DataFrame, sport_cols: Mapping[str, Column], news_cols: Mapping[str, Column],
                   common_cols: Sequence[Column] = (), strict: bool = False
                   ) -> tuple[DataFrame, DataFrame]:
-    """Sport and news feature sets by site; other sites go to a reject
-    DataFrame (``strict=True`` makes a reject an error at run time)."""
-    s = B.site()
-    base = articles.withColumn("site", s)
-    sport = base.where(F.col("site") == "sport").select(*common_cols, "site", *sport_cols)
-    news = base.where(F.col("site") == "news").select(*common_cols, "site", *news_cols)
-    accepted = sport.unionByName(news, allowMissingColumns=True)
-    rejected = base.where(~F.coalesce(F.col("site").isin("sport", "news"), F.lit(False)))
+    """Sport and news feature sets by site in one pass over the
+    articles: site-specific columns are evaluated only for their site
+    (``when(site = ...)``), the other site's columns are null.  Other sites
+    go to a reject DataFrame (``strict=True`` makes a reject an error)."""
+    base = articles.withColumn("site", B.site())
+    site = F.col("site")
+    accepted = base.where(site.isin("sport", "news")).select(
+        *common_cols, "site",
+        *[F.when(site == "sport", c).alias(n) for n, c in sport_cols.items()],
+        *[F.when(site == "news", c).alias(n) for n, c in news_cols.items()])
+    rejected = base.where(~F.coalesce(site.isin("sport", "news"), F.lit(False)))
     if strict:
         rejected = rejected.withColumn(
             "_reject", F.raise_error(F.concat(F.lit("unsupported site: "),
-                                              F.coalesce(F.col("site"), F.lit("<null>")))))
+                                              F.coalesce(site, F.lit("<null>")))))
     return accepted, rejected
 
 
@@ -94,23 +97,23 @@ def common_fields(body: Column | None = None, combined: Column | None = None) ->
     ]
 
 
-def news_fields(combined: Column | None = None) -> list[Column]:
+def news_fields(combined: Column | None = None) -> dict[str, Column]:
     cat = B.article_category_name()
     combined = B.combined_text() if combined is None else combined
-    return [cat.alias("article_category_name"), B.is_breaking_news().alias("is_breaking_news"),
-            C.is_uk_news(cat).alias("is_uk_news"), C.nation(cat).alias("nation"),
-            C.is_press_review().alias("is_press_review"),
-            C.is_legal(combined, B.tags_text()).alias("is_legal"),
-            C.is_politics(cat).alias("is_politics"), C.is_elections(cat).alias("is_elections")]
-
-
-def sport_fields(periodical=(), rankings=(), squad=(), draw_ids=()) -> list[Column]:
-    return [B.tags_competition_text().alias("tags_competition_text"),
-            C.is_periodical(periodical).alias("is_periodical"),
-            C.is_red_button_content().alias("is_red_button_content"),
-            C.is_rankings(rankings).alias("is_rankings"), C.is_squad(squad).alias("is_squad"),
-            C.is_competition_draw(draw_ids).alias("is_competition_draw"),
-            B.is_match_report().alias("is_match_report")]
+    return {"article_category_name": cat, "is_breaking_news": B.is_breaking_news(),
+            "is_uk_news": C.is_uk_news(cat), "nation": C.nation(cat),
+            "is_press_review": C.is_press_review(),
+            "is_legal": C.is_legal(combined, B.tags_text()),
+            "is_politics": C.is_politics(cat), "is_elections": C.is_elections(cat)}
+
+
+def sport_fields(periodical=(), rankings=(), squad=(), draw_ids=()) -> dict[str, Column]:
+    return {"tags_competition_text": B.tags_competition_text(),
+            "is_periodical": C.is_periodical(periodical),
+            "is_red_button_content": C.is_red_button_content(),
+            "is_rankings": C.is_rankings(rankings), "is_squad": C.is_squad(squad),
+            "is_competition_draw": C.is_competition_draw(draw_ids),
+            "is_match_report": B.is_match_report()}
 
 
 def site_records(articles: DataFrame, key: str = "article_key", entity_features: DataFrame | None = None,
