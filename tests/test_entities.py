@@ -54,3 +54,47 @@ def test_party_scores(spark):
     rows = _setup(spark).party_scores().orderBy("article_key").collect()
     assert [(r["article_key"], r["position"], r["score"]) for r in rows] == \
         [("a", "Left-wing", 1), ("b", "Centrism", 0)]
+
+
+def test_hot_article_holding_a_third_of_mentions(spark):
+    """One article with a third of all mentions: per-article aggregates are
+    partial aggregations, so the hot key needs no special path; values are
+    checked against a brute-force computation."""
+    P, PP = PERSON_TYPE, POLITICAL_PARTY_TYPE
+    rows = []
+    for i in range(3000):
+        art = "hot" if i % 3 == 0 else f"a{i % 200}"
+        if i % 2:
+            rows.append((art, "mango", f"p{i % 7}", f"Name{i % 5} X", "", [P], i % 4, []))
+        else:
+            rows.append((art, "mango", f"labour_party_{i % 3}", "Party", "", [PP], None, []))
+    mentions = spark.createDataFrame(rows, MENTION)
+    kb = spark.createDataFrame(
+        [(f"p{k}", "gender", "female" if k % 2 else "male") for k in range(7)]
+        + [(f"labour_party_{k}", "position", ["Left-wing", "Centrism", "Right-wing"][k]) for k in range(3)],
+        "subject string, predicate string, value string")
+    names = spark.createDataFrame([], "first_name string, gender string, provider string")
+    enr = Enrichment(mentions, kb, names)
+    arts = spark.createDataFrame([("hot",)], "article_key string")
+    got = enr.article_features(arts).first()
+    hot = [r for r in rows if r[0] == "hot"]
+    fem = sum(r[6] for r in hot if r[5] == [P] and int(r[2][1:]) % 2 == 1)
+    both = sum(r[6] for r in hot if r[5] == [P])
+    assert got["female_proportion"] == pytest.approx(fem / both)
+    scores = {0: -2, 1: 0, 2: 2}
+    parties = [int(r[2].rsplit("_", 1)[1]) for r in hot if r[5] == [PP]]
+    nz = [scores[k] for k in parties if scores[k] != 0]
+    assert got["political_score"] == pytest.approx(sum(nz) / len(nz))
+    assert got["num_political_references"] == len(set(parties))
+    assert got["num_people_mentioned"] == len(hot) - len(parties)
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from inkwell.operators.joins import bounded_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+    j_small = spark.range(100).join(bounded_broadcast(small, max_rows=10), "id")
+    j_big = spark.range(100).join(bounded_broadcast(big, max_rows=10), "id")
+    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+    assert j_small.count() == 5 and j_big.count() == 50
