@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.config import lexicon as LX
-from inkwell.functions.text import WHITESPACE_CLASS, split_sentences
+from inkwell.functions.text import WHITESPACE_CLASS, bind as _bind, split_sentences
 
 PUNCT = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
@@ -172,12 +172,6 @@ def _sentence_score(b: Column, lex: Lexicon) -> Column:
         .otherwise(F.lit(0.0))
 
 
-def _bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable
-    (avoids re-evaluating a sub-expression referenced several times)."""
-    return F.get(F.transform(F.array(value), fn), 0)
-
-
 def _compound(st: Column, lex: Lexicon) -> Column:
     scores = F.transform(st.getField("words"), lambda _w, i: _token_score(st, i, lex))
     total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.config import ENTAILMENT_MAX_CHARS, ENTAILMENT_THRESHOLD, ENTAILMENT_TOPICS
+from inkwell.functions.text import bind
 from inkwell.session import ship_package
 
 Scorer = Callable[[Column, Column, Sequence[str]], Column]
@@ -64,7 +65,7 @@ def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], n
 
 def entailment_probability(logits: Column) -> Column:
     """Softmax over [contradiction, entailment] -> P(entailment)."""
-    return F.get(F.transform(F.array(logits), lambda l: 1.0 / (1.0 + F.exp(F.get(l, 0) - F.get(l, 2)))), 0)
+    return bind(logits, lambda lg: 1.0 / (1.0 + F.exp(F.get(lg, 0) - F.get(lg, 2))))
 
 
 def entailment_labels(df: DataFrame, text: str, keys: Sequence[str],

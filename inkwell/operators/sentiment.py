@@ -32,11 +32,6 @@ def lexicon_sentiment(df: DataFrame, text: str, keys: list[str],
                 F.col("_e.compound").alias("compound"))
 
 
-def text_compound(df: DataFrame, text: str, lexicon=None) -> Column:
-    """Compound of a whole text taken as one sentence."""
-    return S.sentence_compound(F.col(text), S.lexicon_map(lexicon))
-
-
 def sentiment_mean(df: DataFrame, text: str, group: list[str], lexicon=None) -> DataFrame:
     """E3 over rows: each row's text is one scored segment; mean per group
     (partial aggregation, so a hot group costs one partial row per task)."""
