@@ -95,8 +95,15 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     import shutil
+    from urllib.parse import urlparse
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(ensure_checkpoint_dir(spark), f"pyfiles-{app}")
+    base = ensure_checkpoint_dir(spark)
+    if urlparse(base).scheme not in ("", "file"):
+        # a remote checkpoint folder (hdfs://, s3a://, ...): build the archive
+        # on the driver; addPyFile distributes it like --py-files does
+        base = tempfile.mkdtemp(prefix="inkwell-pyfiles-")
+    base = base[len("file:"):] if base.startswith("file:") else base
+    target = os.path.join(base, f"pyfiles-{app}")
     archive = target + ".zip"
     if not os.path.exists(archive):
         shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
