@@ -15,6 +15,7 @@ from inkwell.config import (COMPETITION_DRAW_IDS, LEGAL_INDICATORS, LEGAL_TAGS,
                             PRESS_REVIEW_INDICATORS, RANKINGS_INDICATORS,
                             RED_BUTTON_MARKER, SQUAD_INDICATORS)
 from inkwell.functions import fields as B
+from inkwell.functions.text import bind
 
 
 def contains_any(text: Column, terms: Iterable[str], case_insensitive: bool = True) -> Column:
@@ -23,11 +24,15 @@ def contains_any(text: Column, terms: Iterable[str], case_insensitive: bool = Tr
     if not terms:
         return F.when(text.isNotNull(), F.lit(False))
     hay = F.lower(text) if case_insensitive else text
-    out = None
-    for t in terms:
-        c = hay.contains(F.lit(t))
-        out = c if out is None else (out | c)
-    return out
+
+    def any_term(h: Column) -> Column:
+        out = None
+        for t in terms:
+            c = h.contains(F.lit(t))
+            out = c if out is None else (out | c)
+        return out
+    # several terms: evaluate the (lowered) text once, not once per term
+    return bind(hay, any_term) if len(terms) > 1 else any_term(hay)
 
 
 def keyword_match(text_lower: Column, should: Sequence[str],
