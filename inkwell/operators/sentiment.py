@@ -26,16 +26,32 @@ def sentences(df: DataFrame, text: str, keys: list[str],
 def lexicon_sentiment(df: DataFrame, text: str, keys: list[str],
                       lexicon: Mapping[str, float] | DataFrame | None = None) -> DataFrame:
     """Compound score per sentence."""
-    lex = S.lexicon_map(lexicon)
+    lex = resolve_lexicon(lexicon, df, text)
     return explode_indexed(df, keys, S.sentence_scores(F.col(text), lex), "sent_idx", "_e") \
         .select(*keys, "sent_idx", F.col("_e.sentence").alias("sentence"),
                 F.col("_e.compound").alias("compound"))
 
 
+def resolve_lexicon(lexicon, df: DataFrame, text: str, max_terms: int = S.MAX_LEXICON_TERMS) -> S.Lexicon:
+    """Lexicon for scoring ``df[text]``.  A table within the bound becomes a
+    literal look-up directly; a larger table is first cut to the terms that
+    occur in the corpus (semi-join with its distinct lowercased words, a
+    partial aggregation), and only that slice must fit the bound."""
+    if not isinstance(lexicon, DataFrame):
+        return S.lexicon_map(lexicon)
+    n = lexicon.limit(max_terms + 1).count()
+    if n <= max_terms:
+        return S.lexicon_map(lexicon)
+    toks = explode_indexed(df, [], S.tokens(F.col(text)), "pos", "raw")
+    vocab = toks.select(F.lower(F.btrim("raw", F.lit(S.PUNCT_CHARS))).alias("term")).distinct()
+    used = lexicon.withColumn("term", F.lower("term")).join(vocab, "term", "left_semi")
+    return S.lexicon_map(used)
+
+
 def sentiment_mean(df: DataFrame, text: str, group: list[str], lexicon=None) -> DataFrame:
     """E3 over rows: each row's text is one scored segment; mean per group
     (partial aggregation, so a hot group costs one partial row per task)."""
-    lex = S.lexicon_map(lexicon)
+    lex = resolve_lexicon(lexicon, df, text)
     return df.select(*group, S.sentence_compound(F.col(text), lex).alias("compound")) \
         .groupBy(*group).agg(F.avg("compound").alias("sentiment_score"),
                              F.count("*").alias("n_segments"))
@@ -47,7 +63,7 @@ def article_sentiment(df: DataFrame, text: str, keys: list[str], convert_to_sent
                       normaliser: Callable[[Column], Column] | None = S.sentiment_label) -> DataFrame:
     """E5: text -> sentences -> scores -> mean -> label, as one projection.
     ``aggregate_scores=False`` returns per-sentence rows instead."""
-    lex = S.lexicon_map(lexicon)
+    lex = resolve_lexicon(lexicon, df, text)
     segs = splitter(F.col(text)) if convert_to_sents else F.array(F.col(text))
     scores = S.list_scores(segs, lex)
     if not aggregate_scores:

@@ -44,3 +44,14 @@ def test_negation_booster_but(spark):
 def test_period_split_keeps_blanks(spark):
     df = spark.createDataFrame([("a. b..",)], "t string")
     assert df.select(split_on_period(F.col("t")).alias("p")).first()["p"] == ["a", " b", "", ""]
+
+
+def test_large_lexicon_is_cut_to_corpus_vocabulary(spark):
+    from inkwell.operators.sentiment import resolve_lexicon
+    docs = spark.createDataFrame([("A really bad, horrible book.",)], "t string")
+    big = spark.createDataFrame([(f"w{i}", 1.0) for i in range(50)] + [("bad", -2.5), ("horrible", -2.5)],
+                                "term string, valence double")
+    lex = resolve_lexicon(big, docs, "t", max_terms=10)       # 52 terms > bound -> corpus slice
+    assert sorted(lex.terms) == ["bad", "horrible"]
+    score = docs.select(S.sentence_compound(F.col("t"), lex).alias("c")).first()["c"]
+    assert score == -0.8211
