@@ -55,10 +55,21 @@ def first_name(label: Column) -> Column:
     return F.get(F.split(label, " "), 0)
 
 
-def _dictionary(name_gender: DataFrame, provider: str, alias: str) -> DataFrame:
+def _dictionary(name_gender: DataFrame, provider: str, alias: str,
+                known_rows: int | None = None) -> DataFrame:
     d = (name_gender.where(F.col("provider") == provider)
          .groupBy("first_name").agg(F.min("gender").alias(alias)))
-    return bounded_broadcast(d)
+    return bounded_broadcast(d, known_rows=known_rows)
+
+
+def _dictionaries(name_gender: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both providers' dictionaries; one size check on the raw table bounds
+    both (each is a per-provider distinct of it)."""
+    from inkwell.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+    n = name_gender.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count()
+    bound = n if n <= DEFAULT_MAX_BROADCAST_ROWS else None
+    return (_dictionary(name_gender, "detector", "det_gender", bound),
+            _dictionary(name_gender, "genderize", "gz_gender", bound))
 
 
 def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFrame,
@@ -66,8 +77,7 @@ def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFr
     """D3: KB gender; if absent, the first dictionary (``mostly_*`` folded);
     if still not male/female, the second dictionary.  Adds ``first_name``,
     ``party`` (KB) and ``gender``."""
-    det_d, gz_d = dictionaries or (_dictionary(name_gender, "detector", "det_gender"),
-                                   _dictionary(name_gender, "genderize", "gz_gender"))
+    det_d, gz_d = dictionaries or _dictionaries(name_gender)
     kb = kb_wide.select(F.col("subject").alias("uri"), F.col("gender").alias("kb_gender"),
                         F.col("party").alias("party"))
     p = people.join(kb, "uri", "left").withColumn("first_name", first_name(F.col("label")))
@@ -197,8 +207,7 @@ class Enrichment:
     @cached_property
     def people(self) -> DataFrame:
         if self._dicts is None:
-            self._dicts = (_dictionary(self.name_gender, "detector", "det_gender"),
-                           _dictionary(self.name_gender, "genderize", "gz_gender"))
+            self._dicts = _dictionaries(self.name_gender)
         return gender_resolution(self.typed.where("is_person"), self.kb_wide, self.name_gender,
                                  self._dicts)
 
