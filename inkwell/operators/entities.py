@@ -169,10 +169,12 @@ def political_features(expanded: DataFrame, refs: DataFrame) -> DataFrame:
         (F.sum(F.when(nz, F.col("score") * F.col("weight")))
          / F.sum(F.when(nz, F.col("weight")))).alias("political_score"),
         F.sum("weight").alias("num_political_reference_entries"))
-    slug = party_slug(F.col("party_uri"))
-    flags = refs.groupBy("article_key").agg(
+    # slug once per reference (a projection below the aggregate), not once
+    # per flag column
+    slugged = refs.select("article_key", party_slug(F.col("party_uri")).alias("_slug"))
+    flags = slugged.groupBy("article_key").agg(
         F.count("*").alias("num_political_references"),
-        *[F.max(F.when(slug == s, 1).otherwise(0)).alias(c)
+        *[F.max(F.when(F.col("_slug") == s, 1).otherwise(0)).alias(c)
           for s, c in zip(POLITICAL_PARTIES, PARTY_COLUMNS)])
     return flags.join(scored, "article_key", "full")
 
