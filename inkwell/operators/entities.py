@@ -239,6 +239,15 @@ class Enrichment:
         return j.select("article_key", "name", "position",
                         F.when(party_slug(F.col("party_uri")).isNotNull(), 1).otherwise(0).alias("score"))
 
+    def party_score_arrays(self, key: str = "article_key") -> DataFrame:
+        """D13 as the record's nested form: per article, the ordered array of
+        ``{name, position, score}``.  Built from distinct (article, party)
+        rows, so its size is bounded by the number of distinct parties, not
+        by how often an article mentions them."""
+        rows = self.party_scores().dropDuplicates(["article_key", "name", "position", "score"])
+        return rows.groupBy(F.col("article_key").alias(key)).agg(F.array_sort(F.collect_list(
+            F.struct("name", "position", "score"))).alias("partyScore"))
+
     def article_features(self, articles: DataFrame, key: str = "article_key") -> DataFrame:
         """D8-D12 per article (left join from the article list; no mentions
         -> counts 0, scores null)."""

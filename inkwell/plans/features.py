@@ -78,7 +78,8 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
         enr = Enrichment(mentions, kb_facts, name_gender, materialize_kb=materialize_kb)
         scores = enr.article_features(articles.select(key), key)
         result = result.join(scores.select(key, "political_score",
-                                           F.col("female_proportion").alias("gender_score")), key, "left")
+                                           F.col("female_proportion").alias("gender_score")), key, "left") \
+            .join(enr.party_score_arrays(key), key, "left")
     return result
 
 

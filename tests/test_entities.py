@@ -98,3 +98,9 @@ def test_bounded_broadcast_checks_size(spark):
     assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
     assert j_small.count() == 5 and j_big.count() == 50
+
+
+def test_party_score_arrays(spark):
+    arr = {r["article_key"]: r["partyScore"] for r in _setup(spark).party_score_arrays().collect()}
+    assert [(x["name"], x["position"], x["score"]) for x in arr["a"]] == [("Labour", "Left-wing", 1)]
+    assert [(x["name"], x["score"]) for x in arr["b"]] == [("Centre", 0)]
