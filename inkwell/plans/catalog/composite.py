@@ -31,7 +31,7 @@ H1_COLUMNS = ["article_key", *CATEGORY_KEYWORDS, "n_teams", *ENTAILMENT_TOPICS,
 def _h1(spark, sf):
     return article_features(load_articles(spark, sf), load_mentions(spark, sf), load_kb_facts(spark, sf),
                             load_name_gender(spark, sf), sarcasm_scorer=rule_scorer(SARCASM_RULE),
-                            materialize_kb=True)
+                            materialize_kb=True, with_party_scores=False)
 
 
 def _h1_sql() -> str:

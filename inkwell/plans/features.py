@@ -34,7 +34,8 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                      topics: Mapping[str, Sequence[str]] = ENTAILMENT_TOPICS,
                      entail_scorer=term_share_scorer,
                      sarcasm_scorer: Callable[[Column], Column] | None = None,
-                     lexicon=None, materialize_kb: bool = False) -> DataFrame:
+                     lexicon=None, materialize_kb: bool = False,
+                     with_party_scores: bool = True) -> DataFrame:
     """H1: ``key``, score features (when mentions and KB are given), one
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
@@ -78,8 +79,9 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
         enr = Enrichment(mentions, kb_facts, name_gender, materialize_kb=materialize_kb)
         scores = enr.article_features(articles.select(key), key)
         result = result.join(scores.select(key, "political_score",
-                                           F.col("female_proportion").alias("gender_score")), key, "left") \
-            .join(enr.party_score_arrays(key), key, "left")
+                                           F.col("female_proportion").alias("gender_score")), key, "left")
+        if with_party_scores:
+            result = result.join(enr.party_score_arrays(key), key, "left")
     return result
 
 
