@@ -81,3 +81,29 @@ def test_flags_and_nested_path(spark):
     ev = spark.createDataFrame([('{"k": 0}',), ('{"k": 5}',), ('{}',), (None,)], "props string")
     got = [r["k"] for r in ev.select(B.json_path_value(F.col("props"), "$.k").alias("k")).collect()]
     assert got == [None, 5, None, None]
+
+
+def test_prune_empty_nested_rules(spark):
+    from inkwell.plans.records import prune_empty, to_record_json
+    df = spark.createDataFrame(
+        [("k", "", False, 0, [("a", ""), ("", None)], ("x", False, 0))],
+        "key string, s string, b boolean, n int, arr array<struct<id:string,label:string>>, "
+        "st struct<p:string,q:boolean,r:int>")
+    rec = to_record_json(prune_empty(df, keep=["key"]), "key").first()["record"]
+    # top level: '' dropped, false and 0 kept; nested: '' / false / 0 dropped
+    assert rec == '{"b":false,"n":0,"arr":[{"id":"a"},{}],"st":{"p":"x"}}'
+
+
+def test_site_dispatch_rejects(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from inkwell.plans.records import site_dispatch
+    df = articles_df(spark, [article_row(key="n", uri="/news/1"), article_row(key="s", uri="/sport/x/1"),
+                             article_row(key="w", uri="/weather/1")])
+    ok, rej = site_dispatch(df, [B.is_match_report().alias("m")], [B.is_breaking_news().alias("bn")],
+                            [F.col("article_key")])
+    assert sorted(r["article_key"] for r in ok.collect()) == ["n", "s"]
+    assert [r["article_key"] for r in rej.collect()] == ["w"]
+    _, strict_rej = site_dispatch(df, [], [], [F.col("article_key")], strict=True)
+    with pytest.raises(Exception):
+        strict_rej.collect()
