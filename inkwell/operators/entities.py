@@ -195,7 +195,7 @@ class Enrichment:
     property is a lazily composed DataFrame (Catalyst plans each use)."""
 
     def __init__(self, mentions: DataFrame, kb_facts: DataFrame, name_gender: DataFrame,
-                 source: str | None = "mango", materialize_kb: bool = False):
+                 source: str | None = "tagger_b", materialize_kb: bool = False):
         m = mentions if source is None else mentions.where(F.col("source") == source)
         self.typed = mentions_by_type(m)
         self.kb_wide = kb_lookup(kb_facts)

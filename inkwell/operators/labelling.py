@@ -19,7 +19,7 @@ from inkwell.config import CATEGORY_KEYWORDS, FOOTBALL_TEAMS, THINGS_URI_PREFIX
 from inkwell.functions import fields as B
 from inkwell.functions.predicates import contains_any, joined_lower
 
-STARFRUIT, MANGO = "starfruit", "mango"
+TAGGER_A, TAGGER_B = "tagger_a", "tagger_b"
 
 
 # ---------------------------------------------------------------------------
@@ -36,10 +36,10 @@ def tagger_labels(mentions: DataFrame) -> DataFrame:
         lambda u: F.concat(u, F.lit("#id")))
     return mentions.select(
         "article_key", "source",
-        F.when(src == STARFRUIT, F.coalesce(F.col("label"), F.lit("")))
-         .when(src == MANGO, F.col("label")).alias("tag_label"),
-        F.when(src == STARFRUIT, F.array(F.coalesce(F.col("uri"), F.lit(""))))
-         .when(src == MANGO, things).alias("tag_uris"))
+        F.when(src == TAGGER_A, F.coalesce(F.col("label"), F.lit("")))
+         .when(src == TAGGER_B, F.col("label")).alias("tag_label"),
+        F.when(src == TAGGER_A, F.array(F.coalesce(F.col("uri"), F.lit(""))))
+         .when(src == TAGGER_B, things).alias("tag_uris"))
 
 
 # ---------------------------------------------------------------------------
@@ -85,7 +85,7 @@ def boolean_categories(articles: DataFrame, mentions: DataFrame | None = None,
     art = articles.select(F.col(key), *_category_flags(text, categories, ""))
     names = list(categories)
     if mentions is not None and (use_tagger_a or use_tagger_b):
-        sources = [s for s, on in ((STARFRUIT, use_tagger_a), (MANGO, use_tagger_b)) if on]
+        sources = [s for s, on in ((TAGGER_A, use_tagger_a), (TAGGER_B, use_tagger_b)) if on]
         lab = tagger_labels(mentions).where(F.col("source").isin(sources)) \
             .where(F.col("tag_label").isNotNull())
         per_row = lab.select(F.col("article_key").alias(key),

@@ -37,7 +37,7 @@ typed AS (
     list_contains(coalesce(types, []::VARCHAR[]), {O.q(POLITICAL_PARTY_TYPE)}) AS is_party,
     list_contains(coalesce(types, []::VARCHAR[]), {O.q(PERSON_TYPE)})
       AND list_contains(coalesce(types, []::VARCHAR[]), {O.q(POLITICIAN_TYPE)}) AS is_politician
-  FROM mentions WHERE source = 'mango'
+  FROM mentions WHERE source = 'tagger_b'
 ),
 kb_wide AS (
   SELECT subject,
@@ -128,7 +128,7 @@ def E(body: str) -> str:
 @register("mentions_by_type", E(
     "SELECT article_key, uri, is_person, is_party, is_politician FROM typed"))
 def mentions_by_type_q(spark, sf):
-    m = load_mentions(spark, sf).where(F.col("source") == "mango")
+    m = load_mentions(spark, sf).where(F.col("source") == "tagger_b")
     return mentions_by_type(m).select("article_key", "uri", "is_person", "is_party", "is_politician")
 
 

@@ -159,9 +159,9 @@ def _boolean_categories_sql() -> str:
 TAGGED_CTE = f"""
 tagged AS (
   SELECT article_key, source,
-    CASE WHEN source = 'starfruit' THEN coalesce(label, '') WHEN source = 'mango' THEN label END AS tag_label,
-    CASE WHEN source = 'starfruit' THEN [coalesce(uri, '')]
-         WHEN source = 'mango' THEN list_transform(list_filter(coalesce(same_as, []::VARCHAR[]),
+    CASE WHEN source = 'tagger_a' THEN coalesce(label, '') WHEN source = 'tagger_b' THEN label END AS tag_label,
+    CASE WHEN source = 'tagger_a' THEN [coalesce(uri, '')]
+         WHEN source = 'tagger_b' THEN list_transform(list_filter(coalesce(same_as, []::VARCHAR[]),
            lambda u: starts_with(u, {O.q(THINGS_URI_PREFIX)})), lambda u: u || '#id') END AS tag_uris
   FROM mentions
 )"""

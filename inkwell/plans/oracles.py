@@ -144,8 +144,8 @@ def kb_uri_sql(key: str) -> str:
 TEAM_URIS = sql_list([u[:-3] for _, u in FOOTBALL_TEAMS])
 
 MENTIONS_CTE = f"""
-mango_ AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS article_key, 'mango' AS source,
+tagger_b_ AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS article_key, 'tagger_b' AS source,
     {kb_uri_sql('p_partkey')} AS uri, p_name AS label, p_brand AS surface_form,
     CASE WHEN p_type = 'PROMO' THEN [{q(POLITICAL_PARTY_TYPE)}]
          WHEN p_type IN ('ECONOMY', 'STANDARD') THEN [{q(PERSON_TYPE)}, {q(POLITICIAN_TYPE)}]
@@ -160,13 +160,13 @@ mango_ AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ),
 mentions AS (
-  SELECT article_key, source, uri, label, surface_form, types, count, same_as FROM mango_
+  SELECT article_key, source, uri, label, surface_form, types, count, same_as FROM tagger_b_
   UNION ALL
-  SELECT article_key, 'starfruit', uri,
+  SELECT article_key, 'tagger_a', uri,
     array_to_string(list_transform(string_split(label, ' '),
       lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' '),
     surface_form, types, count, same_as
-  FROM mango_ WHERE l_linenumber = 1
+  FROM tagger_b_ WHERE l_linenumber = 1
 )"""
 
 KB_CTE = f"""

@@ -127,8 +127,8 @@ def _team_same_as(brand: Column) -> Column:
 
 
 def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """F2 rows: every line item is a ``mango`` topic of order ``l_orderkey``;
-    first line items are also reported by ``starfruit``."""
+    """F2 rows: every line item is a ``tagger_b`` topic of order ``l_orderkey``;
+    first line items are also reported by ``tagger_a``."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     pt = part.select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(pt, li.l_partkey == pt.p_partkey)
@@ -141,7 +141,7 @@ def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                       _team_same_as(F.col("p_brand")))
     base = j.select(
         F.col("l_orderkey").cast("string").alias("article_key"),
-        F.lit("mango").alias("source"),
+        F.lit("tagger_b").alias("source"),
         kb_uri(F.col("p_partkey")).alias("uri"),
         F.col("p_name").alias("label"),
         F.col("p_brand").alias("surface_form"),
@@ -150,7 +150,7 @@ def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
          .otherwise(F.col("l_quantity").cast("int")).alias("count"),
         same_as.alias("same_as"),
         F.col("l_linenumber"))
-    second = base.where(F.col("l_linenumber") == 1).withColumn("source", F.lit("starfruit")) \
+    second = base.where(F.col("l_linenumber") == 1).withColumn("source", F.lit("tagger_a")) \
         .withColumn("label", F.initcap(F.col("label")))
     return base.unionByName(second).drop("l_linenumber")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def attach_features(articles: DataFrame, features: DataFrame, key: str = "article_key",
-                    name: str = "datascapes_features") -> DataFrame:
+                    name: str = "features") -> DataFrame:
     """The source document plus one nested feature struct (left join: every
     input article is written, with or without features)."""
     feat_cols = [c for c in features.columns if c != key]

@@ -13,11 +13,11 @@ MENTION = ("article_key string, source string, uri string, label string, surface
 def _setup(spark):
     P, PP, OH = PERSON_TYPE, POLITICAL_PARTY_TYPE, POLITICIAN_TYPE
     mentions = spark.createDataFrame([
-        ("a", "mango", "p1", "Jane Doe", "", [P, OH], 3, []),        # politician, party L (left wing)
-        ("a", "mango", "labour_party", "Labour", "", [PP], None, []),  # party mention, count missing -> 1
-        ("a", "mango", "p2", "John Roe", "", [P], 1, []),
-        ("b", "mango", "centre_x", "Centre", "", [PP], 2, []),        # centrism -> score 0, dropped
-        ("c", "mango", "p3", "Zed Q", "", [P], 0, []),                  # zero count -> null proportion
+        ("a", "tagger_b", "p1", "Jane Doe", "", [P, OH], 3, []),        # politician, party L (left wing)
+        ("a", "tagger_b", "labour_party", "Labour", "", [PP], None, []),  # party mention, count missing -> 1
+        ("a", "tagger_b", "p2", "John Roe", "", [P], 1, []),
+        ("b", "tagger_b", "centre_x", "Centre", "", [PP], 2, []),        # centrism -> score 0, dropped
+        ("c", "tagger_b", "p3", "Zed Q", "", [P], 0, []),                  # zero count -> null proportion
     ], MENTION)
     kb = spark.createDataFrame([
         ("p1", "gender", "female"), ("p1", "party", "labour_party"),
@@ -65,9 +65,9 @@ def test_hot_article_holding_a_third_of_mentions(spark):
     for i in range(3000):
         art = "hot" if i % 3 == 0 else f"a{i % 200}"
         if i % 2:
-            rows.append((art, "mango", f"p{i % 7}", f"Name{i % 5} X", "", [P], i % 4, []))
+            rows.append((art, "tagger_b", f"p{i % 7}", f"Name{i % 5} X", "", [P], i % 4, []))
         else:
-            rows.append((art, "mango", f"labour_party_{i % 3}", "Party", "", [PP], None, []))
+            rows.append((art, "tagger_b", f"labour_party_{i % 3}", "Party", "", [PP], None, []))
     mentions = spark.createDataFrame(rows, MENTION)
     kb = spark.createDataFrame(
         [(f"p{k}", "gender", "female" if k % 2 else "male") for k in range(7)]

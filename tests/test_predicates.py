@@ -43,14 +43,14 @@ def test_keyword_spans_segments_and_should_not_wins(spark):
 
 def test_tagger_labels_and_entities(spark):
     m = spark.createDataFrame([
-        ("a", "mango", "u1", "Arsenal FC", "s", ["t"], 1,
+        ("a", "tagger_b", "u1", "Arsenal FC", "s", ["t"], 1,
          ["http://x/1", "http://www.bbc.co.uk/things/c4285a9a-9865-2343-af3a-8653f7b70734"]),
-        ("a", "starfruit", "http://www.bbc.co.uk/things/abc#id", None, "s", ["t"], 1, []),
+        ("a", "tagger_a", "http://www.bbc.co.uk/things/abc#id", None, "s", ["t"], 1, []),
     ], "article_key string, source string, uri string, label string, surface_form string, "
        "types array<string>, count int, same_as array<string>")
     lab = {r["source"]: r for r in tagger_labels(m).collect()}
-    assert lab["starfruit"]["tag_label"] == ""
-    assert lab["mango"]["tag_uris"] == ["http://www.bbc.co.uk/things/c4285a9a-9865-2343-af3a-8653f7b70734#id"]
+    assert lab["tagger_a"]["tag_label"] == ""
+    assert lab["tagger_b"]["tag_uris"] == ["http://www.bbc.co.uk/things/c4285a9a-9865-2343-af3a-8653f7b70734#id"]
     arts = m.sparkSession.createDataFrame([("a",), ("b",)], "article_key string")
     ent = {r["article_key"]: r for r in entity_uri_labels(arts, m).collect()}
     assert ent["a"]["isArsenal"] is True and ent["b"]["isArsenal"] is False
