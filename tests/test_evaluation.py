@@ -54,3 +54,14 @@ def test_sample_is_repeatable(spark):
     a = [r["k"] for r in G.sample_articles(df, "k", 3).collect()]
     b = [r["k"] for r in G.sample_articles(df, "k", 3).collect()]
     assert a == b and len(a) == 3
+
+
+def test_encode_texts_and_pooling(spark):
+    import numpy as np
+    df = spark.createDataFrame([(1, "a b"), (2, "b a"), (3, "")], "k int, t string")
+    enc = V.encode_texts(df, "t", "v", encoder_factory=lambda: V.HashingEncoder(dim=8))
+    rows = {r["k"]: r["v"] for r in enc.collect()}
+    assert np.allclose(rows[1], rows[2]) and len(rows[1]) == 8      # order-free mean pooling
+    assert np.allclose(rows[3], 0.0)
+    pooled = V.mean_pool_vectors(enc.withColumn("g", F.lit(1)), ["g"], "v").first()["v"]
+    assert np.allclose(pooled, np.mean([rows[1], rows[2], rows[3]], axis=0))
