@@ -52,11 +52,12 @@ def encode_labels_q(spark, sf):
     return _encoded(spark, sf).select("doc_id", "encoded_sentiment", "vader_score", "vader_encoded")
 
 
-@register("label_accuracy", REV + """ SELECT matches, n, sum(CASE WHEN matches THEN n ELSE 0 END) OVER () * 100.0
-  / sum(n) OVER () AS accuracy_pct FROM (SELECT encoded_sentiment = vader_encoded AS matches, count(*) AS n
-  FROM enc_ GROUP BY 1)""")
+@register("label_accuracy", REV + """ SELECT matches, n, round(CAST(sum(CASE WHEN matches THEN n ELSE 0 END) OVER ()
+  AS DOUBLE) * 100.0 / sum(n) OVER (), 6) AS accuracy_pct FROM (SELECT encoded_sentiment = vader_encoded AS matches,
+  count(*) AS n FROM enc_ GROUP BY 1)""")
 def label_accuracy_q(spark, sf):
-    return G.label_accuracy(_encoded(spark, sf), "encoded_sentiment", "vader_encoded")
+    out = G.label_accuracy(_encoded(spark, sf), "encoded_sentiment", "vader_encoded")
+    return out.withColumn("accuracy_pct", F.round("accuracy_pct", 6))
 
 
 @register("profile", REV + """ SELECT stat, round(value, 6) AS value FROM (
@@ -86,8 +87,8 @@ def _split_sql(k: str) -> str:
 
 @register("classifier_accuracy", f"""
 SELECT CASE WHEN {_split_sql('d.doc_id')} < 67 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
-  avg(CASE WHEN l.toxic = (CASE WHEN {" OR ".join(f"contains(lower(d.text), {O.q(t)})" for t in TOXIC_TERMS)}
-      THEN 1 ELSE 0 END) THEN 1.0 ELSE 0.0 END) AS accuracy
+  round(avg(CASE WHEN l.toxic = (CASE WHEN {" OR ".join(f"contains(lower(d.text), {O.q(t)})" for t in TOXIC_TERMS)}
+      THEN 1 ELSE 0 END) THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""")
 def classifier_accuracy_q(spark, sf):
     r = _reviews(spark, sf)
@@ -97,7 +98,7 @@ def classifier_accuracy_q(spark, sf):
         hit = hit | low.contains(t)
     scored = r.select(F.col("toxic"), F.when(hit, 1).otherwise(0).alias("pred"),
                       F.when(split_bucket(F.col("doc_id")) < 67, "train").otherwise("test").alias("split"))
-    return G.classifier_accuracy(scored, "toxic", "pred", "split")
+    return G.classifier_accuracy(scored, "toxic", "pred", "split").withColumn("accuracy", F.round("accuracy", 6))
 
 
 SWEEP_CAT = "isToxic"
