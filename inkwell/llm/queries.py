@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkwell.llm import licence_scan
+from inkwell.llm import licence_scan, simhash
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,13 @@ def register(name: str, oracle: str | None = None):
 @register("op1_licence_scan", licence_scan.oracle())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan.licence_scan(table(spark, sf_dir, "documents"))
+
+
+#: Shingle length and largest bit distance of the SimHash stage.
+SIMHASH_WORDS, SIMHASH_BITS = 3, 2
+
+
+@register("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
