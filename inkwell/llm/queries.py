@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import licence_scan, simhash
+from inkwell.llm import licence_scan, packing, simhash
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,17 @@ SIMHASH_WORDS, SIMHASH_BITS = 3, 2
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
