@@ -31,7 +31,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with this package shipped to the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
