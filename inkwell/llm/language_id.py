@@ -152,6 +152,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
 
 def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     """Freeze the trees into tables."""
+    if not len(languages):
+        none = np.zeros(1, np.int32)
+        return Model([], np.ones(256, np.uint8), 1, none, none, none, none, np.zeros((1, 0), np.float32))
     languages, lang = list(languages), np.asarray(lang, np.int64)
     gram, n = np.asarray(gram, np.int64), np.asarray(n, np.float64)
     lang, gram, n = (x[gram & 255 > 0] for x in (lang, gram, n))
