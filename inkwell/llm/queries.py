@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import language_id, licence_scan, packing, simhash
+from inkwell.llm import language_id, licence_scan, neighbours, packing, simhash, spotsigs
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.train(docs))
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register("op2_spotsigs")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        neighbours.order_key(F.col("doc_id"), text).alias("key"), "doc_id", text.alias("text"))
+    rows = neighbours.with_next(docs, {"own": spotsigs.signatures(F.col("text"))}, ["text", "own"])
+    rows = rows.withColumn("edited", spotsigs.with_tail_of(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("changed", spotsigs.signatures(F.col("edited")))
+    return rows.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.as_text(F.col("own")).alias("fingerprint"), spotsigs.as_text(F.col("changed")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        spotsigs.likeness(F.col("own"), F.col("next_own")).alias("near_next"))
