@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import language_id, licence_scan, neighbours, packing, simhash, spotsigs
+from inkwell.llm import language_id, licence_scan, neighbours, packing, pii, simhash, spotsigs
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         spotsigs.as_text(F.col("own")).alias("fingerprint"), spotsigs.as_text(F.col("changed")).alias("edited_fingerprint"),
         spotsigs.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         spotsigs.likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+
+
+@register("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = [k.name for k in pii.BASE]
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in kinds],
+        F.sha2(pii.as_text(*kinds).cast("binary"), 256).alias("base_sha256"), pii.as_text(*kinds, "added").alias("spans"))
