@@ -39,7 +39,7 @@ DIMENSIONS, BITS, STRETCH = 3, 10, 6.0
 PROJECTION_SEED = 20
 
 #: Text bytes that are turned into ids at one time.
-TOKEN_SLICE = 8 << 20
+TOKEN_SLICE = 4 << 20
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:

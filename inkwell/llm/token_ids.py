@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words in one of the two generations of a worker's cache, and pieces.
-CACHE_WORDS, CACHE_PIECES = 300_000, 1_000_000
+CACHE_WORDS, CACHE_PIECES = 120_000, 350_000
 #: Unknown words that are joined into one text for the tokenizer.
 JOINED_WORDS = 2_000
 
