@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import language_id, licence_scan, neighbours, packing, pii, simhash, spotsigs
+from inkwell.llm import language_id, licence_scan, mixing, neighbours, packing, pii, simhash, spotsigs
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents")).select(
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in kinds],
         F.sha2(pii.as_text(*kinds).cast("binary"), 256).alias("base_sha256"), pii.as_text(*kinds, "added").alias("spans"))
+
+
+#: Target weights of the sources in the mixed corpus; the rest share one.
+TARGET_WEIGHTS = {"src0": 30, "src1": 10, "src2": 10, "src3": 10, "src4": 8, "src5": 8, "src6": 6, "src7": 6, "src8": 4,
+                  "src9": 4}
+OTHER_WEIGHT = 4
+
+
+@register("op7_mixing", mixing.oracle(TARGET_WEIGHTS, OTHER_WEIGHT))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), TARGET_WEIGHTS, OTHER_WEIGHT)
