@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import language_id, licence_scan, mixing, neighbours, packing, pii, simhash, spotsigs
+from inkwell.llm import (language_id, licence_scan, mixing, neighbours, packing, pii, quality, simhash,
+                         spotsigs)
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +95,9 @@ OTHER_WEIGHT = 4
 @register("op7_mixing", mixing.oracle(TARGET_WEIGHTS, OTHER_WEIGHT))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), TARGET_WEIGHTS, OTHER_WEIGHT)
+
+
+@register("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
