@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.llm import (language_id, licence_scan, mixing, neighbours, packing, pii, quality, simhash,
-                         spotsigs)
+                         spotsigs, url_filter)
 from inkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
