@@ -97,7 +97,7 @@ def lexical(pages: DataFrame) -> DataFrame:
         "longest_label": F.coalesce(F.array_max(F.transform("labels", lambda x: F.length(x))), F.lit(0)).cast("double"),
         "first_label_length": F.length("first_label").cast("double"), "first_label_hyphens": kept(F.col("first_label"), "[^-]"),
         "vowel_ratio": kept(F.col("first_label"), "[^aeiou]") / F.greatest(F.length("first_label"), F.lit(1)),
-        "suffix": F.coalesce(F.element_at(F.col("labels"), F.when(F.size("labels") > 0, F.lit(-1)).otherwise(F.lit(1))), F.lit("")),
+        "suffix": F.coalesce(F.try_element_at(F.col("labels"), F.lit(-1)), F.lit("")),
         "domain": F.substring_index("host", ".", -2),
     })
 
