@@ -84,7 +84,7 @@ def test_trees_learn_held_out_hosts(spark):
     """Hosts built from words that training did not see, by the shape alone."""
     good = [f"http://w{i % 7}ord{i}.example.com/en/{i}" for i in range(120)]
     bad = [f"http://{a}-{b}.example.com/en/{i}" for i, (a, b) in enumerate([("casino", "win"), ("spam", "farm"), ("free", "bets")] * 20)]
-    unseen = [f"http://buy-gold{'s' * (i % 3)}.example.com/en/{i}" for i in range(20)]
+    unseen = [f"http://fast-cash{'s' * (i % 3)}.example.com/en/{i}" for i in range(20)]
     urls = dict(enumerate([*good, *bad, *unseen]))
     parts = pages(spark, urls).select("page_id", "url", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
     rows = url_filter.with_features(parts).cache()
