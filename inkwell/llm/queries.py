@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import (language_id, licence_scan, mixing, neighbours, packing, pii, quality, simhash,
+from inkwell.llm import (language_id, licence_scan, lm_score, mixing, neighbours, packing, pii, quality, simhash,
                          spotsigs, url_filter)
 from inkwell.llm.common import table
 
@@ -106,3 +106,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_url_filter")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@register("op10_lm_score")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, lm_score.train(docs))
