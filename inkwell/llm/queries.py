@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from inkwell.llm import (language_id, licence_scan, lm_score, mixing, neighbours, packing, pii, quality, simhash,
                          spotsigs, url_filter)
 from inkwell.llm.common import table
+from inkwell.llm.settings import OTHER_WEIGHT, SIMHASH_BITS, SIMHASH_WORDS, TARGET_WEIGHTS, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,25 +33,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan.licence_scan(table(spark, sf_dir, "documents"))
 
 
-#: Shingle length and largest bit distance of the SimHash stage.
-SIMHASH_WORDS, SIMHASH_BITS = 3, 2
-
-
 @register("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS, SIMHASH_BITS)
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @register("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -86,12 +75,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.as_text(*kinds).cast("binary"), 256).alias("base_sha256"), pii.as_text(*kinds, "added").alias("spans"))
 
 
-#: Target weights of the sources in the mixed corpus; the rest share one.
-TARGET_WEIGHTS = {"src0": 30, "src1": 10, "src2": 10, "src3": 10, "src4": 8, "src5": 8, "src6": 6, "src7": 6, "src8": 4,
-                  "src9": 4}
-OTHER_WEIGHT = 4
-
-
 @register("op7_mixing", mixing.oracle(TARGET_WEIGHTS, OTHER_WEIGHT))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), TARGET_WEIGHTS, OTHER_WEIGHT)
@@ -112,3 +95,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm_score.score(docs, lm_score.train(docs))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

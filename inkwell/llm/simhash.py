@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from inkwell.llm.common import map_arrow, text_bytes, written
 from inkwell.llm.components import connected_components
@@ -76,8 +77,21 @@ def fingerprint(text: bytes, words_per_shingle: int) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
 
 
+def with_fingerprint(docs: DataFrame, words_per_shingle: int, text_col: str = "text") -> DataFrame:
+    """(row struct, fingerprint bigint): every row whole, and the 64 bits of
+    its text as a signed number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = text_bytes(pa.RecordBatch.from_struct_array(b.column("row")).column(text_col))
+            fps = np.fromiter((fingerprint(t, words_per_shingle) for t in texts), np.int64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(fps)], names=["row", "fingerprint"])
+
+    rows = docs.select(F.struct("*").alias("row"))
+    return map_arrow(rows, run, StructType([*rows.schema.fields, StructField("fingerprint", LongType())]))
+
+
 def fingerprints(docs: DataFrame, words_per_shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint bigint) of every row, the 64 bits as a signed number."""
+    """(doc_id, fingerprint bigint) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, words_per_shingle) for t in text_bytes(b.column(1))), np.int64, b.num_rows)
@@ -127,5 +141,24 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int, max_distance: int,
     return rows.join(classes, "fingerprint").select("doc_id", "fingerprint", "label", "component_id")
 
 
+def deduplicate(docs: DataFrame, words_per_shingle: int, max_distance: int) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stand for their
+    component: the one with its smallest doc_id (any one of repeated rows; of
+    rows without an id only if no row of the component has one).
+
+    Fingerprints are made twice, once for the components and once beside the
+    rows, so that only kept rows are shuffled, and those by (doc_id,
+    fingerprint), which no group of copies shares."""
+    found = near_duplicates(docs, words_per_shingle, max_distance)
+    chosen = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+              .groupBy("label", "component_id").agg(F.min("fingerprint").alias("fingerprint"))
+              .select(F.col("component_id").alias("id"), F.col("fingerprint").alias("fp")))
+    rows = with_fingerprint(docs, words_per_shingle).withColumn("doc_id", F.col("row.doc_id"))
+    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["fingerprint"] == chosen["fp"]), "left_semi")
+    order = Window.partitionBy("doc_id", "fingerprint").orderBy(F.asc_nulls_first("row.text"))
+    one = kept.withColumn("n", F.row_number().over(order)).filter("n = 1")
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
