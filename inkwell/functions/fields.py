@@ -243,17 +243,11 @@ def tag_labels() -> Column:
 # B17 camelCase renaming (schema only, no data pass)
 # ---------------------------------------------------------------------------
 def underscore_to_camel(name: str) -> str:
-    """First token lowercased, later tokens capitalised (rest lowercased);
-    empty token -> ``_``."""
-    out = []
-    for i, tok in enumerate(name.split("_")):
-        if not tok:
-            out.append("_")
-        elif i == 0:
-            out.append(tok.lower())
-        else:
-            out.append(tok[:1].upper() + tok[1:].lower())
-    return "".join(out)
+    """First non-empty token lowercased, later ones capitalised (rest
+    lowercased); empty token -> ``_``."""
+    tokens = name.split("_")
+    first = next((i for i, tok in enumerate(tokens) if tok), -1)
+    return "".join("_" if not tok else tok.lower() if i == first else tok.capitalize() for i, tok in enumerate(tokens))
 
 
 def camel_type(dtype: T.DataType) -> T.DataType:

@@ -45,13 +45,13 @@ def text_pipeline(text: str = "text", label: str = "label", num_features: int =
 def train_text_classifier(df: DataFrame, key: str, text: str, label: str, train_pct: int = 67,
                           max_rows: int | None = None, **pipeline_args
                           ) -> tuple[PipelineModel, DataFrame]:
-    """Split, optionally cap each side at ``max_rows`` (deterministic:
-    lowest keys by hash bucket), fit, report ``split, n, accuracy``."""
+    """Split, fit on the training side (on its ``max_rows`` lowest rows by
+    hash bucket and key, if given), report ``split, n, accuracy`` over the
+    fitted rows and the whole test side."""
     data = df.select(key, F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
     train, test = train_test_split(data, key, train_pct)
     if max_rows is not None:
         train = train.orderBy(split_bucket(F.col(key)), key).limit(max_rows)
-        test = test.orderBy(split_bucket(F.col(key)), key).limit(max_rows)
     model = text_pipeline("text", "label", **pipeline_args).fit(train)
     acc = classifier_report(model, train, test)
     return model, acc

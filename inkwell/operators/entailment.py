@@ -1,8 +1,9 @@
 """Entailment labelling (E10, E11) with an injected scorer.
 
 For each topic (a bounded literal list) the hypothesis ``discusses a or b or
-c`` is scored against the premise (the first ``max_chars`` characters of the
-text).  A scorer maps (premise, hypothesis, terms) Columns to the three
+c`` is scored against the whole text, in consecutive windows of ``max_chars``
+characters (a model's input limit); an article's probability is that of its
+best window.  A scorer maps (premise, hypothesis, terms) Columns to the three
 logits ``[contradiction, neutral, entailment]``; the probability is the
 softmax over contradiction and entailment, ``1 / (1 + exp(l0 - l2))``.
 
@@ -10,7 +11,8 @@ The default scorer is a deterministic stand-in (no model weights ship
 here): with ``h`` of the ``n`` topic terms found in the lowercased premise,
 ``l0 = 0`` and ``l2 = ln((h + 0.5) / (n - h + 0.5))``, i.e. probability
 ``(h + 0.5) / (n + 1)``.  A pretrained model plugs in through
-``pandas_scorer``: an iterator pandas UDF that loads it once per task."""
+``pandas_scorer``: an iterator pandas UDF that loads it once per task and
+takes all windows of a row at once."""
 
 from __future__ import annotations
 
@@ -44,25 +46,49 @@ def term_share_scorer(premise: Column, hyp: Column, terms: Sequence[str]) -> Col
 
 def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], np.ndarray]]) -> Scorer:
     """Wrap a batch model ``(premises, hypotheses) -> (n, 3) logits`` as a
-    scorer.  The model is built once per task; batches are Arrow batches."""
+    scorer of windows: the model is built once per task and sees the windows
+    of an Arrow batch's rows in one call.  A row without windows gives null and
+    reaches no model, also inside a ``CASE WHEN``."""
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    @F.pandas_udf(T.DoubleType())
     def _score(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = model_factory()
-        for prem, hyp in it:
-            logits = np.asarray(model(prem.fillna("").tolist(), hyp.tolist()), dtype=float)
-            yield pd.Series([row.tolist() for row in logits])
-
-    def scorer(premise: Column, hyp: Column, terms: Sequence[str]) -> Column:
+        for rows, hyp in it:
+            counts = np.array([0 if w is None else len(w) for w in rows])
+            best = np.full(len(rows), np.nan)
+            if counts.any():
+                owner = np.repeat(np.arange(len(rows)), counts)
+                logits = np.asarray(model([x for w in rows if w is not None for x in w], hyp.iloc[owner].tolist()), float)
+                best = np.where(counts > 0, 0.0, np.nan)
+                np.maximum.at(best, owner, 1.0 / (1.0 + np.exp(logits[:, 0] - logits[:, 2])))
+            yield pd.Series(best).astype(object).where(counts > 0, None)
+
+    udf = _score.asNondeterministic()
+
+    def scorer(premises: Column, hyp: Column, terms: Sequence[str]) -> Column:
         from pyspark.sql import SparkSession
         active = SparkSession.getActiveSession()
         if active is not None:
             ship_package(active)
-        return _score(premise, hyp).asNondeterministic()
+        return udf(premises, hyp)
 
+    scorer.takes_windows = True
     return scorer
 
 
+def windows(text: Column, max_chars: int) -> Column:
+    """Consecutive windows of ``max_chars`` characters; none for an empty text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{max_chars}}}"), F.lit(0))
+
+
+def best_probability(premises: Column, terms: Sequence[str], scorer: Scorer) -> Column:
+    """P(entailment) of the best window; null without windows."""
+    hyp = F.lit(hypothesis(terms))
+    if getattr(scorer, "takes_windows", False):
+        return scorer(premises, hyp, terms)
+    return F.array_max(F.transform(premises, lambda w: entailment_probability(scorer(w, hyp, terms))))
+
+
 def entailment_probability(logits: Column) -> Column:
     """Softmax over [contradiction, entailment] -> P(entailment)."""
     return bind(logits, lambda lg: 1.0 / (1.0 + F.exp(F.get(lg, 0) - F.get(lg, 2))))
@@ -74,11 +100,14 @@ def entailment_labels(df: DataFrame, text: str, keys: Sequence[str],
                       max_chars: int = ENTAILMENT_MAX_CHARS, skip_empty: bool = True) -> DataFrame:
     """``keys``, per topic ``<topic>_p`` and ``<topic>`` (P >= threshold).
     Rows with an empty/null text are filtered before scoring (no model call)."""
-    base = df.select(*keys, F.substring(F.col(text), 1, max_chars).alias("_premise"))
+    base = df
     if skip_empty:
-        base = base.where(F.col("_premise").isNotNull() & (F.col("_premise") != ""))
-    probs = [entailment_probability(scorer(F.col("_premise"), F.lit(hypothesis(terms)), terms))
-             .alias(f"{name}_p") for name, terms in topics.items()]
+        base = base.where(F.col(text).isNotNull() & (F.col(text) != ""))
+    found = windows(F.col(text), max_chars)
+    if not skip_empty:
+        found = F.when(F.col(text) == "", F.array(F.lit(""))).otherwise(found)
+    base = base.select(*keys, found.alias("_premises"))
+    probs = [best_probability(F.col("_premises"), terms, scorer).alias(f"{name}_p") for name, terms in topics.items()]
     scored = base.select(*keys, *probs)
     return scored.select(*keys, *[c for name in topics for c in (
         F.col(f"{name}_p"), (F.col(f"{name}_p") >= threshold).alias(name))])

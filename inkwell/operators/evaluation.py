@@ -60,12 +60,8 @@ def profile(df: DataFrame, value: str, klass: str | None = None, approx: bool =
 
 def class_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, class, n`` for each listed column."""
-    parts = [df.groupBy(F.col(c).cast("string").alias("class")).agg(F.count("*").alias("n"))
-             .select(F.lit(c).alias("column"), "class", "n") for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("class")) for c in columns])
+    return df.select(F.inline(pairs)).groupBy("column", "class").agg(F.count("*").alias("n"))
 
 
 def classifier_accuracy(df: DataFrame, truth: str, pred: str, split: str) -> DataFrame:
@@ -97,14 +93,16 @@ def threshold_sweep(df: DataFrame, truth: str, prob: str,
 
 
 def roc_points(sweep: DataFrame) -> DataFrame:
-    """Ordered (fpr, tpr) points plus the trapezoid AUC over them (the
-    window spans the threshold grid, a bounded literal list)."""
-    w = Window.orderBy(F.col("fpr"), F.col("tpr"), F.col("threshold"))
+    """Ordered (fpr, tpr) points plus the trapezoid area under the curve
+    from (0, 0) through them to (1, 1) (the window spans the threshold grid, a
+    bounded literal list)."""
+    w = Window.orderBy(F.col("fpr"), F.col("tpr"), F.asc_nulls_first("threshold"))
     pts = sweep.select("threshold", "fpr", "tpr").where(F.col("fpr").isNotNull() & F.col("tpr").isNotNull())
-    seg = pts.select("*", ((F.col("fpr") - F.lag("fpr").over(w))
-                           * (F.col("tpr") + F.lag("tpr").over(w)) / 2.0).alias("_area"))
-    auc = F.coalesce(F.sum("_area").over(Window.partitionBy(F.lit(1))), F.lit(0.0))
-    return seg.select("threshold", "fpr", "tpr", auc.alias("auc"))
+    ends = sweep.sparkSession.createDataFrame([(None, 0.0, 0.0), (None, 1.0, 1.0)], "threshold double, fpr double, tpr double")
+    seg = pts.unionByName(ends).select("*", ((F.col("fpr") - F.lag("fpr").over(w))
+                                             * (F.col("tpr") + F.lag("tpr").over(w)) / 2.0).alias("_area"))
+    auc = F.sum("_area").over(Window.partitionBy(F.lit(1)))
+    return seg.select("threshold", "fpr", "tpr", auc.alias("auc")).where(F.col("threshold").isNotNull())
 
 
 def sample_articles(df: DataFrame, key: str, n: int = 1, seed: str = "") -> DataFrame:

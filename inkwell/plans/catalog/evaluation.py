@@ -9,7 +9,8 @@ from inkwell.functions import sentiment as S
 from inkwell.operators import evaluation as G
 from inkwell.operators.classifier import split_bucket
 from inkwell.operators.entailment import entailment_labels
-from inkwell.operators.labelling import boolean_categories
+from inkwell.functions.predicates import keyword_match
+from inkwell.operators.labelling import article_text
 from inkwell.plans import oracles as O
 from inkwell.plans.catalog import register
 from inkwell.plans.catalog.labels import ARTICLE_TEXT_SQL, KEYWORD_FIXTURE, _kw_sql
@@ -106,17 +107,16 @@ SWEEP_TERMS = KEYWORD_FIXTURE[SWEEP_CAT]["should"]
 
 
 def _sweep(spark, sf):
-    arts = load_articles(spark, sf)
-    y = boolean_categories(arts, None, {SWEEP_CAT: KEYWORD_FIXTURE[SWEEP_CAT]}, key="doc_id")
-    body = arts.select("doc_id", B.body_raw().alias("body"))
-    p = entailment_labels(body, "body", ["doc_id"], topics={SWEEP_CAT: SWEEP_TERMS}, skip_empty=False)
-    scored = y.join(p.select("doc_id", F.col(f"{SWEEP_CAT}_p").alias("prob")), "doc_id")
-    return G.threshold_sweep(scored, SWEEP_CAT, "prob")
+    spec = KEYWORD_FIXTURE[SWEEP_CAT]
+    truth = keyword_match(article_text(), spec["should"], spec["should_not"])
+    rows = load_articles(spark, sf).select(truth.alias("truth"), B.body_raw().alias("body"))
+    scored = entailment_labels(rows, "body", ["truth"], topics={SWEEP_CAT: SWEEP_TERMS}, skip_empty=False)
+    return G.threshold_sweep(scored, "truth", f"{SWEEP_CAT}_p")
 
 
 _ys, _yn = _kw_sql("t", KEYWORD_FIXTURE[SWEEP_CAT])
 SWEEP_SQL = O.with_articles("", (
-    f"sc_ AS (SELECT doc_id, (NOT {_yn} AND {_ys}) AS y, {entail_p_sql('substring(body, 1, 1024)', SWEEP_TERMS)} AS p "
+    f"sc_ AS (SELECT doc_id, (NOT {_yn} AND {_ys}) AS y, {entail_p_sql('body', SWEEP_TERMS)} AS p "
     f"FROM (SELECT doc_id, {ARTICLE_TEXT_SQL} AS t, {O.BODY_RAW} AS body FROM articles)), "
     "th_(threshold) AS (VALUES (0.3), (0.6), (0.9)), "
     "cm_ AS (SELECT th_.threshold, "
@@ -134,9 +134,12 @@ def threshold_sweep_q(spark, sf):
     return _sweep(spark, sf)
 
 
-@register("roc_points", SWEEP_SQL + """SELECT threshold, fpr, tpr, round(coalesce(sum(area) OVER (), 0.0), 6) AS auc FROM (
-  SELECT threshold, fpr, tpr, (fpr - lag(fpr) OVER w) * (tpr + lag(tpr) OVER w) / 2.0 AS area
-  FROM sw_ WHERE fpr IS NOT NULL AND tpr IS NOT NULL WINDOW w AS (ORDER BY fpr, tpr, threshold))""")
+@register("roc_points", SWEEP_SQL + """, pt_ AS (
+  SELECT threshold, fpr, tpr FROM sw_ WHERE fpr IS NOT NULL AND tpr IS NOT NULL
+  UNION ALL SELECT CAST(NULL AS DOUBLE), unnest([0.0, 1.0]), unnest([0.0, 1.0])),
+ar_ AS (SELECT threshold, fpr, tpr, (fpr - lag(fpr) OVER w) * (tpr + lag(tpr) OVER w) / 2.0 AS area
+  FROM pt_ WINDOW w AS (ORDER BY fpr, tpr, threshold NULLS FIRST))
+SELECT threshold, fpr, tpr, (SELECT round(sum(area), 6) FROM ar_) AS auc FROM ar_ WHERE threshold IS NOT NULL""")
 def roc_points_q(spark, sf):
     return G.roc_points(_sweep(spark, sf)).withColumn("auc", F.round("auc", 6))
 

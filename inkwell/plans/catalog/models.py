@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from inkwell.config import ENTAILMENT_TOPICS
+from inkwell.config import ENTAILMENT_MAX_CHARS, ENTAILMENT_TOPICS
 from inkwell.functions import fields as B
 from inkwell.operators.entailment import entailment_bucket, entailment_labels, entailment_percent
 from inkwell.plans import oracles as O
@@ -12,14 +12,17 @@ from inkwell.plans.catalog import register
 from inkwell.plans.standins import load_articles
 
 
-def entail_p_sql(premise: str, terms) -> str:
-    hits = " + ".join(f"(CASE WHEN contains(lower({premise}), {O.q(t.lower())}) THEN 1 ELSE 0 END)"
-                      for t in terms)
+def entail_p_sql(text: str, terms) -> str:
+    """P of the best of the consecutive windows of the whole text."""
+    hits = " + ".join(f"(CASE WHEN contains(lower(w), {O.q(t.lower())}) THEN 1 ELSE 0 END)" for t in terms)
     n = len(terms)
-    return f"(1.0 / (1.0 + exp(0.0 - ln(({hits} + 0.5) / ({n} - ({hits}) + 0.5)))))"
+    p = f"(1.0 / (1.0 + exp(0.0 - ln(({hits} + 0.5) / ({n} - ({hits}) + 0.5)))))"
+    size = ENTAILMENT_MAX_CHARS
+    return (f"list_max(list_transform(list_transform(range(0, greatest(length({text}), 1), {size}), "
+            f"lambda i: substring({text}, i + 1, {size})), lambda w: {p}))")
 
 
-PREMISE = f"substring({O.BODY_CLEAN}, 1, 1024)"
+PREMISE = O.BODY_CLEAN
 ENTAIL_CTE = ("ent_ AS (SELECT doc_id, " + ", ".join(
     f"{entail_p_sql('premise', terms)} AS \"{name}_p\"" for name, terms in ENTAILMENT_TOPICS.items())
     + f" FROM (SELECT doc_id, {PREMISE} AS premise FROM articles) WHERE premise IS NOT NULL AND premise <> '')")

@@ -19,8 +19,7 @@ from inkwell.functions import fields as B
 from inkwell.functions import sentiment as S
 from inkwell.functions.text import split_sentences
 from inkwell.operators.classifier import rule_scorer, sarcasm_score
-from inkwell.operators.entailment import (entailment_probability, hypothesis,
-                                          term_share_scorer)
+from inkwell.operators.entailment import best_probability, term_share_scorer, windows
 from inkwell.operators.entities import Enrichment
 from inkwell.operators.labelling import _category_flags, article_text, mention_label_aggregates
 from inkwell.sources.sinks import attach_features, sink_enriched
@@ -35,7 +34,7 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                      entail_scorer=term_share_scorer,
                      sarcasm_scorer: Callable[[Column], Column] | None = None,
                      lexicon=None, materialize_kb: bool = False,
-                     with_party_scores: bool = True) -> DataFrame:
+                     with_party_scores: bool = True, max_chars: int = ENTAILMENT_MAX_CHARS) -> DataFrame:
     """H1: ``key``, score features (when mentions and KB are given), one
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
@@ -47,13 +46,11 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                              B.headline().alias("_h"), B.summary().alias("_s"), B.body_clean().alias("_body"))
     base = staged.select(
         "*", F.nullif(F.concat_ws(" ", "_h", "_s", "_body"), F.lit("")).alias("_combined"),
-        F.substring("_body", 1, ENTAILMENT_MAX_CHARS).alias("_premise"))
+        windows(F.col("_body"), max_chars).alias("_premises"))
 
     has_text = F.col("_combined").isNotNull()
-    has_body = has_text & F.col("_premise").isNotNull() & (F.col("_premise") != "")
-    ent = [F.when(has_body, entailment_probability(entail_scorer(
-        F.col("_premise"), F.lit(hypothesis(terms)), terms)) >= ENTAILMENT_THRESHOLD).alias(name)
-        for name, terms in topics.items()]
+    ent = [(best_probability(F.col("_premises"), terms, entail_scorer) >= ENTAILMENT_THRESHOLD).alias(name)
+           for name, terms in topics.items()]
     sent = F.when(has_text, S.sentiment_label(S.mean_of(S.list_scores(split_sentences(F.col("_combined")), lex))))
     sarc = F.when(has_text, sarcasm_score(F.col("_combined"), sarcasm_scorer or rule_scorer(["!"])))
     inrow = base.select("*", *ent, sent.alias("sentiment_label"), sarc.alias("sarcasm_score"))

@@ -4,6 +4,7 @@ pruning and camelCase naming -- all schema-level, no Python per row."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,19 +15,21 @@ from inkwell.functions import predicates as C
 
 
 def _prune(col: Column, dtype: T.DataType, nested: bool) -> Column:
-    """Empty string / empty array / empty struct -> null; inside nested
-    values, ``false`` and ``0`` are dropped as well."""
+    """Empty string / empty array -> null; inside structs, ``false``, ``0`` and
+    structs of which nothing is left go as well.  A top-level struct stays,
+    with what is left of it, and so does every list element."""
     if isinstance(dtype, T.StringType):
         return F.nullif(col, F.lit(""))
     if isinstance(dtype, T.ArrayType):
-        inner = F.transform(col, lambda x: _prune(x, dtype.elementType, True))
+        inner = F.transform(col, lambda x: _prune(x, dtype.elementType, False)) \
+            if isinstance(dtype.elementType, T.StructType) else col
         return F.when(F.size(col) > 0, inner)
     if isinstance(dtype, T.StructType):
         fields = [_prune(col.getField(f.name), f.dataType, True).alias(f.name) for f in dtype.fields]
-        pruned = F.struct(*fields)
-        any_set = F.greatest(*[F.lit(False)] + [col.getField(f.name).isNotNull() for f in dtype.fields]) \
-            if dtype.fields else F.lit(False)
-        return F.when(col.isNotNull() & any_set, pruned)
+        pruned = F.when(col.isNotNull(), F.struct(*fields))
+        if not nested:
+            return pruned
+        return F.when(reduce(lambda a, b: a | b, [f.isNotNull() for f in fields], F.lit(False)), pruned)
     if nested:
         return B.truthy_or_null(col, dtype)
     return col

@@ -55,7 +55,7 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     lines = F.split(F.col("text"), "\n", -1)
     para = F.transform(lines, lambda ln: F.struct(
-        F.lit("paragraph").alias("type"), ln.alias("text"), F.lit("candy_xml").alias("markupType")))
+        F.lit("paragraph").alias("type"), ln.alias("text"), F.lit("markup").alias("markupType")))
     image = F.array(F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"),
                              F.lit(None).cast("string").alias("markupType")))
     blocks = F.when(d % 6 == 0, F.concat(image, para)).otherwise(para)

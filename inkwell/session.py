@@ -40,12 +40,16 @@ def build_session(app: str = "inkwell", cpus: str | int = "*",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins.  Only when it is unset (local
-    tests) do we create one under the system temp folder."""
+    The cluster's ``spark.checkpoint.dir`` wins.  Only in local mode, where
+    driver and executors are one process, may it be unset: then one is created
+    under the system temp folder.  On a cluster that folder would be a
+    different one on each machine, so a missing setting is an error."""
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="inkwell-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -59,19 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-_TABLES: dict[tuple[int, str], object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """Parquet table by name; the resolved DataFrame is memoised per session
-    so file listing and footer reads happen once per plan build."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """Parquet table by name, as its files are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def materialize(df):
@@ -82,6 +76,13 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def materialize_table(df, name: str):
+    """Write ``df`` as Parquet below the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -38,16 +38,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 def scan_word_vectors(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A5: ``term, count, vector``.  ``fmt='parquet'`` reads the F6 table;
     ``fmt='word2vec'`` reads word2vec *text* files (header ``N D`` then
-    ``term v1 .. vD`` per line; no counts, so ``count`` is null)."""
+    ``term v1 .. vD`` per line; no counts, so ``count`` is null).  The header
+    is the line whose N is the number of the other lines; with its D, terms may
+    hold spaces and vectors may have one dimension."""
     if fmt == "parquet":
         return spark.read.schema(WORD_VECTORS).parquet(path)
     if fmt != "word2vec":
         raise ValueError(fmt)
-    lines = spark.read.text(path).select(F.split(F.trim("value"), " +").alias("p"))
-    body = lines.where(F.size("p") > 2)     # the header has two fields
-    return body.select(F.get("p", 0).alias("term"), F.lit(None).cast("long").alias("count"),
-                       F.transform(F.slice("p", 2, F.size("p") - 1),
-                                   lambda x: x.cast("float")).alias("vector"))
+    lines = spark.read.text(path).select(F.trim("value").alias("line")).where("line <> ''")
+    n = max(lines.count() - 1, 0)
+    header = lines.where(F.col("line").rlike(f"^{n} [0-9]+$")).first()
+    if header is None:
+        raise ValueError(f"{path} has no header line for its {n} vectors")
+    d = int(header["line"].split(" ")[1])
+    body = lines.where(F.col("line") != header["line"]).select(F.split("line", " +").alias("p"))
+    return body.select(F.array_join(F.slice("p", F.lit(1), F.size("p") - d), " ").alias("term"),
+                       F.lit(None).cast("long").alias("count"),
+                       F.transform(F.slice("p", F.size("p") - (d - 1), F.lit(d)), lambda x: x.cast("float")).alias("vector"))
 
 
 def write_word2vec_text(df: DataFrame, path: str, term: str = "term", vector: str = "vector") -> None:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.session import ship_package
+from inkwell.session import materialize_table, ship_package
 
 Client = Callable[[list[str]], list[list[dict]]]
 
@@ -56,10 +56,13 @@ def fetch_topics(keys: DataFrame, client_factory: Callable[[], Client] = lambda:
 
 def topic_snapshot_refresh(articles: DataFrame, snapshot: DataFrame, key: str = "article_key",
                            client_factory: Callable[[], Client] = lambda: empty_client,
-                           append_to: str | None = None) -> DataFrame:
-    """Fetch topics for articles missing from the snapshot; optionally
-    append them (parquet) to ``append_to``.  Returns the fetched rows."""
-    fetched = fetch_topics(missing_keys(articles, snapshot, key), client_factory, key)
+                           append_to: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Fetch topics for articles missing from the snapshot, at most
+    ``partitions`` clients at a time, and append them (parquet) to
+    ``append_to`` or to a table in the shared folder.  Returns the fetched rows
+    as written, so actions on them call no client again."""
+    wanted = materialize_table(missing_keys(articles, snapshot, key), "missing-topics")
+    fetched = materialize_table(fetch_topics(wanted, client_factory, key, partitions=partitions), "fetched-topics")
     if append_to:
         fetched.write.mode("append").parquet(append_to)
     return fetched

@@ -9,6 +9,7 @@ executors) resumes exactly where the committed offsets stop."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,10 @@ def enrich_stream(spark: SparkSession, input_dir: str, output_dir: str, mentions
     there and stops (batch-like, restartable); otherwise it keeps running."""
     stream = article_stream(spark, input_dir)
     out = article_features(stream, mentions=mentions, **feature_args)
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "enrich-stream-" + os.path.basename(
-        output_dir.rstrip("/")))
+    if not checkpoint:  # keyed by the full output path: equal folder names share nothing
+        digest = hashlib.sha256(output_dir.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint = os.path.join(ensure_checkpoint_dir(spark), f"enrich-stream-{os.path.basename(output_dir.rstrip('/'))}-{digest}")
+    ckpt = checkpoint
     writer = out.writeStream.format(fmt).option("path", output_dir).option("checkpointLocation", ckpt) \
         .outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

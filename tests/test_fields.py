@@ -107,3 +107,11 @@ def test_site_dispatch_rejects(spark):
     _, strict_rej = site_dispatch(df, [], [], [F.col("article_key")], strict=True)
     with pytest.raises(Exception):
         strict_rej.collect()
+
+
+def test_prune_empty_structs_and_list_elements(spark):
+    from inkwell.plans.records import prune_empty, to_record_json
+    df = spark.createDataFrame([("k", (("",),), ["", "x"], (("y",), 0)), ("n", None, [], (("",), 1))],
+                               "key string, s struct<a:struct<b:string>>, l array<string>, t struct<a:struct<b:string>,n:int>")
+    got = {r["key"]: r["record"] for r in to_record_json(prune_empty(df, keep=["key"]), "key").collect()}
+    assert got == {"k": '{"s":{},"l":["","x"],"t":{"a":{"b":"y"}}}', "n": '{"t":{"n":1}}'}

@@ -51,19 +51,42 @@ def test_word2vec_text_round_trip(spark, tmpdir_path):
     assert back["a"] == [0.5, -1.25] and len(back) == 2
 
 
-def test_snapshot_fetches_only_missing(spark, tmpdir_path):
-    arts = spark.createDataFrame([("a",), ("b",), ("b",)], "article_key string")
+def test_word2vec_one_dimension_spaces_and_numeric_terms(spark, tmpdir_path):
+    for name, rows in {"one": [("a", [1.0]), ("2", [2.0]), ("3 1", [3.0])], "spaces": [("new york", [1.0, 2.0]), ("x", [0.0, 1.0])]}.items():
+        path = os.path.join(tmpdir_path, name)
+        write_word2vec_text(spark.createDataFrame(rows, "term string, vector array<float>"), path)
+        assert sorted((r["term"], r["vector"]) for r in scan_word_vectors(spark, path, fmt="word2vec").collect()) == sorted(rows)
+
+
+def test_snapshot_calls_the_client_once_per_missing_uri(spark, tmpdir_path):
+    arts = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "article_key string")
     snap = spark.createDataFrame([("a",)], "article_key string")
-    calls = []
+    log = os.path.join(tmpdir_path, "calls")
+    os.makedirs(log)
 
     def factory():
         def client(uris):
-            return [[{"uri": u}] for u in uris]
+            for u in uris:
+                with open(os.path.join(log, u), "a") as fo:
+                    fo.write("x")
+            return [[{"uri": u}] * 2 for u in uris]
         return client
-    out = topic_snapshot_refresh(arts, snap, client_factory=factory,
-                                 append_to=os.path.join(tmpdir_path, "snap")).collect()
-    assert [(r["article_key"], r["n_topics"]) for r in out] == [("b", 1)]
-    assert calls == []
+    out = topic_snapshot_refresh(arts, snap, client_factory=factory, append_to=os.path.join(tmpdir_path, "snap"), partitions=1)
+    assert out.count() == 2
+    assert sorted((r["article_key"], r["n_topics"]) for r in out.collect()) == [("b", 2), ("c", 2)]
+    assert spark.read.parquet(os.path.join(tmpdir_path, "snap")).count() == 2
+    assert {u: open(os.path.join(log, u)).read() for u in os.listdir(log)} == {"b": "x", "c": "x"}
+
+
+def test_streams_with_equal_folder_names_share_nothing(spark, tmpdir_path):
+    for parent, headline in (("p1", "First"), ("p2", "Second")):
+        src = os.path.join(tmpdir_path, parent, "in")
+        os.makedirs(src)
+        with open(os.path.join(src, "12345678"), "w") as fo:
+            json.dump(_doc("/news/uk-12345678", headline, "Body."), fo)
+        enrich_stream(spark, src, os.path.join(tmpdir_path, parent, "out")).awaitTermination(120)
+    for parent in ("p1", "p2"):
+        assert spark.read.json(os.path.join(tmpdir_path, parent, "out")).count() == 1
 
 
 def test_streaming_enrichment(spark, tmpdir_path):
