@@ -1,11 +1,15 @@
 """Entity enrichment (D1-D14): mentions joined with knowledge-base facts and
 name dictionaries, then per-article algebraic aggregates.
 
-Every per-article result is a sum/count/max computed with partial
-aggregation before the shuffle, so an article holding a third of all
-mentions costs one more partial row per task, not one giant group.  The KB is
-joined once in wide form (one row per subject); repeated mentions are a
-weight column, never materialised repeats."""
+Mentions are read once: the KB is first reduced to one row per subject with
+everything a mention of it needs (gender, party, the party's position and its
+own), so each mention meets the KB in one join and the name dictionaries in
+another; broadcast or shuffle, and the splitting of a hot URI or name, is
+AQE's choice from real sizes.  Per-article results come from one aggregate per
+(article, party) and one per article, both with partial aggregation before the
+shuffle, so an article holding a third of all mentions costs one more partial
+row per task, not one giant group.  Repeated mentions are a weight column,
+never materialised repeats."""
 
 from __future__ import annotations
 
@@ -18,7 +22,6 @@ from pyspark.sql import functions as F
 from inkwell.config import (PARTY_COLUMNS, PERSON_TYPE, POLITICAL_PARTIES,
                             POLITICAL_PARTY_TYPE, POLITICAL_POSITION_SCORES,
                             POLITICIAN_TYPE)
-from inkwell.operators.joins import bounded_broadcast
 
 KB_PREDICATES = ["party", "gender", "position", "successor", "wikiPageRedirects"]
 
@@ -55,34 +58,20 @@ def first_name(label: Column) -> Column:
     return F.get(F.split(label, " "), 0)
 
 
-def _dictionary(name_gender: DataFrame, provider: str, alias: str,
-                known_rows: int | None = None) -> DataFrame:
-    d = (name_gender.where(F.col("provider") == provider)
-         .groupBy("first_name").agg(F.min("gender").alias(alias)))
-    return bounded_broadcast(d, known_rows=known_rows)
+def name_dictionary(name_gender: DataFrame) -> DataFrame:
+    """One row per first name with both providers' genders."""
+    return name_gender.where(F.col("first_name").isNotNull()).groupBy("first_name").agg(
+        F.min(F.when(F.col("provider") == "detector", F.col("gender"))).alias("det_gender"),
+        F.min(F.when(F.col("provider") == "genderize", F.col("gender"))).alias("gz_gender"))
 
 
-def _dictionaries(name_gender: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both providers' dictionaries; one size check on the raw table bounds
-    both (each is a per-provider distinct of it)."""
-    from inkwell.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
-    n = name_gender.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count()
-    bound = n if n <= DEFAULT_MAX_BROADCAST_ROWS else None
-    return (_dictionary(name_gender, "detector", "det_gender", bound),
-            _dictionary(name_gender, "genderize", "gz_gender", bound))
-
-
-def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFrame,
-                      dictionaries: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFrame) -> DataFrame:
     """D3: KB gender; if absent, the first dictionary (``mostly_*`` folded);
     if still not male/female, the second dictionary.  Adds ``first_name``,
-    ``party`` (KB) and ``gender``."""
-    det_d, gz_d = dictionaries or _dictionaries(name_gender)
-    kb = kb_wide.select(F.col("subject").alias("uri"), F.col("gender").alias("kb_gender"),
-                        F.col("party").alias("party"))
+    the KB's other columns (``party``) and ``gender``."""
+    kb = kb_wide.withColumnsRenamed({"subject": "uri", "gender": "kb_gender"})
     p = people.join(kb, "uri", "left").withColumn("first_name", first_name(F.col("label")))
-    p = p.join(det_d, "first_name", "left")
-    p = p.join(gz_d, "first_name", "left")
+    p = p.join(name_dictionary(name_gender), "first_name", "left")
     det = (F.when(F.col("det_gender") == "mostly_female", "female")
            .when(F.col("det_gender") == "mostly_male", "male")
            .otherwise(F.coalesce(F.col("det_gender"), F.lit("unknown"))))
@@ -95,19 +84,31 @@ def gender_resolution(people: DataFrame, kb_wide: DataFrame, name_gender: DataFr
 # ---------------------------------------------------------------------------
 # D4-D7 parties
 # ---------------------------------------------------------------------------
-def party_entries(people_resolved: DataFrame, typed_mentions: DataFrame) -> DataFrame:
-    """Politicians' parties and mentioned parties with their weight
-    (missing count -> 1).  ``party_uri`` may be null for a politician
-    without a party."""
-    pol = people_resolved.where("is_politician").select(
-        "article_key", F.col("party").alias("party_uri"),
-        F.coalesce(F.col("count"), F.lit(1)).cast("long").alias("weight"),
-        F.lit("politician").alias("kind"))
-    par = typed_mentions.where("is_party").select(
-        "article_key", F.col("uri").alias("party_uri"),
-        F.coalesce(F.col("count"), F.lit(1)).cast("long").alias("weight"),
-        F.lit("party").alias("kind"))
-    return pol.unionByName(par)
+def kb_profile(kb_wide: DataFrame) -> DataFrame:
+    """What a mention needs to know of its subject: ``gender``, ``party``,
+    ``party_position`` and, as a party itself, ``own_position``."""
+    positions = party_position(kb_wide)
+    own = positions.select(F.col("party_uri").alias("subject"), F.col("position").alias("own_position"))
+    of_party = positions.select(F.col("party_uri").alias("party"), F.col("position").alias("party_position"))
+    return kb_wide.select("subject", "gender", "party").join(own, "subject", "left").join(of_party, "party", "left") \
+        .select("subject", "gender", "party", "party_position", "own_position")
+
+
+def with_entries(resolved: DataFrame) -> DataFrame:
+    """One row per resolved mention and party entry: a politician's party and
+    a mentioned party, with their weight (missing count -> 1) and position; a
+    mention without an entry stays as one row.  ``entry`` numbers the rows of
+    a mention from 0.  ``party_uri`` may be null for a politician without a
+    party."""
+    weight = F.coalesce(F.col("count"), F.lit(1)).cast("long")
+
+    def entry(uri: str, position: str, kind: str) -> Column:
+        return F.struct(F.col(uri).alias("party_uri"), weight.alias("weight"), F.col(position).alias("position"), F.lit(kind).alias("kind"))
+
+    entries = F.array_compact(F.array(F.when(F.col("is_politician"), entry("party", "party_position", "politician")),
+                                      F.when(F.col("is_party"), entry("uri", "own_position", "party"))))
+    out = resolved.select("*", F.posexplode_outer(entries).alias("entry", "e"))
+    return out.select(*resolved.columns, F.coalesce("entry", F.lit(0)).alias("entry"), "e.party_uri", "e.weight", "e.position", "e.kind")
 
 
 def party_references(entries: DataFrame) -> DataFrame:
@@ -143,12 +144,10 @@ def position_score(position: Column,
     return out
 
 
-def position_expansion(entries: DataFrame, positions: DataFrame) -> DataFrame:
+def position_expansion(entries: DataFrame) -> DataFrame:
     """One weighted row per entry with a party; entries whose party has
     no position keep a null position."""
-    return entries.where(F.col("party_uri").isNotNull()) \
-        .join(positions, "party_uri", "left") \
-        .withColumn("score", position_score(F.col("position")))
+    return entries.where(F.col("party_uri").isNotNull()).withColumn("score", position_score(F.col("position")))
 
 
 def party_slug(uri: Column, slugs: Sequence[str] = POLITICAL_PARTIES) -> Column:
@@ -162,32 +161,42 @@ def party_slug(uri: Column, slugs: Sequence[str] = POLITICAL_PARTIES) -> Column:
 # ---------------------------------------------------------------------------
 # Per-article aggregates
 # ---------------------------------------------------------------------------
-def political_features(expanded: DataFrame, refs: DataFrame) -> DataFrame:
-    """D8, D9, D10 per article."""
-    nz = F.col("score").isNotNull() & (F.col("score") != 0)
-    scored = expanded.groupBy("article_key").agg(
+#: Per-article columns that are 0 for an article without mentions.
+ZERO_COLUMNS = ["num_political_references", "num_political_reference_entries", "num_people_mentioned", "num_politicians",
+                *PARTY_COLUMNS]
+
+
+def article_aggregates(rows: DataFrame) -> DataFrame:
+    """D8-D13 per article from ``with_entries`` rows: sums per (article,
+    party) first, where a party's score and slug are found once, then per
+    article."""
+    person = F.col("is_person") & (F.col("entry") == 0)
+    count = F.coalesce(F.col("count"), F.lit(0)).cast("long")
+    is_party = F.col("kind") == "party"
+
+    def total(condition: Column, value: Column = F.lit(1)) -> Column:
+        return F.sum(F.when(condition, value).otherwise(0)).cast("long")
+
+    parties = rows.groupBy("article_key", "party_uri", "position", F.when(
+        is_party, F.coalesce("label", "surface_form")).alias("name")).agg(
+        total(person & (F.col("gender") == "female"), count).alias("female"),
+        total(person & F.col("gender").isin("female", "male"), count).alias("known"),
+        total(person).alias("people"), total(person & F.col("is_politician")).alias("politicians"),
+        F.sum("weight").alias("weight"), total(is_party).alias("mentions"))
+    referred = F.col("party_uri").isNotNull()
+    scored = parties.withColumns({"slug": party_slug(F.col("party_uri")), "score": position_score(F.col("position"))})
+    nz = referred & F.col("score").isNotNull() & (F.col("score") != 0)
+    listed = F.struct("name", "position", F.when(F.col("slug").isNotNull(), 1).otherwise(0).alias("score"))
+    return scored.groupBy("article_key").agg(
         (F.sum(F.when(nz, F.col("score") * F.col("weight")))
-         / F.sum(F.when(nz, F.col("weight")))).alias("political_score"),
-        F.sum("weight").alias("num_political_reference_entries"))
-    # slug once per reference (a projection below the aggregate), not once
-    # per flag column
-    slugged = refs.select("article_key", party_slug(F.col("party_uri")).alias("_slug"))
-    flags = slugged.groupBy("article_key").agg(
-        F.count("*").alias("num_political_references"),
-        *[F.max(F.when(F.col("_slug") == s, 1).otherwise(0)).alias(c)
-          for s, c in zip(POLITICAL_PARTIES, PARTY_COLUMNS)])
-    return flags.join(scored, "article_key", "full")
-
-
-def people_features(people_resolved: DataFrame) -> DataFrame:
-    """D11, D12 per article."""
-    cnt = F.coalesce(F.col("count"), F.lit(0)).cast("long")
-    female = F.sum(F.when(F.col("gender") == "female", cnt).otherwise(0))
-    both = F.sum(F.when(F.col("gender").isin("female", "male"), cnt).otherwise(0))
-    return people_resolved.groupBy("article_key").agg(
-        (female / F.nullif(both, F.lit(0))).alias("female_proportion"),
-        F.count("*").alias("num_people_mentioned"),
-        F.count_if(F.col("is_politician")).alias("num_politicians"))
+         / F.nullif(F.sum(F.when(nz, F.col("weight"))), F.lit(0))).alias("political_score"),
+        F.coalesce(F.sum(F.when(referred, F.col("weight"))), F.lit(0)).alias("num_political_reference_entries"),
+        F.size(F.collect_set("party_uri")).cast("long").alias("num_political_references"),
+        *[F.max(F.when(F.col("slug") == s, 1).otherwise(0)).alias(c) for s, c in zip(POLITICAL_PARTIES, PARTY_COLUMNS)],
+        (F.sum("female") / F.nullif(F.sum("known"), F.lit(0))).alias("female_proportion"),
+        F.sum("people").alias("num_people_mentioned"), F.sum("politicians").alias("num_politicians"),
+        F.array_sort(F.flatten(F.collect_list(F.when(F.col("mentions") > 0, F.array_repeat(
+            listed, F.col("mentions").cast("int")))))).alias("partyScore"))
 
 
 class Enrichment:
@@ -200,22 +209,23 @@ class Enrichment:
         self.typed = mentions_by_type(m)
         self.kb_wide = kb_lookup(kb_facts)
         if materialize_kb:
-            # one row per subject, read by four branches: aggregate it once
-            from inkwell.session import materialize
-            self.kb_wide = materialize(self.kb_wide)
+            # one row per subject, read by the self-joins: aggregate it once
+            from inkwell.session import materialize_table
+            self.kb_wide = materialize_table(self.kb_wide, "kb")
         self.name_gender = name_gender
-        self._dicts: tuple[DataFrame, DataFrame] | None = None
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """People and parties mentioned, with KB and dictionary columns."""
+        return gender_resolution(self.typed.where("is_person or is_party"), kb_profile(self.kb_wide), self.name_gender)
 
     @cached_property
     def people(self) -> DataFrame:
-        if self._dicts is None:
-            self._dicts = _dictionaries(self.name_gender)
-        return gender_resolution(self.typed.where("is_person"), self.kb_wide, self.name_gender,
-                                 self._dicts)
+        return self.resolved.where("is_person")
 
     @cached_property
     def entries(self) -> DataFrame:
-        return party_entries(self.people, self.typed)
+        return with_entries(self.resolved).where(F.col("kind").isNotNull())
 
     @cached_property
     def references(self) -> DataFrame:
@@ -227,34 +237,28 @@ class Enrichment:
 
     @cached_property
     def expanded(self) -> DataFrame:
-        return position_expansion(self.entries, self.positions)
+        return position_expansion(self.entries)
+
+    @cached_property
+    def per_article(self) -> DataFrame:
+        """D8-D13 for each article with a mention of a person or party."""
+        return article_aggregates(with_entries(self.resolved))
 
     def party_scores(self) -> DataFrame:
         """Per mentioned party: name, resolved position and 0/1 score
         (1 when its URI carries a known party slug)."""
-        par = self.typed.where("is_party").select(
+        return self.resolved.where("is_party").select(
             "article_key", F.coalesce(F.col("label"), F.col("surface_form")).alias("name"),
-            F.col("uri").alias("party_uri"))
-        j = par.join(self.positions, "party_uri", "left")
-        return j.select("article_key", "name", "position",
-                        F.when(party_slug(F.col("party_uri")).isNotNull(), 1).otherwise(0).alias("score"))
-
-    def party_score_arrays(self, key: str = "article_key") -> DataFrame:
-        """D13 as the record's nested form: per article, the ordered array of
-        ``{name, position, score}``.  Built from distinct (article, party)
-        rows, so its size is bounded by the number of distinct parties, not
-        by how often an article mentions them."""
-        rows = self.party_scores().dropDuplicates(["article_key", "name", "position", "score"])
-        return rows.groupBy(F.col("article_key").alias(key)).agg(F.array_sort(F.collect_list(
-            F.struct("name", "position", "score"))).alias("partyScore"))
+            F.col("own_position").alias("position"),
+            F.when(party_slug(F.col("uri")).isNotNull(), 1).otherwise(0).alias("score"))
 
-    def article_features(self, articles: DataFrame, key: str = "article_key") -> DataFrame:
-        """D8-D12 per article (left join from the article list; no mentions
+    def attach(self, articles: DataFrame, key: str = "article_key", columns: Sequence[str] | None = None) -> DataFrame:
+        """``articles``, row by row, with the per-article columns (no mentions
         -> counts 0, scores null)."""
-        pol = political_features(self.expanded, self.references)
-        ppl = people_features(self.people)
-        out = articles.select(key).join(pol.withColumnRenamed("article_key", key), key, "left") \
-            .join(ppl.withColumnRenamed("article_key", key), key, "left")
-        zero = ["num_political_references", "num_political_reference_entries",
-                "num_people_mentioned", "num_politicians", *PARTY_COLUMNS]
-        return out.fillna(0, subset=zero)
+        found = self.per_article.withColumnRenamed("article_key", key)
+        wanted = list(columns) if columns is not None else [c for c in found.columns if c != key]
+        return articles.join(found.select(key, *wanted), key, "left").fillna(0, [c for c in wanted if c in ZERO_COLUMNS])
+
+    def article_features(self, articles: DataFrame, key: str = "article_key") -> DataFrame:
+        """D8-D12 per article."""
+        return self.attach(articles.select(key), key, [c for c in self.per_article.columns if c not in ("article_key", "partyScore")])

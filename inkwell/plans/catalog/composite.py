@@ -156,8 +156,7 @@ def _records(spark, sf, site, entity_features):
 def news_record_q(spark, sf):
     enr = Enrichment(load_mentions(spark, sf), load_kb_facts(spark, sf), load_name_gender(spark, sf),
                      materialize_kb=True)
-    feats = enr.article_features(load_articles(spark, sf).select("article_key")).select("article_key", *ENTITY_COLS)
-    recs = _records(spark, sf, "news", feats)
+    recs = _records(spark, sf, "news", enr.per_article.select("article_key", *ENTITY_COLS))
     cols = ["articleKey"] + [underscore_to_camel(n) for n, _ in _pairs_common() + NEWS_PAIRS] + \
         [underscore_to_camel(c) for c in ENTITY_COLS]
     return recs.select(*cols)

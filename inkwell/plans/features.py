@@ -74,11 +74,8 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
     result = out.select(*cols)
     if mentions is not None and kb_facts is not None and name_gender is not None:
         enr = Enrichment(mentions, kb_facts, name_gender, materialize_kb=materialize_kb)
-        scores = enr.article_features(articles.select(key), key)
-        result = result.join(scores.select(key, "political_score",
-                                           F.col("female_proportion").alias("gender_score")), key, "left")
-        if with_party_scores:
-            result = result.join(enr.party_score_arrays(key), key, "left")
+        wanted = ["political_score", "female_proportion", *(["partyScore"] if with_party_scores else [])]
+        result = enr.attach(result, key, wanted).withColumnRenamed("female_proportion", "gender_score")
     return result
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from inkwell.functions import fields as B
 from inkwell.functions import predicates as C
+from inkwell.operators.entities import ZERO_COLUMNS
 
 
 def _prune(col: Column, dtype: T.DataType, nested: bool) -> Column:
@@ -128,6 +129,7 @@ def site_records(articles: DataFrame, key: str = "article_key", entity_features:
     accepted, _ = site_dispatch(staged, sport_fields(**sport_lists), news_fields(F.col("_combined")),
                                 common_cols=[F.col(key)] + common)
     if entity_features is not None:
-        accepted = accepted.join(entity_features, key, "left")
+        accepted = accepted.join(entity_features, key, "left") \
+            .fillna(0, [c for c in entity_features.columns if c in ZERO_COLUMNS])
     out = prune_empty(accepted, keep=[key])
     return B.camel_case_columns(out) if camel else out

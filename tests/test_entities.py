@@ -89,18 +89,67 @@ def test_hot_article_holding_a_third_of_mentions(spark):
     assert got["num_people_mentioned"] == len(hot) - len(parties)
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from inkwell.operators.joins import bounded_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-    j_small = spark.range(100).join(bounded_broadcast(small, max_rows=10), "id")
-    j_big = spark.range(100).join(bounded_broadcast(big, max_rows=10), "id")
-    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
-    assert j_small.count() == 5 and j_big.count() == 50
-
-
-def test_party_score_arrays(spark):
-    arr = {r["article_key"]: r["partyScore"] for r in _setup(spark).party_score_arrays().collect()}
-    assert [(x["name"], x["position"], x["score"]) for x in arr["a"]] == [("Labour", "Left-wing", 1)]
-    assert [(x["name"], x["score"]) for x in arr["b"]] == [("Centre", 0)]
+def test_hot_uri_and_shuffled_dimensions(spark):
+    """One subject and one first name in a third of all mentions, with no
+    broadcast: same values as with one."""
+    P, PP, OH = PERSON_TYPE, POLITICAL_PARTY_TYPE, POLITICIAN_TYPE
+    rows = [(f"a{i % 50}", "tagger_b", "hot" if i % 3 == 0 else f"p{i % 40}", "Ann X" if i % 3 == 0 else f"N{i % 9} Y", "",
+             [P, OH] if i % 2 else [P, PP], i % 5, []) for i in range(2000)]
+    mentions = spark.createDataFrame(rows, MENTION)
+    kb = spark.createDataFrame([("hot", "party", "labour_party"), ("labour_party", "position", "Left-wing"), ("hot", "position", "Centrism")]
+                               + [(f"p{k}", "gender", "female") for k in range(0, 40, 2)], "subject string, predicate string, value string")
+    names = spark.createDataFrame([("Ann", "mostly_female", "detector"), ("N1", "male", "genderize")],
+                                  "first_name string, gender string, provider string")
+    enr = lambda: Enrichment(mentions, kb, names).per_article
+    plain = sorted(map(str, enr().collect()))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, enr().collect())) == plain and len(plain) == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_mentions_are_read_once(spark, tmpdir_path):
+    """The final plan scans the mention files once."""
+    enr = _setup(spark)
+    enr.typed.sparkSession.createDataFrame([], MENTION).write.parquet(f"{tmpdir_path}/m")
+    from inkwell.operators.entities import Enrichment as E
+    stored = spark.read.parquet(f"{tmpdir_path}/m")
+    kb = spark.createDataFrame([("a", "party", "b")], "subject string, predicate string, value string")
+    names = spark.createDataFrame([("A", "male", "detector")], "first_name string, gender string, provider string")
+    plan = E(stored, kb, names).per_article._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
+def test_party_scores_list_every_mention(spark):
+    enr = _setup(spark)
+    again = Enrichment(enr.typed.drop("is_person", "is_party", "is_politician").unionAll(
+        enr.typed.drop("is_person", "is_party", "is_politician")),
+        spark.createDataFrame([("labour_party", "position", "Left-wing"), ("centre_x", "position", "Centrism")],
+                              "subject string, predicate string, value string"), enr.name_gender)
+    arr = {r["article_key"]: r["partyScore"] for r in again.per_article.collect()}
+    assert [(x["name"], x["position"], x["score"]) for x in arr["a"]] == [("Labour", "Left-wing", 1)] * 2
+    assert [(x["name"], x["score"]) for x in arr["b"]] == [("Centre", 0)] * 2
+    assert arr["c"] == []
+
+
+def test_feature_record_keeps_duplicate_keys_and_streams_with_a_kb(spark, tmpdir_path):
+    from inkwell.plans.features import article_features
+    from tests.conftest import article_row, articles_df
+    enr = _setup(spark)
+    mentions = enr.typed.drop("is_person", "is_party", "is_politician")
+    kb = spark.createDataFrame([("p1", "gender", "female")], "subject string, predicate string, value string")
+    arts = articles_df(spark, [article_row(key="a", blocks=[("p", "One.", None)])] * 2 + [article_row(key="z", headline="h")])
+    out = article_features(arts, mentions=mentions, kb_facts=kb, name_gender=enr.name_gender).collect()
+    assert sorted((r["article_key"], r["gender_score"]) for r in out if r["article_key"] == "a") == [("a", 1.0)] * 2
+    assert len(out) == 3
+    import json
+    import os
+    from inkwell.streaming.enrich_stream import enrich_stream
+    os.makedirs(f"{tmpdir_path}/in")
+    with open(f"{tmpdir_path}/in/1", "w") as fo:
+        json.dump({"metadata": {}, "promo": {"summary": "s"}, "content": {"blocks": []}}, fo)
+    enrich_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", mentions=mentions, kb_facts=kb,
+                  name_gender=enr.name_gender).awaitTermination(120)
+    assert spark.read.json(f"{tmpdir_path}/out").count() == 1
