@@ -18,6 +18,8 @@ longer than one character with edge punctuation stripped."""
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -29,39 +31,38 @@ from inkwell.functions.text import WHITESPACE_CLASS, bind as _bind, split_senten
 PUNCT = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
 PUNCT_CHARS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"   # same set, as plain characters
-MAX_LEXICON_TERMS = 1_000_000
 
 
 class Lexicon:
-    """A bounded valence table as a literal map plus its key set; ``isin``
-    on the key set is planned as a hash set (InSet), so the linear map probe
-    only runs for tokens that are in the lexicon."""
+    """A valence table as one literal: buckets of terms by CRC-32, so a look-up
+    reads one bucket of about one term, and a plan holds one node however many
+    terms there are (parsed once from JSON by constant folding)."""
 
     def __init__(self, terms: list[str], values: list[float]):
-        self.terms = terms
-        self.map = F.map_from_arrays(F.array(*[F.lit(k) for k in terms]),
-                                     F.array(*[F.lit(v) for v in values]))
+        self.terms = frozenset(terms)
+        self.size = max(1, len(terms))
+        buckets: list[dict[str, float]] = [{} for _ in range(self.size)]
+        for term, value in zip(terms, values):
+            buckets[zlib.crc32(term.encode()) % self.size][term] = value
+        self.buckets = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
 
     def lookup(self, w: Column) -> Column:
-        return F.when(w.isin(self.terms), F.try_element_at(self.map, w))
+        return F.try_element_at(F.get(self.buckets, (F.crc32(w.cast("binary")) % self.size).cast("int")), w)
 
     def contains(self, w: Column) -> Column:
-        return w.isin(self.terms)
+        return F.coalesce(self.lookup(w).isNotNull(), F.lit(False))
 
 
 def lexicon_map(lexicon: Mapping[str, float] | DataFrame | Lexicon | None = None) -> Lexicon:
-    """Valence lookup as a literal map.  A DataFrame lexicon
-    ``(term, valence)`` is size-checked (lexicons are bounded dictionaries)
-    before it is turned into a literal."""
+    """Valence look-up of a mapping or of a ``(term, valence)`` table: a
+    dictionary of words, which the driver reads whole."""
     if isinstance(lexicon, Lexicon):
         return lexicon
     if lexicon is None:
         lexicon = LX.DEFAULT_LEXICON
     if isinstance(lexicon, DataFrame):
-        rows = lexicon.select("term", "valence").limit(MAX_LEXICON_TERMS + 1).collect()
-        if len(rows) > MAX_LEXICON_TERMS:
-            raise ValueError(f"lexicon exceeds {MAX_LEXICON_TERMS} terms")
-        lexicon = {r["term"].lower(): float(r["valence"]) for r in rows if r["term"] is not None}
+        lexicon = {r["term"]: r["valence"] for r in lexicon.select("term", "valence").where(
+            "term is not null and valence is not null").collect()}
     items = sorted((k.lower(), float(v)) for k, v in lexicon.items())
     return Lexicon([k for k, _ in items], [v for _, v in items])
 

@@ -67,10 +67,11 @@ def classifier_report(model: PipelineModel, train: DataFrame, test: DataFrame) -
 
 
 def grid_search(df: DataFrame, key: str, text: str, label: str, reg_params: Sequence[float] = (0.01, 0.1),
-                max_iters: Sequence[int] = (10,), folds: int = 2, parallelism: int = 2) -> DataFrame:
-    """Cross-validated search over regularisation and iterations, best
-    model refit; one row per grid point with its mean metric and a
-    ``best`` flag."""
+                max_iters: Sequence[int] = (10,), folds: int = 2, parallelism: int = 2
+                ) -> tuple[PipelineModel, DataFrame]:
+    """Cross-validated search over regularisation and iterations.  Returns
+    the best model, refit on the whole training side, and one row per grid
+    point with its mean metric and a ``best`` flag."""
     data = df.select(key, F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
     train, _ = train_test_split(data, key)
     pipe = text_pipeline("text", "label", num_features=1 << 12)
@@ -82,7 +83,7 @@ def grid_search(df: DataFrame, key: str, text: str, label: str, reg_params: Sequ
     best = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
     rows = [(float(g[svc.regParam]), int(g[svc.maxIter]), float(m), i == best)
             for i, (g, m) in enumerate(zip(grid, fitted.avgMetrics))]
-    return df.sparkSession.createDataFrame(rows, "reg_param double, max_iter int, accuracy double, best boolean")
+    return fitted.bestModel, df.sparkSession.createDataFrame(rows, "reg_param double, max_iter int, accuracy double, best boolean")
 
 
 # ---------------------------------------------------------------------------

@@ -1,29 +1,32 @@
 """Vectors (E6, E12, E13, E15, E16).
 
-Candidate label vectors are a bounded parameter (a handful to thousands of
-labels).  They are gathered once behind a size check and attached to every
-row as a literal matrix, so ranking a sentence against all labels is an
-in-row ``transform`` -- no cross join, no shuffle, no per-pair rows.  Gram
-matrices for the least-squares projection are summed from per-partition
-numpy partials (``mapInPandas``) and only the d x d result reaches the
+Candidate label vectors and projections are parameters: they are gathered
+once and broadcast to the tasks, where each Arrow batch of vectors is one numpy
+matrix product -- no cross join, no shuffle, and nothing of them in the plan.
+Gram matrices for the least-squares projection are summed per partition, then
+as whole rows by a partial aggregation, and only the d x d result reaches the
 driver."""
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.text import explode_indexed
+from inkwell.operators.vocab import top_vocab_from_table, words
 from inkwell.session import ship_package
 
-MAX_LABELS = 100_000
-MAX_DIM = 4096
-
 
 # ---------------------------------------------------------------------------
 # Column maths
@@ -45,98 +48,97 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
-def matvec(v: Column, z: list[list[float]]) -> Column:
-    """Row vector times matrix Z (d x k): ``[sum_i v_i Z_ij]_j``."""
-    cols = [F.array(*[F.lit(float(z[i][j])) for i in range(len(z))]) for j in range(len(z[0]))]
-    return F.array(*[dot(v, c) for c in cols])
+def _matrix(arr: pa.Array) -> np.ndarray:
+    """Rows of an array column of one length as a float matrix."""
+    arr = arr.combine_chunks() if isinstance(arr, pa.ChunkedArray) else arr
+    return arr.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(arr), -1)
 
 
 # ---------------------------------------------------------------------------
-# Label matrix (bounded parameter)
+# Labels (a parameter)
 # ---------------------------------------------------------------------------
 def label_vectors_by_min_id(df: DataFrame, label: str, vec: str, order: str) -> DataFrame:
     """One vector per label: the row with the lowest ``order`` value."""
     return df.groupBy(label).agg(F.min_by(F.col(vec), F.col(order)).alias(vec))
 
 
-def collect_labels(labels: DataFrame, label: str, vec: str,
-                   max_labels: int = MAX_LABELS) -> list[tuple[object, list[float]]]:
-    rows = labels.select(label, vec).limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"more than {max_labels} candidate labels")
-    return sorted(((r[0], [float(x) for x in r[1]]) for r in rows), key=lambda t: t[0])
-
-
-def label_matrix(labels: list[tuple[object, list[float]]], z: list[list[float]] | None = None) -> Column:
-    """Literal array<struct<label, vec>> (optionally projected by Z)."""
-    items = []
-    for lab, v in labels:
-        vv = np.asarray(v, dtype=float)
-        if z is not None:
-            vv = vv @ np.asarray(z, dtype=float)
-        items.append(F.struct(F.lit(lab).alias("label"),
-                              F.array(*[F.lit(float(x)) for x in vv]).alias("vec"),
-                              F.lit(float(np.sqrt(vv @ vv))).alias("norm")))
-    return F.array(*items)
-
-
-def _ranked(sims: Column) -> Column:
-    """Sort array<struct<label, similarity>> by similarity desc, label asc."""
-    return F.array_sort(sims, lambda a, b: F.when(
-        a.getField("similarity") > b.getField("similarity"), -1).when(
-        a.getField("similarity") < b.getField("similarity"), 1).when(
-        a.getField("label") < b.getField("label"), -1).when(
-        a.getField("label") > b.getField("label"), 1).otherwise(0))
+def collect_labels(labels: DataFrame, label: str, vec: str) -> tuple[list, np.ndarray]:
+    """The candidate labels, sorted, and their vectors as a matrix."""
+    rows = sorted(((r[0], r[1]) for r in labels.select(label, vec).collect()), key=lambda t: t[0])
+    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=float)
 
 
 def zero_shot_labels(df: DataFrame, key: str, vec: str, labels: DataFrame, label: str, label_vec: str,
                      top_n: int | None = 5, z: list[list[float]] | None = None) -> DataFrame:
     """Rank candidate labels by cosine to each row's vector (optionally
     after projecting both by Z); keep the top ``top_n`` (None = all).
-    Output ``key, rank (1-based), label, similarity``."""
-    mat = label_matrix(collect_labels(labels, label, label_vec), z)
-    v = as_double(F.col(vec))
+    Output ``key, rank (1-based), label, similarity`` (null for a zero vector;
+    equal similarities in label order).  The label matrix is broadcast to the
+    tasks and each Arrow batch is one matrix product."""
+    spark = df.sparkSession
+    names, matrix = collect_labels(labels, label, label_vec)
+    kind = labels.schema[label].dataType
     if z is not None:
-        v = matvec(v, z)
-    # |v| once per row; label norms are literals
-    sims = F.transform(mat, lambda m: F.struct(
-        m.getField("label").alias("label"),
-        (dot(F.col("_v"), m.getField("vec")) / F.nullif(F.col("_n") * m.getField("norm"), F.lit(0.0)))
-        .alias("similarity")))
-    staged = df.select(key, v.alias("_v")).select(key, "_v", norm(F.col("_v")).alias("_n")) \
-        .select(key, _ranked(sims).alias("_r"))
-    if top_n is not None:
-        staged = staged.select(key, F.slice("_r", 1, top_n).alias("_r"))
-    out = explode_indexed(staged, [key], F.col("_r"), "rank", "_e")
-    return out.select(key, (F.col("rank") + 1).alias("rank"), F.col("_e.label").alias("label"),
-                      F.col("_e.similarity").alias("similarity"))
-
-
-def label_similarity(labels: DataFrame, label: str, vec: str,
-                     z: list[list[float]] | None = None) -> DataFrame:
-    """Full label-label cosine matrix, each row ranked."""
+        matrix = matrix @ np.asarray(z, dtype=float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        matrix = matrix / np.sqrt((matrix ** 2).sum(axis=1, keepdims=True)) if len(matrix) else matrix
+    shared = spark.sparkContext.broadcast((matrix, None if z is None else np.asarray(z, dtype=float)))
+    n = len(names) if top_n is None else min(top_n, len(names))
+    ship_package(spark)
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, proj = shared.value
+        for b in batches:
+            for at in range(0, b.num_rows if n else 0, 1024):
+                part = b.slice(at, 1024)
+                v = _matrix(part.column(1))
+                v = v if proj is None else v @ proj
+                size = np.sqrt((v ** 2).sum(axis=1, keepdims=True))
+                sims = np.divide(v @ unit.T, size, out=np.full((len(v), len(unit)), np.nan), where=size > 0)
+                best = np.argsort(-sims, axis=1, kind="stable")[:, :n]
+                found = np.take_along_axis(sims, best, axis=1).ravel()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.repeat(np.arange(len(v)), n))), pa.array(np.tile(np.arange(1, n + 1, dtype=np.int32), len(v))),
+                     pa.array(best.ravel().astype(np.int32)), pa.array(found, mask=np.isnan(found))], names=[key, "rank", "_at", "similarity"])
+
+    schema = T.StructType([df.schema[key], T.StructField("rank", T.IntegerType()), T.StructField("_at", T.IntegerType()),
+                           T.StructField("similarity", T.DoubleType())])
+    ranked = df.where(F.col(vec).isNotNull()).select(key, vec).mapInArrow(rank, schema)
+    literal = F.from_json(F.lit(json.dumps(names)), T.ArrayType(kind))
+    return ranked.select(key, "rank", F.get(literal, F.col("_at")).alias("label"), "similarity")
+
+
+def label_similarity(labels: DataFrame, label: str, vec: str, z: list[list[float]] | None = None,
+                     top_n: int | None = None) -> DataFrame:
+    """Label-label cosine matrix, each row ranked: all labels, or the
+    ``top_n`` nearest of each."""
     renamed = labels.select(F.col(label).alias("label_a"), F.col(vec).alias("_vec"))
-    out = zero_shot_labels(renamed, "label_a", "_vec", labels, label, vec, top_n=None, z=z)
+    out = zero_shot_labels(renamed, "label_a", "_vec", labels, label, vec, top_n=top_n, z=z)
     return out.withColumnRenamed("label", "label_b")
 
 
 # ---------------------------------------------------------------------------
 # E6 pooling and encoding
 # ---------------------------------------------------------------------------
+def mean_pool_vectors(df: DataFrame, group: list[str], vec: str) -> DataFrame:
+    """Mean vector of each group, by a partial aggregation of whole vectors."""
+    return df.where(F.col(vec).isNotNull()).groupBy(*group).agg(
+        vector_to_array(Summarizer.mean(array_to_vector(as_double(F.col(vec))))).alias(vec))
+
+
 def mean_pool(df: DataFrame, group: list[str], vec: str) -> DataFrame:
-    """Mean per dimension within each group, long form ``group, dim,
-    value`` (partial aggregation per (group, dim))."""
-    exploded = explode_indexed(df, group, F.col(vec), "dim", "_x")
-    return exploded.groupBy(*group, "dim").agg(F.avg(F.col("_x").cast("double")).alias("value"))
+    """The same in long form ``group, dim, value``."""
+    return mean_pool_vectors(df, group, vec).select(*group, F.posexplode(vec).alias("dim", "value"))
 
 
-def mean_pool_vectors(df: DataFrame, group: list[str], vec: str) -> DataFrame:
-    """Same as ``mean_pool`` folded back into an ordered array (d values per
-    group, bounded by the dimension)."""
-    long = mean_pool(df, group, vec)
-    return long.groupBy(*group).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda s: s.getField("value"))
-        .alias(vec))
+def text_vectors(texts: DataFrame, key: str, text: str, word_vectors: DataFrame, out: str = "vector") -> DataFrame:
+    """Mean of the word vectors of each text's words (a word counts as
+    often as it occurs; words without a vector do not count).  Words are
+    counted per text before they meet the ``(term, count, vector)`` table."""
+    counted = explode_indexed(texts, [key], words(F.col(text)), "pos", "term").groupBy(key, "term").agg(F.count("*").alias("n"))
+    known = counted.join(word_vectors.select("term", F.col("vector").alias("_v")), "term")
+    return known.groupBy(key).agg(vector_to_array(Summarizer.mean(
+        array_to_vector(as_double(F.col("_v"))), F.col("n").cast("double"))).alias(out))
 
 
 class HashingEncoder:
@@ -144,11 +146,11 @@ class HashingEncoder:
     random unit vectors seeded by a stable hash (no model weights ship
     here).  Any object with ``__call__(list[str]) -> np.ndarray`` works."""
 
-    def __init__(self, dim: int = 64):
+    def __init__(self, dim: int = 64, cached: int = 100_000):
         self.dim = dim
+        self._token_vec = lru_cache(cached)(self._token_vec)
 
     def _token_vec(self, tok: str) -> np.ndarray:
-        import zlib
         rng = np.random.default_rng(zlib.crc32(tok.encode("utf-8")))
         v = rng.standard_normal(self.dim)
         return v / np.linalg.norm(v)
@@ -184,56 +186,73 @@ def encode_texts(df: DataFrame, text: str, out: str = "vector",
 # E15 / E16 least-squares projection
 # ---------------------------------------------------------------------------
 def gram_partials(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Per-partition partial XtX and XtY as long rows ``(kind, i, j, v)``."""
-    schema = "kind string, i int, j int, v double"
+    """Per-partition partial XtX and XtY, one array per matrix row:
+    ``(kind, i, row)``."""
     ship_package(df.sparkSession)
 
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        xtx = xty = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf[x].map(lambda a: np.asarray(a, dtype=float)).to_numpy())
-            Y = np.stack(pdf[y].map(lambda a: np.asarray(a, dtype=float)).to_numpy())
-            xtx = X.T @ X if xtx is None else xtx + X.T @ X
-            xty = X.T @ Y if xty is None else xty + X.T @ Y
-        if xtx is None:
-            return
-        for kind, m in (("xtx", xtx), ("xty", xty)):
-            ii, jj = np.indices(m.shape)
-            yield pd.DataFrame({"kind": kind, "i": ii.ravel().astype("int32"),
-                                "j": jj.ravel().astype("int32"), "v": m.ravel()})
-
-    return df.select(x, y).mapInPandas(part, schema)
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for b in batches:
+            if b.num_rows:
+                X, Y = _matrix(b.column(0)), _matrix(b.column(1))
+                new = (X.T @ X, X.T @ Y)
+                sums = new if sums is None else tuple(s + t for s, t in zip(sums, new))
+        for kind, m in zip(("xtx", "xty"), sums or ()):
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(m)), pa.array(np.arange(len(m), dtype=np.int32)),
+                                              pa.array(m.tolist(), pa.list_(pa.float64()))], names=["kind", "i", "row"])
+
+    return df.select(x, y).mapInArrow(part, "kind string, i int, row array<double>")
+
+
+def gram_rows(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Rows of XtX and XtY, summed over partitions as whole rows."""
+    return gram_partials(df, x, y).groupBy("kind", "i").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row"))
 
 
 def gram(df: DataFrame, x: str, y: str) -> DataFrame:
-    """XtX and XtY cells, summed over partitions (partial sums, so the
-    shuffle carries d^2 rows per partition, independent of row count)."""
-    return gram_partials(df, x, y).groupBy("kind", "i", "j").agg(F.sum("v").alias("v"))
+    """XtX and XtY cells ``(kind, i, j, v)``."""
+    return gram_rows(df, x, y).select("kind", "i", F.posexplode("row").alias("j", "v"))
+
+
+def gram_matrices(df: DataFrame, x: str, y: str) -> tuple[np.ndarray, np.ndarray]:
+    rows = sorted((r["kind"], r["i"], r["row"]) for r in gram_rows(df, x, y).collect())
+    return tuple(np.array([row for k, _, row in rows if k == kind]) for kind in ("xtx", "xty"))
 
 
 def fit_projection(df: DataFrame, x: str, y: str, ridge: float = 0.0) -> list[list[float]]:
     """Z = argmin |XZ - Y|^2 + ridge |Z|^2, solved from the Gram
     matrices (d x d, bounded by the dimension) on the driver."""
-    cells = gram(df, x, y).collect()
-    d = 1 + max(c["i"] for c in cells if c["kind"] == "xtx")
-    k = 1 + max(c["j"] for c in cells if c["kind"] == "xty")
-    if d > MAX_DIM:
-        raise ValueError(f"dimension {d} exceeds {MAX_DIM}")
-    xtx, xty = np.zeros((d, d)), np.zeros((d, k))
-    for c in cells:
-        (xtx if c["kind"] == "xtx" else xty)[c["i"], c["j"]] = c["v"]
-    a = xtx + ridge * np.eye(d)
-    z, *_ = np.linalg.lstsq(a, xty, rcond=None)
+    xtx, xty = gram_matrices(df, x, y)
+    z, *_ = np.linalg.lstsq(xtx + ridge * np.eye(len(xtx)), xty, rcond=None)
     return z.tolist()
 
 
+def fit_vocab_projection(word_vectors: DataFrame, k: int, encoder_factory=None, ridge: float = 0.0) -> list[list[float]]:
+    """E15 on words: the ``k`` most frequent terms, their sentence-encoder
+    vectors as X and their word vectors as Y."""
+    top = top_vocab_from_table(word_vectors, k).select("term").join(word_vectors.select("term", F.col("vector").alias("_y")), "term")
+    return fit_projection(encode_texts(top, "term", "_x", encoder_factory or HashingEncoder), "_x", "_y", ridge)
+
+
 def projection_frame(spark, z: list[list[float]]) -> DataFrame:
     rows = [(i, j, float(z[i][j])) for i in range(len(z)) for j in range(len(z[0]))]
     return spark.createDataFrame(rows, "i int, j int, z double")
 
 
 def apply_projection(df: DataFrame, vec: str, z: list[list[float]], out: str | None = None) -> DataFrame:
-    """Multiply each vector by Z."""
-    return df.withColumn(out or vec, matvec(as_double(F.col(vec)), z))
+    """Multiply each vector by Z, one matrix product per Arrow batch."""
+    shared = df.sparkSession.sparkContext.broadcast(np.asarray(z, dtype=float))
+    ship_package(df.sparkSession)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def _apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            given = np.flatnonzero(s.notna())
+            found: list = [None] * len(s)
+            if len(given):
+                for i, row in zip(given, np.stack(s.iloc[given].to_list()).astype(float) @ shared.value):
+                    found[i] = row
+            yield pd.Series(found, dtype=object)
+
+    return df.withColumn(out or vec, _apply(F.col(vec)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkwell.config import ENTAILMENT_MAX_CHARS, ENTAILMENT_TOPICS
@@ -58,7 +59,7 @@ def entailment_bucket_q(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Spark ML on documents x labels (rows-only checks)
+# Spark ML on documents x labels
 # ---------------------------------------------------------------------------
 from inkwell.operators import classifier as CL  # noqa: E402
 from inkwell.session import read_table, scratch_path  # noqa: E402
@@ -69,18 +70,30 @@ def _labelled(spark, sf):
     return docs.join(read_table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
 
 
-@register("train_text_classifier")
+SPLIT_SQL = "CASE WHEN ((d.doc_id % 1000003) * 7919 + 13) % 100 < 67 THEN 'train' ELSE 'test' END"
+
+
+@register("train_text_classifier", f"""
+SELECT {SPLIT_SQL} AS split, count(*) AS n, true AS better_than_chance
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""")
 def train_text_classifier_q(spark, sf):
+    """Rows of each side, and whether the fitted model is right on more than
+    half of them."""
     _model, report = CL.train_text_classifier(_labelled(spark, sf), "doc_id", "text", "toxic")
-    return report
+    return report.select("split", "n", (F.col("accuracy") > 0.5).alias("better_than_chance"))
 
 
-@register("grid_search")
+@register("grid_search", """
+SELECT reg_param, max_iter, true AS accuracy_is_share, 1::BIGINT AS n_best
+FROM (VALUES (0.01::DOUBLE, 10::INTEGER), (0.1::DOUBLE, 10::INTEGER)) g(reg_param, max_iter)""")
 def grid_search_q(spark, sf):
-    return CL.grid_search(_labelled(spark, sf), "doc_id", "text", "toxic")
+    _model, grid = CL.grid_search(_labelled(spark, sf), "doc_id", "text", "toxic")
+    best = F.sum(F.col("best").cast("long")).over(Window.partitionBy(F.lit(1)))
+    return grid.select("reg_param", "max_iter", F.col("accuracy").between(0.0, 1.0).alias("accuracy_is_share"), best.alias("n_best"))
 
 
-@register("model_artifact")
+@register("model_artifact", f"""
+SELECT d.doc_id, true AS same FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {SPLIT_SQL} = 'test'""")
 def model_artifact_q(spark, sf):
     data = _labelled(spark, sf).select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
     train, test = CL.train_test_split(data, "doc_id")
@@ -90,7 +103,7 @@ def model_artifact_q(spark, sf):
     reloaded = CL.load_model(path)
     a = model.transform(test).select("doc_id", F.col("prediction").alias("prediction"))
     b = reloaded.transform(test).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
-    return a.join(b, "doc_id").withColumn("same", F.col("prediction") == F.col("reloaded_prediction"))
+    return a.join(b, "doc_id").select("doc_id", (F.col("prediction") == F.col("reloaded_prediction")).alias("same"))
 
 
 SARCASM_RULE = ["!", "idiot", "stupid"]

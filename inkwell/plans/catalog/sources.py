@@ -101,9 +101,12 @@ def sink_enriched_q(spark, sf):
 
 
 @register("topic_snapshot_refresh", """
-SELECT CAST(o_orderkey AS VARCHAR) AS article_key, 0 AS n_topics FROM orders o
+SELECT CAST(o_orderkey AS VARCHAR) AS article_key, CAST(o_orderkey % 3 AS INTEGER) AS n_topics FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def topic_snapshot_refresh_q(spark, sf):
     orders = read_table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("article_key"))
     snap = read_table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("article_key"))
-    return topic_snapshot_refresh(orders, snap).select("article_key", "n_topics")
+
+    def client_factory():
+        return lambda keys: [[{"uri": f"{k}/{i}"} for i in range(int(k) % 3)] for k in keys]
+    return topic_snapshot_refresh(orders, snap, client_factory=client_factory, partitions=4).select("article_key", "n_topics")

@@ -46,12 +46,23 @@ def test_period_split_keeps_blanks(spark):
     assert df.select(split_on_period(F.col("t")).alias("p")).first()["p"] == ["a", " b", "", ""]
 
 
-def test_large_lexicon_is_cut_to_corpus_vocabulary(spark):
-    from inkwell.operators.sentiment import resolve_lexicon
+def test_large_lexicon_table_plans_fast(spark):
+    import time
     docs = spark.createDataFrame([("A really bad, horrible book.",)], "t string")
-    big = spark.createDataFrame([(f"w{i}", 1.0) for i in range(50)] + [("bad", -2.5), ("horrible", -2.5)],
+    big = spark.createDataFrame([(f"w{i}", 1.0) for i in range(50_000)] + [("Bad", -2.5), ("horrible", -2.5), (None, 1.0)],
                                 "term string, valence double")
-    lex = resolve_lexicon(big, docs, "t", max_terms=10)       # 52 terms > bound -> corpus slice
-    assert sorted(lex.terms) == ["bad", "horrible"]
-    score = docs.select(S.sentence_compound(F.col("t"), lex).alias("c")).first()["c"]
-    assert score == -0.8211
+    lex = S.lexicon_map(big)
+    t0 = time.perf_counter()
+    df = docs.select(S.sentence_compound(F.col("t"), lex).alias("c"))
+    df._jdf.queryExecution().executedPlan()
+    took = time.perf_counter() - t0
+    assert df.first()["c"] == -0.8211
+    assert took < 5, took
+
+
+def test_lexicon_lookup_against_a_dict(spark):
+    terms = {f"w{i}é": float(i) for i in range(300)}
+    lex = S.lexicon_map(terms)
+    df = spark.createDataFrame([(w,) for w in [*terms, "x", "", None]], "w string")
+    got = {r["w"]: (r["v"], r["c"]) for r in df.select("w", lex.lookup(F.col("w")).alias("v"), lex.contains(F.col("w")).alias("c")).collect()}
+    assert got == {w: (terms.get(w), w in terms) for w in [*terms, "x", "", None]}
