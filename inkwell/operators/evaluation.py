@@ -38,10 +38,11 @@ def label_accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
     return counts.select("matches", "n", (hits * 100.0 / F.sum("n").over(everything)).alias("accuracy_pct"))
 
 
-def profile(df: DataFrame, value: str, klass: str | None = None, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, value: str, klass: str | None = None, approx: bool = True) -> DataFrame:
     """Class counts and descriptive statistics (count, mean, std, min,
-    quartiles, max) as ``stat, value`` rows.  Quartiles interpolate linearly
-    (exact ``percentile``; ``approx=True`` for unbounded value domains)."""
+    quartiles, max) as ``stat, value`` rows.  Quartiles come from a sketch of
+    fixed size; ``approx=False`` interpolates exactly and holds every distinct
+    value in one task, so it is for scores of a bounded number of values."""
     v = F.col(value).cast("double")
     pct = (lambda q: F.percentile_approx(v, q, 100000)) if approx else (lambda q: F.percentile(v, q))
     stats = df.agg(

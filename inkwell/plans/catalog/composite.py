@@ -11,7 +11,7 @@ from inkwell.functions.fields import underscore_to_camel
 from inkwell.operators.entities import Enrichment
 from inkwell.plans import oracles as O
 from inkwell.plans.catalog import register
-from inkwell.plans.catalog.entities import ENTITY_BODY
+from inkwell.plans.catalog.entities import ENTITY_BODY, SLUG_SQL
 from inkwell.plans.catalog.labels import (ARTICLE_TEXT_SQL, DRAW_IDS_FIXTURE, PERIODICAL_FIXTURE,
                                           RANKINGS_FIXTURE, SQUAD_FIXTURE, TAGGED_CTE, _kw_sql)
 from inkwell.plans.catalog.models import ENTAIL_CTE, SARCASM_RULE
@@ -31,7 +31,14 @@ H1_COLUMNS = ["article_key", *CATEGORY_KEYWORDS, "n_teams", *ENTAILMENT_TOPICS,
 def _h1(spark, sf):
     return article_features(load_articles(spark, sf), load_mentions(spark, sf), load_kb_facts(spark, sf),
                             load_name_gender(spark, sf), sarcasm_scorer=rule_scorer(SARCASM_RULE),
-                            materialize_kb=True, with_party_scores=False)
+                            materialize_kb=True)
+
+
+def _nested_as_text(teams, parties):
+    """The record's arrays as text, parties in the order of that text."""
+    party = F.transform(parties, lambda p: F.concat_ws("|", p["name"], F.coalesce(p["position"], F.lit("")), p["score"]))
+    return [F.array_join(F.transform(teams, lambda t: F.when(t, "1").otherwise("0")), "").alias("teams"),
+            F.array_join(F.array_sort(party), ";").alias("parties")]
 
 
 def _h1_sql() -> str:
@@ -46,6 +53,7 @@ def _h1_sql() -> str:
     mag_cols += [f"bool_or(contains(lower(array_to_string(tag_uris, ' ')), {O.q(u.lower())})) AS \"{n}\""
                  for n, u in FOOTBALL_TEAMS]
     n_teams = " + ".join(f"CAST(coalesce(m.\"{n}\", false) AS INTEGER)" for n in TEAM_NAMES)
+    teams = " || ".join(f"CASE WHEN m.\"{n}\" THEN '1' ELSE '0' END" for n in TEAM_NAMES)
     ent = ", ".join(f"CASE WHEN a.comb IS NOT NULL AND e.doc_id IS NOT NULL THEN e.\"{n}_p\" >= 0.5 END AS \"{n}\""
                     for n in ENTAILMENT_TOPICS)
     sarc_pred = " OR ".join(f"contains(lower(frag), {O.q(t)})" for t in SARCASM_RULE)
@@ -55,14 +63,19 @@ def _h1_sql() -> str:
         f"art_ AS (SELECT doc_id, article_key, {', '.join(art_cols)}, comb FROM "
         f"(SELECT doc_id, article_key, {ARTICLE_TEXT_SQL} AS t, {O.COMBINED} AS comb FROM articles))",
         f"mag_ AS (SELECT article_key, {', '.join(mag_cols)} FROM tagged GROUP BY article_key)",
+        "pty_ AS (SELECT article_key, coalesce(string_agg(txt, ';' ORDER BY txt), '') AS parties FROM ("
+        f"SELECT t.article_key, CASE WHEN t.is_party THEN concat_ws('|', coalesce(t.label, t.surface_form), coalesce(p.position, ''), "
+        f"CASE WHEN {SLUG_SQL.replace('party_uri', 't.uri')} IS NOT NULL THEN '1' ELSE '0' END) END AS txt "
+        "FROM typed t LEFT JOIN positions p ON t.uri = p.party_uri WHERE t.is_person OR t.is_party) GROUP BY article_key)",
         "sent_ AS (SELECT doc_id, avg(compound) AS m FROM vader_out GROUP BY doc_id)",
         f"sarc_ AS (SELECT doc_id, avg(CASE WHEN {sarc_pred} THEN 1.0 ELSE 0.0 END) AS s FROM "
         f"(SELECT doc_id, unnest(string_split(comb, '.')) AS frag FROM art_ WHERE comb IS NOT NULL) GROUP BY doc_id)",
     ])
     body = (f"SELECT a.article_key, {', '.join(final)}, {n_teams} AS n_teams, {ent}, "
             f"CASE WHEN a.comb IS NOT NULL THEN {label_sql('sent_.m')} END AS sentiment_label, "
-            f"sarc_.s AS sarcasm_score, pol.political_score, ppl.female_proportion AS gender_score "
-            f"FROM art_ a LEFT JOIN mag_ m ON a.article_key = m.article_key "
+            f"sarc_.s AS sarcasm_score, pol.political_score, ppl.female_proportion AS gender_score, "
+            f"{teams} AS teams, pty_.parties "
+            f"FROM art_ a LEFT JOIN pty_ ON a.article_key = pty_.article_key LEFT JOIN mag_ m ON a.article_key = m.article_key "
             f"LEFT JOIN ent_ e ON a.doc_id = e.doc_id LEFT JOIN sent_ ON a.doc_id = sent_.doc_id "
             f"LEFT JOIN sarc_ ON a.doc_id = sarc_.doc_id LEFT JOIN pol ON a.article_key = pol.article_key "
             f"LEFT JOIN ppl ON a.article_key = ppl.article_key")
@@ -71,17 +84,22 @@ def _h1_sql() -> str:
 
 @register("article_features", _h1_sql())
 def article_features_q(spark, sf):
-    return _h1(spark, sf).select(*H1_COLUMNS)
+    return _h1(spark, sf).select(*H1_COLUMNS, *_nested_as_text(F.col("premierLeagueTeams"), F.col("partyScore")))
 
 
-@register("enrich_corpus", O.with_articles(f"SELECT {O.SITE} AS site, count(*) AS n FROM articles GROUP BY 1"))
+@register("enrich_corpus", _h1_sql().replace("SELECT a.article_key, ", f"SELECT a.article_key, a.site, a.headline_raw AS headline, ")
+          .replace("art_ AS (SELECT doc_id, article_key, ", "art_ AS (SELECT doc_id, article_key, site, headline_raw, ")
+          .replace("FROM (SELECT doc_id, article_key, ", f"FROM (SELECT doc_id, article_key, {O.SITE} AS site, headline_raw, "))
 def enrich_corpus_q(spark, sf):
+    """The enriched documents as written, with all their features."""
     path = scratch_path(spark, "enriched-corpus")
-    enrich_corpus(load_articles(spark, sf), path, mentions=load_mentions(spark, sf),
-                  kb_facts=load_kb_facts(spark, sf), name_gender=load_name_gender(spark, sf),
-                  materialize_kb=True)
-    back = spark.read.option("basePath", path).json(path)
-    return back.groupBy(F.col("site").cast("string").alias("site")).agg(F.count("*").alias("n"))
+    out = enrich_corpus(load_articles(spark, sf), path, mentions=load_mentions(spark, sf),
+                        kb_facts=load_kb_facts(spark, sf), name_gender=load_name_gender(spark, sf),
+                        sarcasm_scorer=rule_scorer(SARCASM_RULE), materialize_kb=True)
+    back = spark.read.schema(out.schema).json(path)
+    return back.select("article_key", "site", F.col("promo.headlines.headline").alias("headline"),
+                       *[F.col(f"features.{c}").alias(c) for c in H1_COLUMNS[1:]],
+                       *_nested_as_text(F.col("features.premierLeagueTeams"), F.col("features.partyScore")))
 
 
 # ---------------------------------------------------------------------------
@@ -100,9 +118,14 @@ def _pairs_common() -> list[tuple[str, str]]:
         ("headline", O.HEADLINE), ("short_headline", O.SHORT_HEADLINE), ("summary", O.SUMMARY),
         ("body", O.BODY_CLEAN), ("combined_body_summary_headline", O.COMBINED),
         ("ad_campaign", "nullif(ad_campaign_keyword, '') IS NOT NULL"),
+        ("tags", f"nullif(array_to_string(list_transform({O.TAGS_KEPT}, lambda t: t.id || '=' || t.label), '|'), '')"),
     ]
 
 
+def _tags_as_text(df):
+    return df.withColumn("tags", F.array_join(F.transform("tags", lambda t: F.concat_ws("=", t["id"], t["label"])), "|"))
+
+
 def _in_sql(expr, values):
     return f"CASE WHEN {expr} IS NOT NULL THEN {expr} IN ({', '.join(O.q(v) for v in values)}) END"
 
@@ -159,11 +182,11 @@ def news_record_q(spark, sf):
     recs = _records(spark, sf, "news", enr.per_article.select("article_key", *ENTITY_COLS))
     cols = ["articleKey"] + [underscore_to_camel(n) for n, _ in _pairs_common() + NEWS_PAIRS] + \
         [underscore_to_camel(c) for c in ENTITY_COLS]
-    return recs.select(*cols)
+    return _tags_as_text(recs).select(*cols)
 
 
 @register("sport_record", _record_sql("sport", SPORT_PAIRS, False))
 def sport_record_q(spark, sf):
     recs = _records(spark, sf, "sport", None)
     cols = ["articleKey"] + [underscore_to_camel(n) for n, _ in _pairs_common() + SPORT_PAIRS]
-    return recs.select(*cols)
+    return _tags_as_text(recs).select(*cols)

@@ -72,7 +72,7 @@ def label_accuracy_q(spark, sf):
                  {'stat': 'max', 'value': max(vader_score)}], recursive := true) FROM enc_)
   UNION ALL SELECT 'count_' || sentiment, CAST(count(*) AS DOUBLE) FROM enc_ GROUP BY sentiment""")
 def profile_q(spark, sf):
-    return G.profile(_encoded(spark, sf), "vader_score", "sentiment").withColumn("value", F.round("value", 6))
+    return G.profile(_encoded(spark, sf), "vader_score", "sentiment", approx=False).withColumn("value", F.round("value", 6))
 
 
 @register("class_distribution", """

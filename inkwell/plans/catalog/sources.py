@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkwell.config import CATEGORY_KEYWORDS
 from inkwell.functions import fields as B
 from inkwell.operators.labelling import boolean_categories
 from inkwell.plans import oracles as O
 from inkwell.plans.catalog import register
+from inkwell.plans.catalog.labels import ARTICLE_TEXT_SQL, _kw_sql
 from inkwell.plans.standins import load_articles
 from inkwell.schema import ARTICLE
 from inkwell.session import read_table, scratch_path
@@ -27,8 +29,9 @@ ROUND_TRIP_SQL = O.with_articles(
 
 
 def _written_articles(spark, sf) -> str:
+    """One JSON document per file."""
     path = scratch_path(spark, "articles-json")
-    load_articles(spark, sf).drop("article_key", "lang", "source").write.mode("overwrite").json(path)
+    load_articles(spark, sf).drop("article_key", "lang", "source").write.option("maxRecordsPerFile", 1).json(path)
     return path
 
 
@@ -41,14 +44,17 @@ def _round_trip_projection(df):
 @register("scan_articles", ROUND_TRIP_SQL)
 def scan_articles_q(spark, sf):
     path = _written_articles(spark, sf)
-    return _round_trip_projection(SA.scan_articles(spark, path, KEYED_ARTICLE, multi_line=False))
+    return _round_trip_projection(SA.scan_articles(spark, path, KEYED_ARTICLE))
 
 
-@register("scan_articles_filtered", ROUND_TRIP_SQL)
+@register("scan_articles_filtered", ROUND_TRIP_SQL + " WHERE doc_id % 3 <> 0")
 def scan_articles_filtered_q(spark, sf):
-    path = _written_articles(spark, sf)
-    df = SA.scan_articles_filtered(spark, path, extension_filter=".JSON", schema=KEYED_ARTICLE,
-                                   multi_line=False)
+    """A third of the documents is in files of another extension."""
+    path = scratch_path(spark, "articles-mixed")
+    arts = load_articles(spark, sf).drop("article_key", "lang", "source")
+    arts.where("doc_id % 3 <> 0").write.json(f"{path}/a")
+    arts.where("doc_id % 3 = 0").select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/b")
+    df = SA.scan_articles_filtered(spark, path, extension_filter=".JSON", schema=KEYED_ARTICLE, multi_line=False)
     return _round_trip_projection(df)
 
 
@@ -89,15 +95,24 @@ def scan_word_vectors_q(spark, sf):
     return wv.select("term", F.size("vector").alias("n_dims"), F.round(total, 4).alias("vsum"))
 
 
-@register("sink_enriched", O.with_articles(f"SELECT {O.SITE} AS site, count(*) AS n FROM articles GROUP BY 1"))
+def _sink_sql() -> str:
+    cols = []
+    for name, spec in CATEGORY_KEYWORDS.items():
+        s, n = _kw_sql("t", spec)
+        cols.append(f"(NOT {n} AND {s}) AS \"{name}\"")
+    return O.with_articles(f"SELECT article_key, site, headline, {', '.join(cols)} FROM (SELECT article_key, {O.SITE} AS site, "
+                           f"headline_raw AS headline, {ARTICLE_TEXT_SQL} AS t FROM articles)")
+
+
+@register("sink_enriched", _sink_sql())
 def sink_enriched_q(spark, sf):
     path = scratch_path(spark, "enriched")
     arts = load_articles(spark, sf)
     feats = boolean_categories(arts)
     out = attach_features(arts.withColumn("site", B.site()), feats)
     sink_enriched(out, path, fmt="json", partition_by="site")
-    back = spark.read.option("basePath", path).json(path)
-    return back.groupBy(F.col("site").cast("string").alias("site")).agg(F.count("*").alias("n"))
+    back = spark.read.schema(out.schema).json(path)
+    return back.select("article_key", "site", F.col("promo.headlines.headline").alias("headline"), "features.*")
 
 
 @register("topic_snapshot_refresh", """

@@ -18,7 +18,7 @@ from inkwell.config import (BOOLEAN_FEATURES, CATEGORY_KEYWORDS, ENTAILMENT_MAX_
 from inkwell.functions import fields as B
 from inkwell.functions import sentiment as S
 from inkwell.functions.text import split_sentences
-from inkwell.operators.classifier import rule_scorer, sarcasm_score
+from inkwell.operators.classifier import article_sarcasm, rule_scorer, sarcasm_score
 from inkwell.operators.entailment import best_probability, term_share_scorer, windows
 from inkwell.operators.entities import Enrichment
 from inkwell.operators.labelling import _category_flags, article_text, mention_label_aggregates
@@ -32,13 +32,14 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                      entities: Sequence[tuple[str, str]] = FOOTBALL_TEAMS,
                      topics: Mapping[str, Sequence[str]] = ENTAILMENT_TOPICS,
                      entail_scorer=term_share_scorer,
-                     sarcasm_scorer: Callable[[Column], Column] | None = None,
+                     sarcasm_scorer: Callable[[Column], Column] | None = None, sarcasm_model=None,
                      lexicon=None, materialize_kb: bool = False,
                      with_party_scores: bool = True, max_chars: int = ENTAILMENT_MAX_CHARS) -> DataFrame:
     """H1: ``key``, score features (when mentions and KB are given), one
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
-    ``sarcasm_score`` (the last three only where combined text exists)."""
+    ``sarcasm_score`` (the last three only where combined text exists), which
+    a Column ``sarcasm_scorer`` or a fitted ``sarcasm_model`` gives."""
     lex = S.lexicon_map(lexicon)
     # clean body once; combined text and premise derive from it (the
     # optimizer keeps an expensive column that is used twice in one place)
@@ -54,6 +55,9 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
     sent = F.when(has_text, S.sentiment_label(S.mean_of(S.list_scores(split_sentences(F.col("_combined")), lex))))
     sarc = F.when(has_text, sarcasm_score(F.col("_combined"), sarcasm_scorer or rule_scorer(["!"])))
     inrow = base.select("*", *ent, sent.alias("sentiment_label"), sarc.alias("sarcasm_score"))
+    if sarcasm_model is not None:
+        scores = article_sarcasm(base.select(key, "_combined"), key, "_combined", model=sarcasm_model)
+        inrow = inrow.drop("sarcasm_score").join(scores.select(key, "sarcasm_score"), key, "left")
 
     names = list(categories)
     team_names = [n for n, _ in entities]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from inkwell.schema import ARTICLE
 
 
-def scan_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLE,
+def scan_articles(spark: SparkSession, path: str | list[str], schema: T.StructType = ARTICLE,
                   multi_line: bool = True, path_glob: str | None = None) -> DataFrame:
     """A1: ``path_key`` (full file path), ``file_name`` and the F1 columns.
 
@@ -44,8 +44,11 @@ def scan_articles_filtered(spark: SparkSession, path: str, extension_filter: str
     ``extension_filter`` (case-insensitive) and, when ``limit`` is given, to
     the first ``limit`` files in path order (deterministic)."""
     glob = _ci_glob(extension_filter) if extension_filter else None
-    df = scan_articles(spark, path, schema, multi_line, glob)
     if limit is None:
-        return df
-    files = df.select("path_key").distinct().orderBy("path_key").limit(limit)
-    return df.join(F.broadcast(files), "path_key", "left_semi")  # at most ``limit`` keys
+        return scan_articles(spark, path, schema, multi_line, glob)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        listing = listing.option("pathGlobFilter", glob)
+    # the listing alone: no file is opened for its path
+    files = [r["path"] for r in listing.load(path).select("path").orderBy("path").limit(limit).collect()]
+    return scan_articles(spark, files, schema, multi_line, glob)
