@@ -18,15 +18,13 @@ longer than one character with edge punctuation stripped."""
 
 from __future__ import annotations
 
-import json
-import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.config import lexicon as LX
-from inkwell.functions.text import WHITESPACE_CLASS, bind as _bind, split_sentences
+from inkwell.functions.text import WHITESPACE_CLASS, bind as _bind, literal_lookup, split_sentences
 
 PUNCT = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
@@ -34,20 +32,11 @@ PUNCT_CHARS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"   # same set, as plain charac
 
 
 class Lexicon:
-    """A valence table as one literal: buckets of terms by CRC-32, so a look-up
-    reads one bucket of about one term, and a plan holds one node however many
-    terms there are (parsed once from JSON by constant folding)."""
+    """A valence table as one literal of the plan, however many terms."""
 
     def __init__(self, terms: list[str], values: list[float]):
         self.terms = frozenset(terms)
-        self.size = max(1, len(terms))
-        buckets: list[dict[str, float]] = [{} for _ in range(self.size)]
-        for term, value in zip(terms, values):
-            buckets[zlib.crc32(term.encode()) % self.size][term] = value
-        self.buckets = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
-
-    def lookup(self, w: Column) -> Column:
-        return F.try_element_at(F.get(self.buckets, (F.crc32(w.cast("binary")) % self.size).cast("int")), w)
+        self.lookup = literal_lookup(dict(zip(terms, values)), "double")
 
     def contains(self, w: Column) -> Column:
         return F.coalesce(self.lookup(w).isNotNull(), F.lit(False))

@@ -1,14 +1,18 @@
-"""Text cleaning as Column expressions (JVM-side, whole-stage codegen).
+"""Text cleaning as Column expressions (JVM-side; values bound once are
+lambda variables, which Spark evaluates outside whole-stage codegen).
 
 HTML to text is a fixed sequence of regex rewrites: drop comments and
 script/style bodies, replace listed tag blocks, strip remaining tags, decode
-entities (``&amp;`` last), collapse whitespace.  Python's ``str.split()``
+entities, collapse whitespace.  Python's ``str.split()``
 whitespace set is spelled out so every engine agrees (Java ``\\s`` alone
 misses NBSP)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+import zlib
+from collections.abc import Iterable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,16 +26,23 @@ SCRIPT_RE = r"(?is)<script\b[^>]*>.*?</script\s*>"
 STYLE_RE = r"(?is)<style\b[^>]*>.*?</style\s*>"
 TAG_RE = r"</?[A-Za-z!][^>]*>"
 
-# FIXED VALUES: named entities decoded by the cleaner (``&amp;`` is applied
-# last so that ``&amp;lt;`` decodes once to ``&lt;``).
-HTML_ENTITIES = [
-    ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'),
-    ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&middot;", "·"),
-    ("&copy;", "©"), ("&reg;", "®"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"),
-    ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&pound;", "£"), ("&euro;", "€"),
-]
+ENTITY_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+# Numeric references to the C1 range mean Windows-1252 characters in HTML.
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
+_WINDOWS = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c for c in _C1)
+
+
+def literal_lookup(items: Mapping[str, object], kind: str):
+    """A look-up in a dictionary that is one literal of the plan: buckets of
+    keys by CRC-32 (about one key each), parsed once by constant folding.
+    Returns Column -> Column, null for an unknown key."""
+    size = max(1, len(items))
+    buckets: list[dict[str, object]] = [{} for _ in range(size)]
+    for key, value in items.items():
+        buckets[zlib.crc32(key.encode()) % size][key] = value
+    literal = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
+    return lambda key: F.try_element_at(F.get(literal, (F.crc32(key.cast("binary")) % size).cast("int")), key)
 
 
 def tag_block_regex(tags: Iterable[str]) -> str | None:
@@ -49,10 +60,28 @@ def remove_tag_blocks(col: Column, tags: Iterable[str] = ()) -> Column:
     return col if rx is None else F.regexp_replace(col, rx, "  ")
 
 
+def _entity(e: Column, named) -> Column:
+    """The character(s) of one entity; an unknown name stays as it is."""
+    body = F.substr(e, F.lit(2), F.length(e) - 2)
+    code = F.when(body.rlike("^#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10).cast("bigint")) \
+        .when(body.startswith("#"), F.substr(body, F.lit(2)).cast("bigint"))
+    char = F.when((code < 1) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(
+        F.translate(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"), _C1, _WINDOWS))
+    return F.when(body.startswith("#"), char).otherwise(F.coalesce(named(body), e))
+
+
 def decode_entities(col: Column) -> Column:
-    for ent, ch in HTML_ENTITIES:
-        col = F.replace(col, F.lit(ent), F.lit(ch))
-    return F.replace(col, F.lit("&amp;"), F.lit("&"))
+    """Decode every numeric and named character reference once (so
+    ``&amp;lt;`` becomes ``&lt;``): the text is split at the references and put
+    together again with what they stand for."""
+    named = literal_lookup({k[:-1]: v for k, v in html5.items() if k.endswith(";")}, "string")
+
+    def join(found, gaps):
+        piece = lambda gap, i: F.concat(gap, F.coalesce(_entity(F.get(found, i), named), F.lit("")))
+        return F.array_join(F.transform(gaps, piece), "")
+
+    return bind(F.regexp_extract_all(col, F.lit(ENTITY_RE), F.lit(0)), lambda found: F.when(F.size(found) == 0, col).otherwise(
+        bind(F.split(col, ENTITY_RE, -1), lambda gaps: join(found, gaps))))
 
 
 def collapse_whitespace(col: Column) -> Column:

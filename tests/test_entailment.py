@@ -36,3 +36,12 @@ def test_an_injected_model_runs_in_the_feature_record(spark):
             article_row(key="c", headline="no body"), article_row(key="d")]
     out = article_features(articles_df(spark, rows), topics=TOPICS, entail_scorer=strict_scorer())
     assert {r["article_key"]: r["isOne"] for r in out.collect()} == {"a": True, "b": False, "c": None, "d": None}
+
+
+def test_a_fitted_sarcasm_model_runs_in_the_feature_record(spark):
+    from inkwell.operators.classifier import text_pipeline
+    train = spark.createDataFrame([("great stuff", 0.0), ("oh sure great", 1.0), ("nice day", 0.0), ("oh sure nice", 1.0)] * 5, "text string, label double")
+    model = text_pipeline(num_features=256).fit(train)
+    rows = [article_row(key="a", blocks=[("p", "oh sure great. nice day", None)]), article_row(key="d")]
+    out = {r["article_key"]: r["sarcasm_score"] for r in article_features(articles_df(spark, rows), sarcasm_model=model).collect()}
+    assert out == {"a": 0.5, "d": None}

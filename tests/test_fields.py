@@ -115,3 +115,16 @@ def test_prune_empty_structs_and_list_elements(spark):
                                "key string, s struct<a:struct<b:string>>, l array<string>, t struct<a:struct<b:string>,n:int>")
     got = {r["key"]: r["record"] for r in to_record_json(prune_empty(df, keep=["key"]), "key").collect()}
     assert got == {"k": '{"s":{},"l":["","x"],"t":{"a":{"b":"y"}}}', "n": '{"t":{"n":1}}'}
+
+
+def test_every_character_reference_is_decoded_once(spark):
+    import html
+
+    from inkwell.functions.text import clean_html, decode_entities
+    texts = ["it&#8217;s caf&eacute; &#x27;x&#X27;", "&amp;lt; &amp;amp;", "&unknown; & &; &#; a&b;", "&#146;&#128512;&#0;&#xD800;&#x110000;",
+             "&lt;b&gt;&quot;&hellip;&NotEqualTilde;", "none", "", "&eacute;&eacute;&", "&frac12;&sup2;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["d"] for r in df.select(decode_entities(F.col("t")).alias("d")).collect()]
+    assert got == [html.unescape(t) for t in texts]
+    one = df.limit(1).select(clean_html(F.lit("<p>it&#8217;s&nbsp; caf&eacute;</p>")).alias("c")).first()["c"]
+    assert one == "it\u2019s caf\u00e9"
