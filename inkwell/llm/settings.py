@@ -6,7 +6,7 @@ from __future__ import annotations
 SIMHASH_WORDS, SIMHASH_BITS = 3, 2
 
 #: Score below which the pipeline counts a document's language as undetermined.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.3
 
 #: Target weights of the sources in the mixed corpus; the rest share one.
 TARGET_WEIGHTS = {"src0": 30, "src1": 10, "src2": 10, "src3": 10, "src4": 8, "src5": 8, "src6": 6, "src7": 6, "src8": 4,
