@@ -31,6 +31,8 @@ from inkwell.llm.common import map_arrow, text_bytes, written
 from inkwell.llm.components import connected_components
 
 SEED = 42
+#: A fingerprint with over 1 / HEAVY_SHARE of the rows is dealt over SALTS keys.
+HEAVY_SHARE, SALTS = 1000, 64
 #: Bytes of one text that are cut into words at one time.
 BLOCK_BYTES = 1 << 20
 
@@ -128,9 +130,12 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words_per_shingle: int, max_distance: int, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, label, component_id): ``label`` is a fingerprint
-    shared by the whole component, ``component_id`` its smallest doc_id."""
+    shared by the whole component, ``component_id`` its smallest doc_id.
+
+    A large group of copies has one fingerprint; when the classes go back to
+    the rows, such a fingerprint's rows are dealt over ``SALTS`` join keys."""
     rows = written(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
-    distinct = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
+    distinct = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "distinct")
     labels = connected_components(links(distinct, max_distance))
     members = labels.join(distinct, labels["node"] == distinct["fingerprint"]).select("fingerprint", "label", "first_id")
     smallest = members.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -138,7 +143,14 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int, max_distance: int,
     classes = distinct.join(linked, "fingerprint", "left").select(
         "fingerprint", F.coalesce("label", "fingerprint").alias("label"),
         F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return rows.join(classes, "fingerprint").select("doc_id", "fingerprint", "label", "component_id")
+    # at most HEAVY_SHARE fingerprints can hold more than 1 / HEAVY_SHARE of the rows each
+    most = rows.count() / HEAVY_SHARE
+    heavy = [r["fingerprint"] for r in distinct.filter(F.col("n") > most).select("fingerprint").collect()]
+    is_heavy = F.col("fingerprint").isin(heavy) if heavy else F.lit(False)
+    salted = rows.withColumn("salt", F.when(is_heavy, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
+    spread = classes.withColumn("salt", F.explode(F.when(
+        is_heavy, F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))))
+    return salted.join(spread, ["fingerprint", "salt"]).select("doc_id", "fingerprint", "label", "component_id")
 
 
 def deduplicate(docs: DataFrame, words_per_shingle: int, max_distance: int) -> DataFrame:

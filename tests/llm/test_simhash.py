@@ -96,3 +96,10 @@ def test_blocks_do_not_change_a_long_text(monkeypatch):
 def slow_signed(text):
     fp = slow_fingerprint(text)
     return fp - (1 << 64) if fp >> 63 else fp
+
+
+def test_a_large_group_of_copies_is_salted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(simhash, "HEAVY_SHARE", 10)
+    rows = [(i, "one common text" if i % 3 else f"text number {i} of many") for i in range(300)]
+    got = {r["doc_id"]: r["component_id"] for r in op3(spark, save(spark, tmp_path, documents=documents(spark, rows))).collect()}
+    assert len(got) == 300 and {got[i] for i in range(300) if i % 3} == {1}
