@@ -10,7 +10,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 FAST_KEYS = ["asset_uri", "iso_dates", "body_clean", "tags", "prune_empty", "keyword_match",
              "boolean_categories", "entity_uri_labels", "political_score", "female_proportion",
              "article_sentiment", "zero_shot_labels", "top_vocab", "threshold_sweep", "scan_csv",
-             "news_record", "article_features"]
+             "news_record", "article_features", "enrich_corpus", "sink_enriched", "sport_record", "gram_cells", "fit_projection",
+             "apply_projection", "text_vectors", "roc_points", "entailment_labels", "scan_articles_filtered",
+             "topic_snapshot_refresh", "profile", "class_distribution", "scan_word_vectors", "train_text_classifier"]
 
 
 @pytest.fixture(scope="module")
