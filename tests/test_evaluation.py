@@ -45,10 +45,16 @@ def test_profile_and_accuracy(spark):
     df = spark.createDataFrame([(1, 1, "a"), (0, 1, "b"), (1, 1, "a"), (0, 0, "b")], "t int, p int, c string")
     acc = {r["matches"]: (r["n"], r["accuracy_pct"]) for r in G.label_accuracy(df, "t", "p").collect()}
     assert acc[True] == (3, 75.0) and acc[False] == (1, 75.0)
-    prof = {r["stat"]: r["value"] for r in G.profile(df, "t", "c").collect()}
+    prof = {r["stat"]: r["value"] for r in G.profile(df, "t", "c", approx=False).collect()}
     assert prof["count"] == 4 and prof["50%"] == 0.5 and prof["count_a"] == 2
 
 
+def test_profile_of_many_values_uses_a_sketch(spark):
+    df = spark.range(10_001).select((F.col("id") / 10.0).alias("v"))
+    prof = {r["stat"]: r["value"] for r in G.profile(df, "v").collect()}
+    assert [prof[q] for q in ("25%", "50%", "75%")] == pytest.approx([250.0, 500.0, 750.0], abs=0.5)
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"))
     a = [r["k"] for r in G.sample_articles(df, "k", 3).collect()]
