@@ -8,6 +8,7 @@ from inkwell.functions.text import split_on_period, split_sentences
 from inkwell.operators.sentiment import article_sentiment
 
 
+# FIXED VALUES: the golden sentences and the mean that must come out.
 def test_golden_mean(spark):
     df = spark.createDataFrame([("VADER is smart, handsome, and funny. A really bad, horrible book.",)], "t string")
     row = df.select(S.sentence_scores(F.col("t")).alias("s")).first()
