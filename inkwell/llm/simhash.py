@@ -159,18 +159,25 @@ def deduplicate(docs: DataFrame, words_per_shingle: int, max_distance: int) -> D
     rows without an id only if no row of the component has one).
 
     Fingerprints are made twice, once for the components and once beside the
-    rows, so that only kept rows are shuffled, and those by (doc_id,
-    fingerprint), which no group of copies shares."""
+    rows, so that whole rows are shuffled once: by (doc_id, fingerprint), which
+    no group of copies shares, for the join and for the choice among repeated
+    rows."""
     found = near_duplicates(docs, words_per_shingle, max_distance)
     chosen = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
               .groupBy("label", "component_id").agg(F.min("fingerprint").alias("fingerprint"))
-              .select(F.col("component_id").alias("id"), F.col("fingerprint").alias("fp")))
-    rows = with_fingerprint(docs, words_per_shingle).withColumn("doc_id", F.col("row.doc_id"))
-    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["fingerprint"] == chosen["fp"]), "left_semi")
-    order = Window.partitionBy("doc_id", "fingerprint").orderBy(F.asc_nulls_first("row.text"))
+              .select(*_not_null("component_id"), "fingerprint"))
+    rows = with_fingerprint(docs, words_per_shingle).select("row", "fingerprint", *_not_null("row.doc_id"))
+    key = ["id", "no_id", "fingerprint"]
+    kept = rows.join(chosen, key, "left_semi")
+    order = Window.partitionBy(*key).orderBy(F.asc_nulls_first("row.text"))
     one = kept.withColumn("n", F.row_number().over(order)).filter("n = 1")
     return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
+def _not_null(id_col: str) -> list[Column]:
+    """An id as two columns that are never null."""
+    return [F.coalesce(id_col, F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id")]
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
