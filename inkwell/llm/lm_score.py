@@ -6,29 +6,38 @@ class and then the word within its class (an exact factorisation over the
 vocabulary).  A document's score is the sum over its words of
 log P(word | both sides).
 
-The vocabulary is the most frequent words of all documents; the other words
-are hashed to a fixed number of ids.  Training goes over every document once,
-in ``ROUNDS`` folds by a hash of doc_id: each task starts from the round's
-parameters and trains in numpy on masked positions of its documents, and the
-next round starts from the mean of the tasks' parameters, weighted by masked
+The network's ids are the most frequent words of all documents, and a fixed
+number of buckets for the others.  A bucket's word has the bucket's probability
+times n(word) / n(bucket), by the counts of all documents, so every distinct
+word has a probability of its own.  Words with over one in ``COMMON`` of all
+words are few and looked up by each task; the others of each text are joined
+to the counts.
+
+Training goes over every document once, in ``ROUNDS`` folds by a hash of
+doc_id: each task starts from the round's parameters and trains in numpy on
+every word of its documents, one of ``MASK_EVERY`` offsets after the other, and
+the next round starts from the mean of the tasks' parameters, weighted by
 words and summed by a shuffle.  Counts and training cover all documents, so
 what is gathered grows with them; a task holds one copy of the parameters,
 whose size is fixed.
 
 Defined results: a null text or one without words has no words and log
-probability 0; null doc_ids train in the first round; repeated rows each get
+probability 0; null doc_ids train in the first round; a word that the counts
+lack counts as seen once; repeated rows each get
 their row; an empty table gives no rows.  Only the named columns are read, so
 extra columns never clash.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +52,10 @@ SIDE = 32
 #: Offsets of the context words.
 CONTEXT = (-2, -1, 1, 2)
 HIDDEN, ROUNDS, BATCH, RATE, SEED = 24, 3, 512, 0.1, 10
-#: Every n-th word is masked in training.
+#: Every n-th word is masked in training, at each offset in turn.
 MASK_EVERY = 7
+#: Words with over one in so many of all words are not joined.
+COMMON = 20_000
 #: Words that are scored at one time.
 RUN = 1 << 16
 
@@ -56,10 +67,13 @@ SHAPES = {"embedding": (len(CONTEXT), IDS, HIDDEN), "hidden": (HIDDEN,), "classe
 
 @dataclass
 class Network:
-    """Parameters by name, and the ids of the frequent words."""
+    """Parameters by name, the ids of the frequent words, the counts of the
+    buckets, and log(n(word) / n(bucket)) of common words in buckets."""
 
     vocabulary: dict[str, int]
     parameters: dict[str, np.ndarray]
+    hashed: list[int]
+    common: dict[str, float]
 
     @staticmethod
     def start(words: list[str], frequent: list[int], hashed: list[int]) -> Network:
@@ -73,7 +87,7 @@ class Network:
         classes = table.sum(axis=1)
         p = {name: rng.normal(0, 0.1, shape) for name, shape in SHAPES.items()}
         p |= {"hidden": np.zeros(HIDDEN), "class_bias": np.log(classes / classes.sum()), "place_bias": np.log(table / classes[:, None])}
-        return Network({w: i + 1 for i, w in enumerate(words)}, {k: v.astype(np.float32) for k, v in p.items()})
+        return Network({w: i + 1 for i, w in enumerate(words)}, {k: v.astype(np.float32) for k, v in p.items()}, hashed, {})
 
     def ids(self, words: Words) -> np.ndarray:
         known = self.vocabulary
@@ -90,20 +104,50 @@ class Network:
         two = log_softmax(hidden @ p["places"] + p["place_bias"][target // SIDE])
         return hidden, one, two, one[rows, target // SIDE] + two[rows, target % SIDE]
 
-    def gradient(self, context: list[np.ndarray], target: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean negative log probability."""
+    def backward(self, context: list[np.ndarray], target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Gradient of the mean negative log probability but for the
+        embedding, and by the hidden layer's input."""
         p, n, rows = self.parameters, len(target), np.arange(len(target))
         hidden, one, two, _ = self.forward(context, target)
         one, two = np.exp(one), np.exp(two)
         one[rows, target // SIDE] -= 1
         two[rows, target % SIDE] -= 1
         back = (one @ p["classes"].T + two @ p["places"].T) * (1 - hidden ** 2) / n
-        place_bias, embedding = np.zeros_like(p["place_bias"]), np.zeros_like(p["embedding"])
-        np.add.at(place_bias, target // SIDE, two / n)
+        which, place_bias = row_sums(target // SIDE, two / n)
+        whole = np.zeros_like(p["place_bias"])
+        whole[which] = place_bias
+        return {"hidden": back.sum(axis=0), "classes": hidden.T @ one / n, "class_bias": one.sum(axis=0) / n,
+                "places": hidden.T @ two / n, "place_bias": whole}, back
+
+    def gradient(self, context: list[np.ndarray], target: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log probability."""
+        found, back = self.backward(context, target)
+        embedding = np.zeros_like(self.parameters["embedding"])
+        for k, c in enumerate(context):
+            rows, sums = row_sums(c, back)
+            embedding[k][rows] = sums
+        return found | {"embedding": embedding}
+
+    def step(self, squares: dict[str, np.ndarray], context: list[np.ndarray], target: np.ndarray) -> None:
+        """One step of AdaGrad; where the gradient is 0 nothing moves, so only
+        the embeddings in ``context`` are read."""
+        found, back = self.backward(context, target)
+        for name, g in found.items():
+            squares[name] += g * g
+            self.parameters[name] -= RATE * g / np.sqrt(squares[name])
         for k, c in enumerate(context):
-            np.add.at(embedding[k], c, back)
-        return {"embedding": embedding, "hidden": back.sum(axis=0), "classes": hidden.T @ one / n, "class_bias": one.sum(axis=0) / n,
-                "places": hidden.T @ two / n, "place_bias": place_bias}
+            rows, g = row_sums(c, back)
+            own = squares["embedding"][k][rows] + g * g
+            squares["embedding"][k][rows] = own
+            self.parameters["embedding"][k][rows] -= RATE * g / np.sqrt(own)
+
+
+def row_sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct indices, and the sums of their rows of ``values``."""
+    order = np.argsort(index, kind="stable")
+    found = index[order]
+    begins = np.flatnonzero(np.diff(found, prepend=-1))
+    return found[begins], np.add.reduceat(values[order], begins, axis=0)
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
@@ -133,15 +177,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("text"), run, "word string, n bigint").filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> Network:
-    counts = written(word_counts(docs), "word-counts")
+def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word_counts`` as a table."""
+    return written(word_counts(docs.select(F.col(text_col).alias("text"))), "word-counts")
+
+
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Network:
+    counts = counted(docs) if counts is None else counts
     top = [tuple(r) for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
     rest = [0] * HASHED
     for bucket, n in counts.groupBy((F.crc32(F.col("word").cast("binary")) % HASHED).alias("bucket")).agg(F.sum("n")).collect():
         rest[bucket] = n
+    common = counts.filter(F.col("n") > sum(rest) // COMMON).collect()
     for word, n in top:
         rest[zlib.crc32(word.encode()) % HASHED] -= n
-    return Network.start([w for w, _ in top], [n for _, n in top], rest)
+    network = Network.start([w for w, _ in top], [n for _, n in top], rest)
+    network.common = {w: math.log(n / rest[zlib.crc32(w.encode()) % HASHED]) for w, n in common if w not in network.vocabulary}
+    return network
 
 
 def train_round(docs: DataFrame, network: Network, number: int) -> Network:
@@ -152,22 +204,19 @@ def train_round(docs: DataFrame, network: Network, number: int) -> Network:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = shared.value
-        own = Network(start.vocabulary, {k: v.copy() for k, v in start.parameters.items()})
+        own = replace(start, parameters={k: v.copy() for k, v in start.parameters.items()})
         squares = {k: np.full_like(v, 1e-6) for k, v in own.parameters.items()}
         seen = 0
         for batch in batches:
             for part in slices(batch, max_bytes=TEXT_SLICE):
                 words = Words.of(part.column("text"))
                 row, places = padded(own.ids(words), words.owner)
-                masked = places[number % MASK_EVERY::MASK_EVERY]
-                for at in np.array_split(masked, len(masked) // BATCH + 1):
-                    if not len(at):
-                        continue
-                    found = own.gradient([row[at + k] for k in CONTEXT], row[at])
-                    for k, g in found.items():
-                        squares[k] += g * g
-                        own.parameters[k] -= RATE * g / np.sqrt(squares[k])
-                seen += len(masked)
+                for offset in range(number, number + MASK_EVERY):
+                    masked = places[offset % MASK_EVERY::MASK_EVERY]
+                    for at in np.array_split(masked, len(masked) // BATCH + 1):
+                        if len(at):
+                            own.step(squares, [row[at + k] for k in CONTEXT], row[at])
+                seen += len(places)
         if seen:
             flat = np.concatenate([own.parameters[k].ravel() for k in SHAPES]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen),
@@ -178,34 +227,61 @@ def train_round(docs: DataFrame, network: Network, number: int) -> Network:
     if not len(sums):
         return network
     parts = np.split(sums.column("mean").to_numpy().astype(np.float32), np.cumsum(sizes)[:-1])
-    return Network(network.vocabulary, {k: x.reshape(s) for (k, s), x in zip(SHAPES.items(), parts)})
+    return replace(network, parameters={k: x.reshape(s) for (k, s), x in zip(SHAPES.items(), parts)})
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network:
+def train(docs: DataFrame, counts: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> Network:
     rows = docs.select(F.coalesce(F.pmod(F.xxhash64(id_col), F.lit(ROUNDS)), F.lit(0)).alias("fold"), F.col(text_col).alias("text"))
-    network = vocabulary(rows)
+    network = vocabulary(rows, counts)
     for k in range(ROUNDS):
         network = train_round(rows.filter(F.col("fold") == k), network, k)
     return network
 
 
-def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, log_prob, mean_log_prob) of every row's whole text."""
+def score(docs: DataFrame, network: Network, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_words, log_prob, mean_log_prob) of every row's whole text,
+    by the network and the ``counts`` it comes from."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch):
                 total, n = log_probabilities(shared.value, part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))],
-                                                 names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run,
-                     "doc_id bigint, n_words bigint, log_prob double, mean_log_prob double")
+                shares, rare = word_shares(shared.value, part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(n))), part.column("doc_id"), pa.array(n), pa.array(total + shares), rare],
+                    names=["row_id", "doc_id", "n_words", "known", "rare"])
+                row += len(n)
+
+    rows = written(map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run,
+                             "row_id bigint, doc_id bigint, n_words bigint, known double, "
+                             "rare array<struct<word:string,times:bigint>>"), "word-scores")
+    bucket = F.get(F.array(*[F.lit(float(max(n, 1))) for n in network.hashed]), (F.crc32(F.col("word").cast("binary")) % HASHED).cast("int"))
+    rest = (rows.select("row_id", F.inline("rare")).join(counts, "word", "left").groupBy("row_id")
+            .agg(F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(1)) / bucket)).alias("rest")))
+    total = F.col("known") + F.coalesce("rest", F.lit(0.0))
+    return (rows.drop("rare").join(rest, "row_id", "left")
+            .select("doc_id", "n_words", total.alias("log_prob"), (total / F.greatest("n_words", F.lit(1))).alias("mean_log_prob")))
+
+
+def word_shares(network: Network, column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Summed log(n(word) / n(bucket)) of each text's common words, and its
+    other words of buckets with how often they occur."""
+    words = Words.of(column)
+    low = [w.lower() for w in words.distinct]
+    share = np.fromiter((0.0 if w in network.vocabulary else network.common.get(w, np.nan) for w in low), float, len(low))
+    rare = np.isnan(share)[words.codes]
+    total = np.bincount(words.owner[~rare], share[words.codes[~rare]], words.texts)
+    pairs, times = np.unique(words.owner[rare] * len(low) + words.codes[rare], return_counts=True)
+    owner, code = np.divmod(pairs, max(len(low), 1))
+    items = pa.StructArray.from_arrays([pa.array(low, pa.string()).take(pa.array(code)), pa.array(times, pa.int64())], names=["word", "times"])
+    ends = np.cumsum(np.bincount(owner, minlength=words.texts))
+    return total, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), items)
 
 
 def log_probabilities(network: Network, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Summed log probability and number of words of each text."""
+    """Summed log probability of the ids and number of words of each text."""
     words = Words.of(column)
     row, places = padded(network.ids(words), words.owner)
     total = np.zeros(words.texts)

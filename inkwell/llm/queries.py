@@ -94,7 +94,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_lm_score")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm_score.score(docs, lm_score.train(docs))
+    counts = lm_score.counted(docs)
+    return lm_score.score(docs, lm_score.train(docs, counts), counts)
 
 
 @register("pipeline", corpus_pipeline.ORACLE_SQL)

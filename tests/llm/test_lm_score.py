@@ -106,3 +106,40 @@ def test_query_and_defined_cases(spark, tmp_path):
     assert [r["n_words"] for r in got if r["doc_id"] == 102] == [200_000]
     assert len({r["log_prob"] for r in got if r["doc_id"] == 103}) == 1
     assert op10(spark, save(spark, tmp_path / "none", documents=df.limit(0))).count() == 0
+
+
+def bucketed():
+    """More words than ids, as often as their number says, in one document
+    each; two of one bucket."""
+    rows = [(i, " ".join([f"word{i}"] * (2 + i % 3))) for i in range(lm_score.FREQUENT + 700)]
+    return rows, {f"word{i}": 2 + i % 3 for i, _ in rows}
+
+
+@pytest.mark.parametrize("common", [10, 1 << 40])
+def test_every_word_has_its_own_probability(spark, tmp_path, monkeypatch, common):
+    monkeypatch.setattr(lm_score, "COMMON", common)
+    rows, n = bucketed()
+    docs = documents(spark, rows)
+    network = lm_score.train(docs)
+    bucket = {w: zlib.crc32(w.encode()) % 256 for w in n}
+    of_bucket = {b: sum(n[w] for w in n if bucket[w] == b and w not in network.vocabulary) for b in bucket.values()}
+    got = {r["doc_id"]: r for r in op10(spark, save(spark, tmp_path, documents=docs)).collect()}
+    ids = dict(zip([i for i, _ in rows], lm_score.log_probabilities(network, pa.array([t for _, t in rows]))[0]))
+    hashed = [i for i, _ in rows if f"word{i}" not in network.vocabulary]
+    assert len(hashed) == 700
+    for i, _ in rows:
+        w = f"word{i}"
+        own = 0 if w in network.vocabulary else n[w] * math.log(n[w] / of_bucket[bucket[w]])
+        assert got[i]["log_prob"] == pytest.approx(ids[i] + own, rel=1e-4)
+        assert got[i]["mean_log_prob"] == pytest.approx(got[i]["log_prob"] / n[w])
+
+
+def test_every_word_is_a_target_once(spark, monkeypatch):
+    rows = [(i, " ".join(f"t{i}x{k}" for k in range(30))) for i in range(12)]
+    network = lm_score.vocabulary(documents(spark, rows))
+    targets = []
+    monkeypatch.setattr(lm_score.Network, "step", lambda self, squares, context, target: targets.extend(target.tolist()))
+    monkeypatch.setattr(lm_score, "map_arrow", lambda df, run, schema: list(run(df.toArrow().to_batches())) and spark.createDataFrame(
+        [], schema))
+    lm_score.train_round(documents(spark, rows), network, 1)
+    assert sorted(targets) == sorted(network.vocabulary[f"t{i}x{k}"] for i in range(12) for k in range(30))
