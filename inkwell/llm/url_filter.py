@@ -4,8 +4,10 @@ The longest rule that fits a URL decides; the others go to gradient-boosted
 trees over lexical features of the URL (lengths, depth, digit ratio, entropy,
 parameter counts, statistics of the host's suffix), trained from labelled URLs.
 
-The labels are a blocklist's: a URL counts as bad if a label of its host joins
-words of the list by hyphens (``casino-win``).  Trees are fitted on a bounded
+The labels are a rule, not judgements: a URL counts as bad if a word of a
+blocklist is a label of its host, a part of one between hyphens, or a word of
+its path, digits at its end aside, or if one of the list's unmistakable words
+is anywhere in a label (``bestcasino1``).  Trees are fitted on a bounded
 sample, the ``sample_rows`` URLs of each class with the smallest hash of
 (url, page_id).  Suffix statistics cover every row: how many URLs have the
 host's last label, and how many distinct hosts are below its last two labels.
@@ -33,9 +35,15 @@ from inkwell.llm.common import lower_ascii, written
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-#: Words of unwanted hosts.
-BLOCKLIST_WORDS = ["ads", "adult", "bets", "casino", "cheap", "farm", "free", "pills", "poker", "porn", "spam", "track", "win",
-                   "xxx"]
+#: FIXED VALUES: usual words of the categories that URL blocklists have (adult,
+#: gambling, drugs, advertising, spam, malware, piracy).
+BLOCKLIST_WORDS = ["ads", "adserver", "adult", "adware", "bet", "bets", "betting", "bingo", "blackjack", "botnet", "casino", "cialis",
+                   "clickbait", "cracked", "doubleclick", "escort", "escorts", "gambling", "hentai", "jackpot", "keygen", "lottery",
+                   "malware", "milf", "nude", "phishing", "pills", "poker", "popunder", "porn", "porno", "roulette", "sex", "slots",
+                   "spam", "spyware", "steroids", "tramadol", "viagra", "warez", "webcams", "xanax", "xxx"]
+#: Those that no other word holds.
+BLOCKLIST_PARTS = ["adserver", "blackjack", "botnet", "casino", "doubleclick", "gambling", "hentai", "jackpot", "malware", "phishing",
+                   "popunder", "porno", "roulette", "spyware", "tramadol", "viagra", "warez"]
 
 #: Sampled URLs of each class.
 SAMPLE_ROWS = 5_000
@@ -102,11 +110,13 @@ def lexical(pages: DataFrame) -> DataFrame:
     })
 
 
-def listed(words: list[str]) -> Column:
-    """The blocklist's label of a URL: a hyphenated host label made of listed
-    words only, single letters aside."""
-    one = "(?:" + "|".join(sorted(words)) + ")"
-    return F.col("host").rlike(rf"(?:^|\.){one}(?:-(?:{one}|[a-z]))+(?:\.|$)")
+def listed(words: list[str], parts: list[str] = BLOCKLIST_PARTS) -> Column:
+    """The blocklist's label of a URL: one of the words in its host or path,
+    or one of ``parts`` inside a label of its host."""
+    one, within = "(?:" + "|".join(sorted(words)) + ")", "|".join(sorted(parts))
+    host, path = F.col("host"), lower_ascii(F.col("path"))
+    return (host.rlike(rf"(?:^|[.-]){one}[0-9]*(?:[.:-]|$)") | host.rlike(within)
+            | path.rlike(rf"(?<![\p{{L}}\p{{N}}]){one}[0-9]*(?![\p{{L}}\p{{N}}])"))
 
 
 def with_features(pages: DataFrame) -> DataFrame:

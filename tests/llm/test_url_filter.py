@@ -98,3 +98,28 @@ def test_repeats_one_class_and_empty(spark, tmp_path):
     rows = op6(spark, save(spark, tmp_path, pages=df)).collect()
     assert len(rows) == 3 and {r["verdict"] for r in rows} == {"allow"}
     assert op6(spark, save(spark, tmp_path / "none", pages=df.limit(0))).count() == 0
+
+
+def parts_of(spark, urls):
+    return pages(spark, urls).select("page_id", "url", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+
+
+def test_labels_do_not_need_a_hyphen(spark):
+    bad = ["casino.example.com", "bestcasino1.example.net", "xxx.example.com", "m.poker24.example.org", "adult-x.example.com", "bets:80",
+           "plain.example.com/en/Viagra.html"]
+    good = ["e-mail.example.com", "well-known.example.net", "a-b.example.org", "downloads.example.com", "essex.example.com", "specialist.example.net",
+            "free-farm.example.com", "plain.example.com/en/downloads/1", "plain.example.com/sextant"]
+    got = {r["url"][7:]: r["bad"] for r in parts_of(spark, dict(enumerate(f"http://{u}" for u in [*bad, *good]))).withColumn(
+        "bad", url_filter.listed(url_filter.BLOCKLIST_WORDS)).collect()}
+    assert [u for u in got if got[u]] == bad
+
+
+def test_trees_on_clean_hyphens_and_bad_hosts_without(spark):
+    good = [f"http://well-kn{'o' * (i % 5)}wn.example.com/en/{i}" for i in range(80)]
+    bad = [f"http://bestcasino{1000 + i}.example.com/en/{i}" for i in range(80)]
+    unseen = [f"http://long-rea{'a' * (i % 4)}d.example.com/en/{i}" for i in range(20)] + [f"http://topjackpot{2000 + i}.example.com/en/{i}" for i in range(20)]
+    rows = url_filter.with_features(parts_of(spark, dict(enumerate([*good, *bad, *unseen])))).cache()
+    model = url_filter.train(rows.filter("page_id < 160"))
+    blocked = [r["page_id"] for r in model.transform(rows).filter("prediction = 1").collect()]
+    assert sum(80 <= i < 160 for i in blocked) >= 78 and sum(i >= 180 for i in blocked) >= 18
+    assert not [i for i in blocked if i < 80 or 160 <= i < 180]
