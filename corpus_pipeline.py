@@ -11,7 +11,8 @@ the columns of ``documents``.
 * ``pii`` replaces personal data in the texts by its kind.
 * ``mixing`` keeps every document and lays the files out in the order of the
   mixed stream.
-* ``packing`` returns the pieces of all documents.
+* ``packing`` returns the pieces of all documents; sequences follow the mixed
+  stream, and only the documents of one run of it are ordered along the curve.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(mixing.runs(docs, ["doc_id", "text"]), tokenizer_path(), run_col="run")
 
 
 STAGES = [("language_id", identify_language), ("simhash", drop_near_duplicates), ("pii", redact_pii),

@@ -32,6 +32,8 @@ from inkwell.functions.text import bind
 
 #: Documents of a block.
 BLOCK_DOCS = 16
+#: Documents of a run of the stream, inside which others may reorder them.
+RUN_DOCS = 4096
 #: The stream of sources without a weight of their own.
 OTHER = "other"
 #: Hash buckets in which a stream's documents are numbered, as a power of two;
@@ -143,6 +145,22 @@ def mixed(docs: DataFrame, weights: dict[str, int], other_weight: int, block_doc
     return ordered.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
+def runs(docs: DataFrame, columns: list[str], run_docs: int = RUN_DOCS) -> DataFrame:
+    """``columns`` of ``docs``, a table written from ``mixed``, and ``run``:
+    the number of the run of ``run_docs`` documents of the stream that holds
+    the row.  Files and their rows are in the order of the stream; one number
+    per file reaches the driver."""
+    name = F.col("_metadata.file_name")
+    rows = docs.select(*columns, name.alias("file"), F.col("_metadata.row_index").alias("index"))
+    part = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("bigint")
+    before, offsets = 0, []
+    for _, file, n in sorted(tuple(r) for r in docs.select(name.alias("file")).groupBy("file").agg(F.count("*").alias("n")).select(part, "file", "n").collect()):
+        offsets.append((file, before))
+        before += n
+    first = docs.sparkSession.createDataFrame(offsets, "file string, before bigint")
+    return rows.join(F.broadcast(first), "file").select(*columns, F.floor((F.col("before") + F.col("index")) / run_docs).alias("run"))
+
+
 def oracle(weights: dict[str, int], other_weight: int, block_docs: int = BLOCK_DOCS) -> str:
     """The rows of ``mix`` as DuckDB SQL over ``documents``."""
     names = sorted(weights)

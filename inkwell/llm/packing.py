@@ -2,7 +2,7 @@
 
 Every document becomes its token ids and an end id.  The hashed ids are
 projected to a few dimensions, which give a Hilbert key; documents are ordered
-by (key, doc_id) and laid end to end along the curve, and that stream is cut
+by (key, doc_id), within runs if some are given, and laid end to end along the curve, and that stream is cut
 every ``capacity`` tokens, so a sequence holds neighbours of the curve and
 only what is left over at the end is shorter.  That rest is cut at powers of
 two, so no sequence needs padding.
@@ -83,8 +83,9 @@ def curve_keys(ids: np.ndarray, ends: np.ndarray, directions: np.ndarray) -> np.
     return hilbert_keys((unit * (1 << BITS)).astype(np.int64), BITS)
 
 
-def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_id, doc_id, key, doc_tokens, ids binary); row_id numbers the rows
+def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
+              run_col: str | None = None) -> DataFrame:
+    """(row_id, doc_id, run, key, doc_tokens, ids binary); row_id numbers the rows
     and is stable once the result is written."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
@@ -97,20 +98,22 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                 raw = [ids[a:b].tobytes() + end for a, b in zip(at, at[1:])]
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), part.column("doc_id"), pa.array(curve_keys(ids, ends, directions)),
+                    [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("run"), pa.array(curve_keys(ids, ends, directions)),
                      pa.array(np.diff(at) + 1), pa.array(raw, pa.binary())],
-                    names=["row_id", "doc_id", "key", "doc_tokens", "ids"])
+                    names=["row_id", "doc_id", "run", "key", "doc_tokens", "ids"])
                 row += n
 
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run,
-                     "row_id bigint, doc_id bigint, key bigint, doc_tokens bigint, ids binary")
+    of_run = (F.col(run_col) if run_col else F.lit(0)).cast("bigint").alias("run")
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), of_run, F.col(text_col).alias("text")), run,
+                     "row_id bigint, doc_id bigint, run bigint, key bigint, doc_tokens bigint, ids binary")
 
 
 def stream_positions(rows: DataFrame) -> tuple[DataFrame, int]:
     """(row_id, position): tokens before each row of ``rows(row_id, doc_id,
-    key, doc_tokens)`` in curve order, and the number of all tokens."""
+    run, key, doc_tokens)`` in curve order within each run, and the number of
+    all tokens."""
     spark = rows.sparkSession
-    order = ["key", "doc_id", "row_id"]
+    order = ["run", "key", "doc_id", "row_id"]
     ordered = (rows.select(*order, "doc_tokens")
                .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
                .sortWithinPartitions(*order))
@@ -183,10 +186,11 @@ def pieces(rows: DataFrame, positions: DataFrame, total: int, capacity: int, id_
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", run_col: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.  ``tokenizer`` is the path of a tokenizer file that
-    every executor can open."""
-    rows = written(tokenised(docs, tokenizer, id_col, text_col), "token-ids")
+    every executor can open.  Runs of documents by ``run_col`` stay one after
+    the other, and the curve orders the documents of each."""
+    rows = written(tokenised(docs, tokenizer, id_col, text_col, run_col), "token-ids")
     positions, total = stream_positions(rows)
     return pieces(rows, positions, total, capacity, word_tokens(tokenizer).dtype.itemsize)

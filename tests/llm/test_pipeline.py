@@ -100,3 +100,21 @@ def test_queries_are_registered(name):
     import __spark_entry__
 
     assert name in __spark_entry__.queries()
+
+
+def test_packing_follows_the_mixed_stream(spark, tmp_path, monkeypatch):
+    docs = documents(spark, [(i, f"word{i} and {i * 7}", "en", f"src{i % 3}") for i in range(100)], file="1", index="2", run="3")
+    found = {}
+    for name, weights in {"even": TARGET_WEIGHTS, "other": {"src1": 90, "src2": 1}}.items():
+        mixing.mixed(docs, weights, OTHER_WEIGHT, 4).write.parquet(f"{tmp_path}/{name}")
+        files = sorted((tmp_path / name).glob("part-*"))
+        order = [i for f in files for i in spark.read.parquet(str(f)).toPandas()["doc_id"]]
+        stream = spark.read.parquet(f"{tmp_path}/{name}")
+        run = {r["doc_id"]: r["run"] for r in mixing.runs(stream, ["doc_id"], 8).collect()}
+        assert run == {d: k // 8 for k, d in enumerate(order)}
+        monkeypatch.setattr(mixing.runs, "__defaults__", (8,))
+        pieces = corpus_pipeline.pack(spark, stream, "").orderBy("sequence_id", "offset").collect()
+        packed = list(dict.fromkeys(r["doc_id"] for r in pieces))
+        assert [run[d] for d in packed] == sorted(run.values())
+        found[name] = packed
+    assert found["even"] != found["other"]
