@@ -35,6 +35,27 @@ CONTEXT_BONUS, BEFORE, BEHIND = 0.4, 40, 20
 _NONE = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
+#: Characters of an IBAN by its country code, after the SWIFT registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def iban_pattern(lengths: dict[int, str] = IBAN_LENGTHS) -> str:
+    """The country code says where an IBAN ends, so no word behind it is read;
+    with another code it goes on as long as it can.  No IBAN goes on over the
+    start of an entire one of a known country."""
+    def whole(gap: str) -> str:
+        return "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:{gap}[A-Z0-9]){{{n - 4}}}" for n, codes in lengths.items())
+
+    gap = rf"(?:\x20(?!(?:{whole(r'\x20?')})(?![A-Za-z0-9])))?"
+    known = " ".join(lengths.values()).replace(" ", "|")
+    return (rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{whole(gap)}|(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:{gap}[A-Z0-9]){{11,30}}+)"
+            r"(?![A-Za-z0-9])")
+
+
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -110,7 +131,7 @@ BASE = (
 
 #: What the method adds to them.
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", _iban, 0.8, ("iban", "account", "konto", "compte", "cuenta")),
+    Kind("iban", iban_pattern(), _iban, 0.8, ("iban", "account", "konto", "compte", "cuenta")),
     Kind("local_phone", r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", _any, 0.3,
          ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono")),
     Kind("social_security", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", _any, 0.3,

@@ -102,3 +102,17 @@ def test_long_runs_and_empty(spark, tmp_path):
     repeated = documents(spark, [(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c")])
     assert [r["n_email"] for r in op9(spark, save(spark, tmp_path / "r", documents=repeated)).collect()] == [1, 1, 1]
     assert op9(spark, save(spark, tmp_path / "none", documents=df.limit(0))).count() == 0
+
+
+def test_ibans_end_where_their_country_says(spark, tmp_path):
+    de, spaced, gb, fr = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606"
+    cases = [(f"IBAN {de} BIC COBADEFFXXX", [de]), (f"{de} EUR 500", [de]), (f"{spaced} 2024-01-05", [spaced]), (f"{de} {gb}", [de, gb]),
+             (f"{spaced} {spaced} {fr} X1", [spaced, spaced, fr]), (f"REF GB12 ORDER 12345 {spaced} EUR", [spaced]), (f"XX12 3456 7890 123 {de}", [de]),
+             (f"{de}1", []), (f"{de[:-1]} 1 EUR", []), (f"X{de}", []), ("NO93 8601 1117 947 KTO 1", ["NO93 8601 1117 947"]),
+             ("MT84 MALT 0110 0001 2345 MTLC AST0 01S A B", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"])]
+    docs = documents(spark, [(i, t) for i, (t, _) in enumerate(cases)])
+    spans = {r["doc_id"]: [x[len("iban:"):].split(":") for x in r["spans"].split(",") if x.startswith("iban")]
+             for r in op9(spark, save(spark, tmp_path, documents=docs)).collect()}
+    assert [[cases[i][0][int(a):int(b)] for a, b in spans[i]] for i in range(len(cases))] == [want for _, want in cases]
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert redacted[0] == "IBAN [IBAN] BIC COBADEFFXXX" and redacted[3] == "[IBAN] [IBAN]"
