@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkwell.llm import (language_id, licence_scan, lm_score, mixing, neighbours, packing, pii, quality, simhash,
+from inkwell.llm import (decontaminate, language_id, licence_scan, lm_score, mixing, neighbours, packing, pii, quality, simhash,
                          spotsigs, url_filter)
 from inkwell.llm.common import table
 from inkwell.llm.settings import OTHER_WEIGHT, SIMHASH_BITS, SIMHASH_WORDS, TARGET_WEIGHTS, tokenizer_path
@@ -98,6 +98,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, lm_score.train(docs, counts), counts)
 
 
+@register("op13_decontaminate", decontaminate.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join("items", ",").cast("binary")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
