@@ -75,3 +75,16 @@ def text_bytes(arr: pa.Array) -> Iterator[bytes]:
     raw = memoryview(buf)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         yield bytes(raw[a:b])
+
+
+def crc32_table() -> str:
+    """DuckDB text of ``crc``: one row, the 256 values of CRC-32's table."""
+    turn = "list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    return f"crc AS (SELECT list({turn} ORDER BY n) AS crc FROM range(256) t(n))"
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB text of the CRC-32 of an ASCII text; ``crc`` has to be in scope."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint)"
+    turn = "lambda v, b: xor(v >> 8, crc[1 + (xor(v, b) & 255)])"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), {turn}), 4294967295::bigint)"

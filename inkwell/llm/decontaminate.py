@@ -372,8 +372,8 @@ doc_windows AS (
   FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)),
 hits AS (SELECT r, i, size, item FROM doc_windows JOIN item_windows USING (size, words)),
 hit_words AS (
-  SELECT r, count(DISTINCT at) AS n_hit
-  FROM (SELECT r, unnest(range(i, i + size)) AS at FROM (SELECT DISTINCT r, i, size FROM hits)) GROUP BY r),
+  SELECT r, count(DISTINCT word) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + size)) AS word FROM (SELECT DISTINCT r, i, size FROM hits)) GROUP BY r),
 hit_items AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
