@@ -243,9 +243,7 @@ class Manifest:
 
     def group_paths(self) -> DataFrame:
         """(tree, at, path, subroot, root) of every group's root."""
-        root = self.top[-1].select(F.lit("top").alias("tree"), F.lit(0).cast("bigint").alias("at"), F.lit(b"").alias("path"),
-                                   F.col("root").alias("root"))
-        found = root
+        found = self.top[-1].select("tree", F.col("block").alias("at"), F.lit(b"").alias("path"), "root")
         for blocks in reversed(self.top):
             found = paths_below(blocks, found, self.height)
         named = self.tops.select("at", "group", F.col("leaf").alias("subroot"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkwell.llm import (decontaminate, language_id, licence_scan, lm_score, merkle, mixing, neighbours, packing, pii, quality, simhash,
+from inkwell.llm import (conversation_repair, decontaminate, language_id, licence_scan, lm_score, merkle, mixing, neighbours, packing, pii, quality, simhash,
                          spotsigs, url_filter)
 from inkwell.llm.common import table
 from inkwell.llm.settings import OTHER_WEIGHT, SIMHASH_BITS, SIMHASH_WORDS, TARGET_WEIGHTS, tokenizer_path
@@ -98,6 +98,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, lm_score.train(docs, counts), counts)
 
 
+@register("op11_conversation_repair", conversation_repair.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 @register("op12_merkle", merkle.oracle())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(merkle.build(merkle.document_leaves(table(spark, sf_dir, "documents")), ["doc_id"]))
