@@ -154,29 +154,54 @@ def _score(kind: Kind, gaps: Column, i: Column) -> Column:
     return F.least(F.lit(1.0), F.lit(kind.score) + F.when(named, F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0)))
 
 
+def _powers(n: Column, falling: bool = False) -> Column:
+    """1, 2, 4, ... below ``n``."""
+    every = [1 << k for k in range(31)]
+    return F.filter(F.array(*map(F.lit, reversed(every) if falling else every)), lambda p: p < n)
+
+
+def running_sums(values: Column) -> Column:
+    """Sums of an array up to each element, by doubling: no array grows, so
+    the work is n log n."""
+    def step(at: Column, span: Column) -> Column:
+        return F.transform(at, lambda v, i: v + F.when(i >= span, at[F.greatest(i - span, F.lit(0))]).otherwise(F.lit(0)))
+
+    return bind(values, lambda v: F.aggregate(_powers(F.size(v)), v, step))
+
+
 def spans(text: Column, kind: Kind) -> Column:
     """Confirmed spans (kind, start, end, score) of one kind, by start."""
     def body(matches: Column, gaps: Column) -> Column:
         steps = F.transform(matches, lambda m, i: (F.length(gaps[i]) + F.length(m)).cast("bigint"))
-        ends = F.aggregate(steps, F.array(F.lit(0).cast("bigint")),
-                           lambda at, n: F.concat(at, F.array(F.element_at(at, -1) + n)))
-        return bind(ends, lambda e: F.filter(
+        return bind(running_sums(steps), lambda ends: F.filter(
             F.transform(matches, lambda m, i: F.when(kind.confirm(m), F.struct(
-                F.lit(kind.name).alias("kind"), (e[i + 1] - F.length(m)).alias("start"), e[i + 1].alias("end"),
+                F.lit(kind.name).alias("kind"), (ends[i] - F.length(m)).alias("start"), ends[i].alias("end"),
                 _score(kind, gaps, i).alias("score")))), lambda s: s.isNotNull()).cast(_NONE))
 
     return _pieces(text, kind, body, F.array().cast(_NONE))
 
 
+def _overlapped(span: Column, spans: Column) -> Column:
+    """Whether one of ``spans`` (by start, apart from each other) shares a code
+    point with ``span``: a binary search for the last one that starts before
+    its end."""
+    def step(before: Column, more: Column) -> Column:
+        at = before + more
+        starts_before = F.when(at <= F.size(spans), spans[F.least(at, F.size(spans)) - 1]["start"] < span["end"]).otherwise(False)
+        return F.when(starts_before, at).otherwise(before)
+
+    last = F.aggregate(_powers(F.size(spans) + 1, falling=True), F.lit(0), step)
+    return bind(last, lambda n: F.when(n > 0, spans[F.greatest(n, F.lit(1)) - 1]["end"] > span["start"]).otherwise(False))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, one column of spans for each base kind, added): all spans of
     each row with their scores."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), *[spans(text, k).alias(k.name) for k in BASE],
                        F.concat(*[spans(text, k) for k in ADDED]).alias("proposed"))
-    base = F.concat(*[F.col(k.name) for k in BASE])
-    clear = F.filter("proposed", lambda s: (s["score"] >= MIN_SCORE) & ~F.exists(
-        base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    clear = F.filter("proposed", lambda s: (s["score"] >= MIN_SCORE) & ~reduce(
+        lambda a, b: a | b, [_overlapped(s, F.col(k.name)) for k in BASE]))
     return rows.select("doc_id", *[k.name for k in BASE],
                        F.when(F.size("proposed") > 0, clear).otherwise(F.col("proposed")).alias("added"))
 

@@ -2,8 +2,10 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from inkwell.llm import pii
 from inkwell.llm.queries import op9
@@ -116,3 +118,16 @@ def test_ibans_end_where_their_country_says(spark, tmp_path):
     assert [[cases[i][0][int(a):int(b)] for a, b in spans[i]] for i in range(len(cases))] == [want for _, want in cases]
     redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
     assert redacted[0] == "IBAN [IBAN] BIC COBADEFFXXX" and redacted[3] == "[IBAN] [IBAN]"
+
+
+def test_many_matches_in_one_text(spark):
+    """200,000 matches of a base kind and of an added one: linear but for a logarithm."""
+    n = 200_000
+    text = "1.2.3.4," * n + "123-45-6789 ssn " * (n // 10)
+    start = time.time()
+    found = pii.find(documents(spark, [(1, text), (2, "12," * n), (3, "a@b.c " * n)]))
+    sizes = [F.size(c).alias(c) for c in ("ip", "email", "added")]
+    got = {r["doc_id"]: r for r in found.select("doc_id", *sizes, F.try_element_at("ip", F.lit(-1))["end"].alias("end")).collect()}
+    assert (got[1]["ip"], got[1]["added"], got[1]["end"]) == (n, n // 10, 8 * n - 1)
+    assert (got[2]["ip"], got[2]["email"], got[2]["added"], got[3]["email"]) == (0, 0, 0, n)
+    assert time.time() - start < 60
