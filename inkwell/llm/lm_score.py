@@ -51,13 +51,15 @@ FREQUENT = IDS - HASHED - 1
 SIDE = 32
 #: Offsets of the context words.
 CONTEXT = (-2, -1, 1, 2)
-HIDDEN, ROUNDS, BATCH, RATE, SEED = 24, 3, 512, 0.1, 10
+HIDDEN, ROUNDS, BATCH, RATE, SEED = 24, 3, 2048, 0.1, 10
 #: Every n-th word is masked in training, at each offset in turn.
 MASK_EVERY = 7
 #: Words with over one in so many of all words are not joined.
 COMMON = 20_000
-#: Words that are scored at one time.
-RUN = 1 << 16
+#: Words that are scored at one time: their work arrays stay in a core's cache.
+RUN = 1 << 12
+#: Parameters of a row in which tasks send theirs.
+CHUNK = 1024
 
 TEXT_SLICE = 8 << 20
 
@@ -95,21 +97,31 @@ class Network:
         return np.fromiter((known.get(w) or IDS - HASHED + zlib.crc32(w.encode()) % HASHED for w in low),
                            np.int32, len(low))[words.codes]
 
-    def forward(self, context: list[np.ndarray], target: np.ndarray):
-        """Hidden layer, log probabilities of the classes and of the places in
-        the target's class, and the target's own log probability."""
-        p, rows = self.parameters, np.arange(len(target))
-        hidden = np.tanh(sum((p["embedding"][k][c] for k, c in enumerate(context)), p["hidden"]))
-        one = log_softmax(hidden @ p["classes"] + p["class_bias"])
-        two = log_softmax(hidden @ p["places"] + p["place_bias"][target // SIDE])
-        return hidden, one, two, one[rows, target // SIDE] + two[rows, target % SIDE]
+    def hidden(self, context: list[np.ndarray]) -> np.ndarray:
+        p = self.parameters
+        total = p["embedding"][0][context[0]]
+        for k in range(1, len(context)):
+            total += p["embedding"][k][context[k]]
+        return np.tanh(total + p["hidden"], out=total)
+
+    def scores(self, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the classes, and of the places in the target's class."""
+        p = self.parameters
+        return hidden @ p["classes"] + p["class_bias"], hidden @ p["places"] + p["place_bias"][target // SIDE]
+
+    def forward(self, context: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+        """Log probability of each target."""
+        rows = np.arange(len(target))
+        one, two = self.scores(self.hidden(context), target)
+        found = one[rows, target // SIDE] + two[rows, target % SIDE]
+        return found - log_sums(one) - log_sums(two)
 
     def backward(self, context: list[np.ndarray], target: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradient of the mean negative log probability but for the
         embedding, and by the hidden layer's input."""
         p, n, rows = self.parameters, len(target), np.arange(len(target))
-        hidden, one, two, _ = self.forward(context, target)
-        one, two = np.exp(one), np.exp(two)
+        hidden = self.hidden(context)
+        one, two = map(softmax, self.scores(hidden, target))
         one[rows, target // SIDE] -= 1
         two[rows, target % SIDE] -= 1
         back = (one @ p["classes"].T + two @ p["places"].T) * (1 - hidden ** 2) / n
@@ -144,15 +156,24 @@ class Network:
 
 def row_sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct indices, and the sums of their rows of ``values``."""
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.int16), kind="stable")
     found = index[order]
     begins = np.flatnonzero(np.diff(found, prepend=-1))
     return found[begins], np.add.reduceat(values[order], begins, axis=0)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def log_sums(x: np.ndarray) -> np.ndarray:
+    """log of the summed exponentials of each row; ``x`` is overwritten."""
+    top = x.max(axis=1)
+    x -= top[:, None]
+    return top + np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def padded(ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,18 +239,36 @@ def train_round(docs: DataFrame, network: Network, number: int) -> Network:
                             own.step(squares, [row[at + k] for k in CONTEXT], row[at])
                 seen += len(places)
         if seen:
-            flat = np.concatenate([own.parameters[k].ravel() for k in SHAPES]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen),
-                                              pa.array(np.full(len(flat), seen))], names=["i", "weighted", "words"])
+            flat = np.concatenate([own.parameters[k].ravel() for k in SHAPES]).astype(np.float64) * seen
+            parts = np.array_split(flat, -(-len(flat) // CHUNK))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.list_(pa.float64())),
+                                              pa.array(np.full(len(parts), seen))], names=["chunk", "weighted", "words"])
 
-    sums = (map_arrow(docs.select("text"), run, "i int, weighted double, words bigint")
-            .groupBy("i").agg((F.sum("weighted") / F.sum("words")).alias("mean")).toArrow().sort_by("i"))
+    sums = (map_arrow(docs.select("text"), run, _SUMS).repartition("chunk").mapInArrow(summed, _SUMS)
+            .toArrow().sort_by("chunk"))
     if not len(sums):
         return network
-    parts = np.split(sums.column("mean").to_numpy().astype(np.float32), np.cumsum(sizes)[:-1])
+    means = sums.column("weighted").combine_chunks().flatten().to_numpy() / sums.column("words")[0].as_py()
+    parts = np.split(means.astype(np.float32), np.cumsum(sizes)[:-1])
     return replace(network, parameters={k: x.reshape(s) for (k, s), x in zip(SHAPES.items(), parts)})
 
 
+_SUMS = "chunk int, weighted array<double>, words bigint"
+
+
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of each chunk's rows, which meet in one partition."""
+    totals: dict[int, list] = {}
+    for b in batches:
+        for chunk, values, words in zip(b.column("chunk").to_pylist(), b.column("weighted"), b.column("words").to_pylist()):
+            total = totals.setdefault(chunk, [0.0, 0])
+            total[0] = total[0] + values.values.to_numpy()
+            total[1] += words
+    if totals:
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([v for v, _ in totals.values()], pa.list_(pa.float64())),
+                                          pa.array([n for _, n in totals.values()])], names=["chunk", "weighted", "words"])
+
+
 def train(docs: DataFrame, counts: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> Network:
     rows = docs.select(F.coalesce(F.pmod(F.xxhash64(id_col), F.lit(ROUNDS)), F.lit(0)).alias("fold"), F.col(text_col).alias("text"))
     network = vocabulary(rows, counts)
@@ -246,9 +285,10 @@ def score(docs: DataFrame, network: Network, counts: DataFrame, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch):
-                total, n = log_probabilities(shared.value, part.column("text"))
-                shares, rare = word_shares(shared.value, part.column("text"))
+            for part in slices(batch, max_bytes=TEXT_SLICE):
+                words = Words.of(part.column("text"))
+                total, n = log_probabilities(shared.value, words)
+                shares, rare = word_shares(shared.value, words)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(n))), part.column("doc_id"), pa.array(n), pa.array(total + shares), rare],
                     names=["row_id", "doc_id", "n_words", "known", "rare"])
@@ -265,10 +305,9 @@ def score(docs: DataFrame, network: Network, counts: DataFrame, id_col: str = "d
             .select("doc_id", "n_words", total.alias("log_prob"), (total / F.greatest("n_words", F.lit(1))).alias("mean_log_prob")))
 
 
-def word_shares(network: Network, column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+def word_shares(network: Network, words: Words) -> tuple[np.ndarray, pa.Array]:
     """Summed log(n(word) / n(bucket)) of each text's common words, and its
     other words of buckets with how often they occur."""
-    words = Words.of(column)
     low = [w.lower() for w in words.distinct]
     share = np.fromiter((0.0 if w in network.vocabulary else network.common.get(w, np.nan) for w in low), float, len(low))
     rare = np.isnan(share)[words.codes]
@@ -280,13 +319,11 @@ def word_shares(network: Network, column: pa.Array) -> tuple[np.ndarray, pa.Arra
     return total, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), items)
 
 
-def log_probabilities(network: Network, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def log_probabilities(network: Network, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Summed log probability of the ids and number of words of each text."""
-    words = Words.of(column)
     row, places = padded(network.ids(words), words.owner)
-    total = np.zeros(words.texts)
+    logp = np.zeros(len(places))
     for lo in range(0, len(places), RUN):
         at = places[lo:lo + RUN]
-        _, _, _, logp = network.forward([row[at + k] for k in CONTEXT], row[at])
-        total += np.bincount(words.owner[lo:lo + RUN], logp, words.texts)
-    return total, np.bincount(words.owner, minlength=words.texts)
+        logp[lo:lo + RUN] = network.forward([row[at + k] for k in CONTEXT], row[at])
+    return np.bincount(words.owner, logp, words.texts), np.bincount(words.owner, minlength=words.texts)
