@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import map_arrow, slices, written
+from inkwell.llm.common import map_arrow, slices, text_buffer, written
 from inkwell.llm.quality import Words
 
 #: Ids: 0 beyond the ends of a text, then the frequent words, then the hashed.
@@ -54,8 +54,9 @@ CONTEXT = (-2, -1, 1, 2)
 HIDDEN, ROUNDS, BATCH, RATE, SEED = 24, 3, 2048, 0.1, 10
 #: Every n-th word is masked in training, at each offset in turn.
 MASK_EVERY = 7
-#: Words with over one in so many of all words are not joined.
-COMMON = 20_000
+#: Words with over one in so many of all words are not joined; there are fewer
+#: of them than this, so a task can hold them.
+COMMON = 200_000
 #: Words that are scored at one time: their work arrays stay in a core's cache.
 RUN = 1 << 12
 #: Parameters of a row in which tasks send theirs.
@@ -67,6 +68,26 @@ SHAPES = {"embedding": (len(CONTEXT), IDS, HIDDEN), "hidden": (HIDDEN,), "classe
           "places": (HIDDEN, SIDE), "place_bias": (SIDE, SIDE)}
 
 
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[32, *range(9, 14)]] = False
+
+
+def split(column: pa.Array) -> Words:
+    """``Words.of``, by one pass over the bytes."""
+    buf, offsets = text_buffer(column)
+    at, data = offsets - offsets[0], buf[offsets[0]:offsets[-1]]
+    inside = _IN_WORD[data]
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    starts = at[:-1][at[:-1] < len(data)]
+    begin[starts] = inside[starts]
+    first = np.flatnonzero(begin)
+    places = np.append(np.cumsum(inside, dtype=np.int32)[first] - 1, np.count_nonzero(inside)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(first), pa.py_buffer(places), pa.py_buffer(data[inside])).dictionary_encode()
+    owner = np.searchsorted(at, first, side="right") - 1
+    return Words(words.indices.to_numpy().astype(np.int64), owner, words.dictionary.to_numpy(zero_copy_only=False).tolist(), len(column))
+
+
 @dataclass
 class Network:
     """Parameters by name, the ids of the frequent words, the counts of the
@@ -124,12 +145,17 @@ class Network:
         one, two = map(softmax, self.scores(hidden, target))
         one[rows, target // SIDE] -= 1
         two[rows, target % SIDE] -= 1
-        back = (one @ p["classes"].T + two @ p["places"].T) * (1 - hidden ** 2) / n
-        which, place_bias = row_sums(target // SIDE, two / n)
+        one /= n
+        two /= n
+        back = one @ p["classes"].T
+        back += two @ p["places"].T
+        which, place_bias = row_sums(target // SIDE, two)
         whole = np.zeros_like(p["place_bias"])
         whole[which] = place_bias
-        return {"hidden": back.sum(axis=0), "classes": hidden.T @ one / n, "class_bias": one.sum(axis=0) / n,
-                "places": hidden.T @ two / n, "place_bias": whole}, back
+        found = {"classes": hidden.T @ one, "class_bias": one.sum(axis=0), "places": hidden.T @ two, "place_bias": whole}
+        hidden *= hidden
+        back -= back * hidden
+        return found | {"hidden": back.sum(axis=0)}, back
 
     def gradient(self, context: list[np.ndarray], target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log probability."""
@@ -190,7 +216,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, max_bytes=TEXT_SLICE):
-                words = Words.of(part.column("text"))
+                words = split(part.column("text"))
                 n = np.bincount(words.codes, minlength=len(words.distinct))
                 yield pa.RecordBatch.from_arrays([pa.array([w.lower() for w in words.distinct], pa.string()), pa.array(n)],
                                                  names=["word", "n"])
@@ -230,7 +256,7 @@ def train_round(docs: DataFrame, network: Network, number: int) -> Network:
         seen = 0
         for batch in batches:
             for part in slices(batch, max_bytes=TEXT_SLICE):
-                words = Words.of(part.column("text"))
+                words = split(part.column("text"))
                 row, places = padded(own.ids(words), words.owner)
                 for offset in range(number, number + MASK_EVERY):
                     masked = places[offset % MASK_EVERY::MASK_EVERY]
@@ -286,7 +312,7 @@ def score(docs: DataFrame, network: Network, counts: DataFrame, id_col: str = "d
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, max_bytes=TEXT_SLICE):
-                words = Words.of(part.column("text"))
+                words = split(part.column("text"))
                 total, n = log_probabilities(shared.value, words)
                 shares, rare = word_shares(shared.value, words)
                 yield pa.RecordBatch.from_arrays(

@@ -143,3 +143,11 @@ def test_every_word_is_a_target_once(spark, monkeypatch):
         [], schema))
     lm_score.train_round(documents(spark, rows), network, 1)
     assert sorted(targets) == sorted(network.vocabulary[f"t{i}x{k}"] for i in range(12) for k in range(30))
+
+
+def test_words_are_split_as_everywhere():
+    texts = [None, "", " ", "one", " a  b\tc\x0b", "x\x1cy \u00a0 z", "é a", "b", "a\r\n", "\x00 \x85"]
+    for part in (pa.array(texts), pa.array(texts).slice(3, 5), pa.array(texts).slice(0, 0)):
+        fast, plain = lm_score.split(part), lm_score.Words.of(part)
+        assert [fast.distinct[c] for c in fast.codes] == [plain.distinct[c] for c in plain.codes]
+        assert fast.owner.tolist() == plain.owner.tolist() and fast.texts == plain.texts
