@@ -73,7 +73,8 @@ _IN_WORD[[32, *range(9, 14)]] = False
 
 
 def split(column: pa.Array) -> Words:
-    """``Words.of``, by one pass over the bytes."""
+    """``Words.of`` by one pass over the bytes, the distinct words lower-cased
+    (two may then be equal)."""
     buf, offsets = text_buffer(column)
     at, data = offsets - offsets[0], buf[offsets[0]:offsets[-1]]
     inside = _IN_WORD[data]
@@ -85,7 +86,8 @@ def split(column: pa.Array) -> Words:
     places = np.append(np.cumsum(inside, dtype=np.int32)[first] - 1, np.count_nonzero(inside)).astype(np.int32)
     words = pa.StringArray.from_buffers(len(first), pa.py_buffer(places), pa.py_buffer(data[inside])).dictionary_encode()
     owner = np.searchsorted(at, first, side="right") - 1
-    return Words(words.indices.to_numpy().astype(np.int64), owner, words.dictionary.to_numpy(zero_copy_only=False).tolist(), len(column))
+    low = [w.lower() for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
+    return Words(words.indices.to_numpy().astype(np.int64), owner, low, len(column))
 
 
 @dataclass
@@ -113,22 +115,21 @@ class Network:
         return Network({w: i + 1 for i, w in enumerate(words)}, {k: v.astype(np.float32) for k, v in p.items()}, hashed, {})
 
     def ids(self, words: Words) -> np.ndarray:
-        known = self.vocabulary
-        low = [w.lower() for w in words.distinct]
+        known, low = self.vocabulary, words.distinct
         return np.fromiter((known.get(w) or IDS - HASHED + zlib.crc32(w.encode()) % HASHED for w in low),
                            np.int32, len(low))[words.codes]
 
     def hidden(self, context: list[np.ndarray]) -> np.ndarray:
         p = self.parameters
-        total = p["embedding"][0][context[0]]
+        total = p["embedding"][0].take(context[0], axis=0)
         for k in range(1, len(context)):
-            total += p["embedding"][k][context[k]]
+            total += p["embedding"][k].take(context[k], axis=0)
         return np.tanh(total + p["hidden"], out=total)
 
     def scores(self, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the classes, and of the places in the target's class."""
         p = self.parameters
-        return hidden @ p["classes"] + p["class_bias"], hidden @ p["places"] + p["place_bias"][target // SIDE]
+        return hidden @ p["classes"] + p["class_bias"], hidden @ p["places"] + p["place_bias"].take(target // SIDE, axis=0)
 
     def forward(self, context: list[np.ndarray], target: np.ndarray) -> np.ndarray:
         """Log probability of each target."""
@@ -185,7 +186,7 @@ def row_sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     order = np.argsort(index.astype(np.int16), kind="stable")
     found = index[order]
     begins = np.flatnonzero(np.diff(found, prepend=-1))
-    return found[begins], np.add.reduceat(values[order], begins, axis=0)
+    return found[begins], np.add.reduceat(values.take(order, axis=0), begins, axis=0)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -218,7 +219,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for part in slices(batch, max_bytes=TEXT_SLICE):
                 words = split(part.column("text"))
                 n = np.bincount(words.codes, minlength=len(words.distinct))
-                yield pa.RecordBatch.from_arrays([pa.array([w.lower() for w in words.distinct], pa.string()), pa.array(n)],
+                yield pa.RecordBatch.from_arrays([pa.array(words.distinct, pa.string()), pa.array(n)],
                                                  names=["word", "n"])
 
     return map_arrow(docs.select("text"), run, "word string, n bigint").filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
@@ -262,7 +263,7 @@ def train_round(docs: DataFrame, network: Network, number: int) -> Network:
                     masked = places[offset % MASK_EVERY::MASK_EVERY]
                     for at in np.array_split(masked, len(masked) // BATCH + 1):
                         if len(at):
-                            own.step(squares, [row[at + k] for k in CONTEXT], row[at])
+                            own.step(squares, [row.take(at + k) for k in CONTEXT], row.take(at))
                 seen += len(places)
         if seen:
             flat = np.concatenate([own.parameters[k].ravel() for k in SHAPES]).astype(np.float64) * seen
@@ -334,7 +335,7 @@ def score(docs: DataFrame, network: Network, counts: DataFrame, id_col: str = "d
 def word_shares(network: Network, words: Words) -> tuple[np.ndarray, pa.Array]:
     """Summed log(n(word) / n(bucket)) of each text's common words, and its
     other words of buckets with how often they occur."""
-    low = [w.lower() for w in words.distinct]
+    low = words.distinct
     share = np.fromiter((0.0 if w in network.vocabulary else network.common.get(w, np.nan) for w in low), float, len(low))
     rare = np.isnan(share)[words.codes]
     total = np.bincount(words.owner[~rare], share[words.codes[~rare]], words.texts)
@@ -351,5 +352,5 @@ def log_probabilities(network: Network, words: Words) -> tuple[np.ndarray, np.nd
     logp = np.zeros(len(places))
     for lo in range(0, len(places), RUN):
         at = places[lo:lo + RUN]
-        logp[lo:lo + RUN] = network.forward([row[at + k] for k in CONTEXT], row[at])
+        logp[lo:lo + RUN] = network.forward([row.take(at + k) for k in CONTEXT], row.take(at))
     return np.bincount(words.owner, logp, words.texts), np.bincount(words.owner, minlength=words.texts)
