@@ -5,8 +5,9 @@ space-joined once per article, so a keyword may span two fields.  Tagger
 output arrives as mention rows; each label is matched on its own row and
 the per-article result is an OR-aggregation (partial aggregation before the
 shuffle, so a hot article never gathers its mentions into one list).
-Mention rows carry no order, so a keyword spanning two tagger labels is not
-matched (documented difference)."""
+Mention rows without an order cannot be joined; where they have one,
+``keyword_automaton.boolean_categories_spanning`` also finds keywords that span
+labels."""
 
 from __future__ import annotations
 
@@ -25,17 +26,18 @@ TAGGER_A, TAGGER_B = "tagger_a", "tagger_b"
 # ---------------------------------------------------------------------------
 # C15 tagger projections
 # ---------------------------------------------------------------------------
-def tagger_labels(mentions: DataFrame) -> DataFrame:
+def tagger_labels(mentions: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Per mention row: the label each tagger contributes (A: ``label`` with
     ``''`` default; B: ``label``, nulls skipped) and the URIs (A: ``uri``;
-    B: every ``same_as`` under the topic prefix plus ``#id``)."""
+    B: every ``same_as`` under the topic prefix plus ``#id``), with the
+    ``carried`` columns."""
     src = F.col("source")
     things = F.transform(
         F.filter(F.coalesce(F.col("same_as"), F.array().cast("array<string>")),
                  lambda u: u.startswith(THINGS_URI_PREFIX)),
         lambda u: F.concat(u, F.lit("#id")))
     return mentions.select(
-        "article_key", "source",
+        "article_key", "source", *carried,
         F.when(src == TAGGER_A, F.coalesce(F.col("label"), F.lit("")))
          .when(src == TAGGER_B, F.col("label")).alias("tag_label"),
         F.when(src == TAGGER_A, F.array(F.coalesce(F.col("uri"), F.lit(""))))

@@ -9,6 +9,7 @@ from inkwell.config import (CATEGORY_KEYWORDS, FOOTBALL_TEAMS, LEGAL_INDICATORS,
                             THINGS_URI_PREFIX)
 from inkwell.functions import fields as B
 from inkwell.functions import predicates as C
+from inkwell.operators.keyword_automaton import boolean_categories_spanning, keyword_numbers
 from inkwell.operators.labelling import (boolean_categories, entity_uri_labels,
                                          tagger_labels)
 from inkwell.plans import oracles as O
@@ -172,6 +173,47 @@ def boolean_categories_q(spark, sf):
     return boolean_categories(load_articles(spark, sf), load_mentions(spark, sf), ALL_CATEGORIES)
 
 
+# Keywords over the seams of parts: label to label of one tagger, from tagger A
+# to tagger B, and a should_not over a seam.
+SPANNING_FIXTURE = {
+    **ALL_CATEGORIES,
+    "isLabelPair": {"should": ["widget small", "gizmo red", "large blue"], "should_not": ["part red widget blue"]},
+    "isOverThreeLabels": {"should": ["red widget blue widget green", "widget small bolt large"], "should_not": []},
+    "isSeam": {"should": ["t s", "e r"], "should_not": ["t b"]},
+}
+
+
+def _spanning_sql() -> str:
+    cols = []
+    for name, spec in SPANNING_FIXTURE.items():
+        s, n = _kw_sql("t", spec)
+        cols.append(f"(NOT {n} AND {s}) AS \"{name}\"")
+    mentions = O.MENTIONS_CTE.replace("types, count, same_as FROM tagger_b_", "types, count, same_as, l_linenumber FROM tagger_b_") \
+        .replace("surface_form, types, count, same_as\n", "surface_form, types, count, same_as, l_linenumber\n")
+    tagged = TAGGED_CTE.replace("SELECT article_key, source,", "SELECT article_key, source, l_linenumber,")
+    body = (f"SELECT article_key, {', '.join(cols)} FROM (SELECT article_key, "
+            "CASE WHEN l IS NULL THEN t ELSE t || ' ' || l END AS t "
+            f"FROM (SELECT article_key, {ARTICLE_TEXT_SQL} AS t FROM articles) LEFT JOIN (SELECT article_key, "
+            "lower(string_agg(tag_label, ' ' ORDER BY source, l_linenumber)) AS l "
+            "FROM tagged WHERE tag_label IS NOT NULL GROUP BY article_key) USING (article_key))")
+    return A(body, mentions + "," + tagged)
+
+
+@register("boolean_categories_spanning", _spanning_sql())
+def boolean_categories_spanning_q(spark, sf):
+    return boolean_categories_spanning(load_articles(spark, sf), load_mentions(spark, sf, positions=True), SPANNING_FIXTURE)
+
+
+@register("keyword_dictionary", """
+WITH words AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM benchmark)
+SELECT doc_id, (SELECT count(*) FROM words WHERE word <> '' AND contains(lower(text), word)) AS n_keywords FROM documents""")
+def keyword_dictionary_q(spark, sf):
+    """Every word of the benchmark items as a keyword, in every document."""
+    words = read_table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).filter("word <> ''").distinct()
+    found = keyword_numbers(F.lower(F.coalesce("text", F.lit(""))), sorted(r["word"] for r in words.collect()))
+    return read_table(spark, sf, "documents").select("doc_id", F.size(found).cast("bigint").alias("n_keywords"))
+
+
 @register("tagger_labels", f"WITH {O.MENTIONS_CTE}, {TAGGED_CTE} "
           "SELECT article_key, source, tag_label, array_to_string(tag_uris, '|') AS tag_uris FROM tagged")
 def tagger_labels_q(spark, sf):

@@ -126,9 +126,10 @@ def _team_same_as(brand: Column) -> Column:
         .otherwise(F.concat(F.lit(THINGS_URI_PREFIX + "brand-"), n.cast("string")))
 
 
-def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame, positions: bool = False) -> DataFrame:
     """F2 rows: every line item is a ``tagger_b`` topic of order ``l_orderkey``;
-    first line items are also reported by ``tagger_a``."""
+    first line items are also reported by ``tagger_a``.  ``positions`` keeps
+    their order in the tagger's output."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     pt = part.select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(pt, li.l_partkey == pt.p_partkey)
@@ -152,12 +153,13 @@ def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.col("l_linenumber"))
     second = base.where(F.col("l_linenumber") == 1).withColumn("source", F.lit("tagger_a")) \
         .withColumn("label", F.initcap(F.col("label")))
-    return base.unionByName(second).drop("l_linenumber")
+    both = base.unionByName(second)
+    return both.withColumnRenamed("l_linenumber", "position") if positions else both.drop("l_linenumber")
 
 
-def load_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_mentions(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
     return mentions_from_lineitem(read_table(spark, sf_dir, "lineitem"),
-                                  read_table(spark, sf_dir, "part"))
+                                  read_table(spark, sf_dir, "part"), positions)
 
 
 def kb_facts_from_part(part: DataFrame) -> DataFrame:
