@@ -1,9 +1,11 @@
 """Entailment labelling (E10, E11) with an injected scorer.
 
 For each topic (a bounded literal list) the hypothesis ``discusses a or b or
-c`` is scored against the whole text, in consecutive windows of ``max_chars``
-characters (a model's input limit); an article's probability is that of its
-best window.  A scorer maps (premise, hypothesis, terms) Columns to the three
+c`` is scored against the whole text.  A Column scorer sees the text as one
+premise, whatever its length.  A model with an input limit sees windows of
+``max_chars`` characters, each of which holds the first ``OVERLAP`` characters of the
+next, so a term of up to that length is whole in one of them; the article's
+probability is then that of its best window.  A scorer maps (premise, hypothesis, terms) Columns to the three
 logits ``[contradiction, neutral, entailment]``; the probability is the
 softmax over contradiction and entailment, ``1 / (1 + exp(l0 - l2))``.
 
@@ -30,6 +32,9 @@ from inkwell.session import ship_package
 
 Scorer = Callable[[Column, Column, Sequence[str]], Column]
 
+#: Characters that a window shares with the next one.
+OVERLAP = 128
+
 
 def hypothesis(terms: Sequence[str]) -> str:
     return "discusses " + " or ".join(terms)
@@ -53,7 +58,8 @@ def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], n
     @F.pandas_udf(T.DoubleType())
     def _score(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = model_factory()
-        for rows, hyp in it:
+        for given, hyp in it:
+            rows = [None if w is None else windows(w) for w in given]
             counts = np.array([0 if w is None else len(w) for w in rows])
             best = np.full(len(rows), np.nan)
             if counts.any():
@@ -76,22 +82,41 @@ def pandas_scorer(model_factory: Callable[[], Callable[[list[str], list[str]], n
     return scorer
 
 
-def windows(text: Column, max_chars: int) -> Column:
-    """Consecutive windows of ``max_chars`` characters; none for an empty text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{max_chars}}}"), F.lit(0))
+def pieces(text: Column, max_chars: int) -> Column:
+    """Consecutive pieces of a text, ``OVERLAP`` characters short of a window;
+    none for an empty text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{max_chars - min(OVERLAP, max_chars // 2)}}}"), F.lit(0))
+
+
+def windows(cut: Sequence[str]) -> list[str]:
+    """Each piece with the first ``OVERLAP`` characters of the next one.  A last
+    piece that is in the window before whole is no window of its own."""
+    joined = [piece + after[:OVERLAP] for piece, after in zip(cut, [*cut[1:], ""])]
+    return joined[:-1] if len(joined) > 1 and len(joined[-1]) <= OVERLAP else joined
+
+
+def premises(text: Column, scorer: Scorer, max_chars: int = ENTAILMENT_MAX_CHARS, skip_empty: bool = True) -> Column:
+    """What ``best_probability`` needs of a text, as a column of its own: the
+    text, or its pieces for a scorer that takes windows; null or no piece for an
+    empty text unless ``skip_empty`` is off."""
+    if not getattr(scorer, "takes_windows", False):
+        return F.nullif(text, F.lit("")) if skip_empty else text
+    cut = pieces(text, max_chars)
+    return cut if skip_empty else F.when(text == "", F.array(F.lit(""))).otherwise(cut)
 
 
-def best_probability(premises: Column, terms: Sequence[str], scorer: Scorer) -> Column:
-    """P(entailment) of the best window; null without windows."""
+def best_probability(given: Column, terms: Sequence[str], scorer: Scorer) -> Column:
+    """P(entailment) of a text by its ``premises``; null without one."""
     hyp = F.lit(hypothesis(terms))
     if getattr(scorer, "takes_windows", False):
-        return scorer(premises, hyp, terms)
-    return F.array_max(F.transform(premises, lambda w: entailment_probability(scorer(w, hyp, terms))))
+        return scorer(given, hyp, terms)
+    return F.when(given.isNotNull(), entailment_probability(scorer(given, hyp, terms)))
 
 
 def entailment_probability(logits: Column) -> Column:
-    """Softmax over [contradiction, entailment] -> P(entailment)."""
-    return bind(logits, lambda lg: 1.0 / (1.0 + F.exp(F.get(lg, 0) - F.get(lg, 2))))
+    """Softmax over [contradiction, entailment] -> P(entailment).  A scorer's
+    array is taken apart by the optimizer, so nothing is evaluated twice."""
+    return 1.0 / (1.0 + F.exp(F.get(logits, 0) - F.get(logits, 2)))
 
 
 def entailment_labels(df: DataFrame, text: str, keys: Sequence[str],
@@ -100,13 +125,8 @@ def entailment_labels(df: DataFrame, text: str, keys: Sequence[str],
                       max_chars: int = ENTAILMENT_MAX_CHARS, skip_empty: bool = True) -> DataFrame:
     """``keys``, per topic ``<topic>_p`` and ``<topic>`` (P >= threshold).
     Rows with an empty/null text are filtered before scoring (no model call)."""
-    base = df
-    if skip_empty:
-        base = base.where(F.col(text).isNotNull() & (F.col(text) != ""))
-    found = windows(F.col(text), max_chars)
-    if not skip_empty:
-        found = F.when(F.col(text) == "", F.array(F.lit(""))).otherwise(found)
-    base = base.select(*keys, found.alias("_premises"))
+    base = df.where(F.col(text).isNotNull() & (F.col(text) != "")) if skip_empty else df
+    base = base.select(*keys, premises(F.col(text), scorer, max_chars, skip_empty).alias("_premises"))
     probs = [best_probability(F.col("_premises"), terms, scorer).alias(f"{name}_p") for name, terms in topics.items()]
     scored = base.select(*keys, *probs)
     return scored.select(*keys, *[c for name in topics for c in (

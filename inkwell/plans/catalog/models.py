@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from inkwell.config import ENTAILMENT_MAX_CHARS, ENTAILMENT_TOPICS
+from inkwell.config import ENTAILMENT_TOPICS
 from inkwell.functions import fields as B
 from inkwell.operators.entailment import entailment_bucket, entailment_labels, entailment_percent
 from inkwell.plans import oracles as O
@@ -14,13 +14,10 @@ from inkwell.plans.standins import load_articles
 
 
 def entail_p_sql(text: str, terms) -> str:
-    """P of the best of the consecutive windows of the whole text."""
-    hits = " + ".join(f"(CASE WHEN contains(lower(w), {O.q(t.lower())}) THEN 1 ELSE 0 END)" for t in terms)
+    """P of the whole text."""
+    hits = " + ".join(f"(CASE WHEN contains(lower({text}), {O.q(t.lower())}) THEN 1 ELSE 0 END)" for t in terms)
     n = len(terms)
-    p = f"(1.0 / (1.0 + exp(0.0 - ln(({hits} + 0.5) / ({n} - ({hits}) + 0.5)))))"
-    size = ENTAILMENT_MAX_CHARS
-    return (f"list_max(list_transform(list_transform(range(0, greatest(length({text}), 1), {size}), "
-            f"lambda i: substring({text}, i + 1, {size})), lambda w: {p}))")
+    return f"(1.0 / (1.0 + exp(0.0 - ln(({hits} + 0.5) / ({n} - ({hits}) + 0.5)))))"
 
 
 PREMISE = O.BODY_CLEAN

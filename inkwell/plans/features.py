@@ -19,10 +19,10 @@ from inkwell.functions import fields as B
 from inkwell.functions import sentiment as S
 from inkwell.functions.text import split_sentences
 from inkwell.operators.classifier import article_sarcasm, rule_scorer, sarcasm_score
-from inkwell.operators.entailment import best_probability, term_share_scorer, windows
+from inkwell.operators.entailment import best_probability, premises, term_share_scorer
 from inkwell.operators.entities import Enrichment
 from inkwell.operators.labelling import _category_flags, article_text, mention_label_aggregates
-from inkwell.sources.sinks import attach_features, sink_enriched
+from inkwell.sources.sinks import sink_enriched
 
 
 def article_features(articles: DataFrame, mentions: DataFrame | None = None,
@@ -34,20 +34,24 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
                      entail_scorer=term_share_scorer,
                      sarcasm_scorer: Callable[[Column], Column] | None = None, sarcasm_model=None,
                      lexicon=None, materialize_kb: bool = False,
-                     with_party_scores: bool = True, max_chars: int = ENTAILMENT_MAX_CHARS) -> DataFrame:
-    """H1: ``key``, score features (when mentions and KB are given), one
+                     with_party_scores: bool = True, max_chars: int = ENTAILMENT_MAX_CHARS,
+                     source: str | None = None) -> DataFrame:
+    """H1, a row for each row of ``articles``, also where a key repeats: ``key``, score features (when mentions and KB are given), one
     boolean per category, ``premierLeagueTeams`` (ordered booleans) and
     ``n_teams``, entailment booleans, ``sentiment_label`` and
     ``sarcasm_score`` (the last three only where combined text exists), which
-    a Column ``sarcasm_scorer`` or a fitted ``sarcasm_model`` gives."""
+    a Column ``sarcasm_scorer`` or a fitted ``sarcasm_model`` gives.  ``source``
+    names a struct in which the article's own columns come along."""
+    carried = [source] if source else []
+    if source:
+        articles = articles.select("*", F.struct(*articles.columns).alias(source))
     lex = S.lexicon_map(lexicon)
     # clean body once; combined text and premise derive from it (the
     # optimizer keeps an expensive column that is used twice in one place)
-    staged = articles.select(F.col(key), *_category_flags(article_text(), categories, ""),
+    staged = articles.select(F.col(key), *carried, *_category_flags(article_text(), categories, ""),
                              B.headline().alias("_h"), B.summary().alias("_s"), B.body_clean().alias("_body"))
-    base = staged.select(
-        "*", F.nullif(F.concat_ws(" ", "_h", "_s", "_body"), F.lit("")).alias("_combined"),
-        windows(F.col("_body"), max_chars).alias("_premises"))
+    base = staged.select("*", F.nullif(F.concat_ws(" ", "_h", "_s", "_body"), F.lit("")).alias("_combined"),
+                         premises(F.col("_body"), entail_scorer, max_chars).alias("_premises"))
 
     has_text = F.col("_combined").isNotNull()
     ent = [(best_probability(F.col("_premises"), terms, entail_scorer) >= ENTAILMENT_THRESHOLD).alias(name)
@@ -72,7 +76,7 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
         cats = [(~F.col(f"{n}__n") & F.col(f"{n}__s")).alias(n) for n in names]
         teams = [F.lit(False) for _ in team_names]
     team_arr = F.array(*teams)
-    cols = [F.col(key), *cats, team_arr.alias("premierLeagueTeams"),
+    cols = [F.col(key), *carried, *cats, team_arr.alias("premierLeagueTeams"),
             F.size(F.filter(team_arr, lambda x: x)).alias("n_teams"),
             *[F.col(n) for n in topics], F.col("sentiment_label"), F.col("sarcasm_score")]
     result = out.select(*cols)
@@ -84,11 +88,14 @@ def article_features(articles: DataFrame, mentions: DataFrame | None = None,
 
 
 def enrich_corpus(articles: DataFrame, out_path: str, fmt: str = "json", **feature_args) -> DataFrame:
-    """H2: articles -> H1 features -> sink (one job).  Returns the written
-    DataFrame definition (the write has already run)."""
-    feats = article_features(articles, **feature_args)
+    """H2: articles -> H1 features -> sink (one job).  Each article carries its
+    own columns through the features, so n articles give n documents, repeated
+    keys or not, and nothing is joined on the key once more.  Returns the
+    written DataFrame definition (the write has already run)."""
     key = feature_args.get("key", "article_key")
-    enriched = attach_features(articles.withColumn("site", B.site()), feats, key)
+    feats = article_features(articles.withColumn("site", B.site()), source="_source", **feature_args)
+    own = [c for c in feats.columns if c not in (key, "_source")]
+    enriched = feats.select("_source.*", F.struct(*own).alias("features"))
     sink_enriched(enriched, out_path, fmt=fmt, partition_by="site")
     return enriched
 

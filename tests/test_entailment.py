@@ -1,8 +1,9 @@
 """Entailment over whole texts, with the stand-in and with an injected model."""
 
 import numpy as np
+import pytest
 
-from inkwell.operators.entailment import entailment_labels, pandas_scorer
+from inkwell.operators.entailment import entailment_labels, pandas_scorer, pieces, windows
 from inkwell.plans.features import article_features
 from tests.conftest import article_row, articles_df
 
@@ -45,3 +46,20 @@ def test_a_fitted_sarcasm_model_runs_in_the_feature_record(spark):
     rows = [article_row(key="a", blocks=[("p", "oh sure great. nice day", None)]), article_row(key="d")]
     out = {r["article_key"]: r["sarcasm_score"] for r in article_features(articles_df(spark, rows), sarcasm_model=model).collect()}
     assert out == {"a": 0.5, "d": None}
+
+
+def test_a_term_over_a_window_edge_counts(spark):
+    from pyspark.sql import functions as F
+    texts = {at: "x" * at + " needle " + "y" * 1500 for at in (880, 890, 896, 1015, 1018, 1024, 1792, 2000)}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    for scorer in ({}, {"scorer": strict_scorer()}):
+        assert {r["id"]: r["isOne"] for r in entailment_labels(df, "t", ["id"], TOPICS, **scorer).collect()} == dict.fromkeys(texts, True)
+    for r in df.select("t", pieces(F.col("t"), 1024).alias("w")).collect():
+        cut = windows(r["w"])
+        assert max(map(len, cut)) <= 1024 and cut[0] == r["t"][:1024] and r["t"].endswith(cut[-1])
+
+
+def test_hits_of_the_whole_text_add_up(spark):
+    df = spark.createDataFrame([(1, "needle" + "x" * 3000 + "pin")], "id int, t string")
+    terms = {"isAll": ["needle", "pin", "nothing"]}
+    assert entailment_labels(df, "t", ["id"], terms).first()["isAll_p"] == pytest.approx(2.5 / 4)

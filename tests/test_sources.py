@@ -99,3 +99,12 @@ def test_streaming_enrichment(spark, tmpdir_path):
     got = spark.read.json(out)
     assert got.count() == 3
     assert got.where(F.col("isBrexit")).count() == 3
+
+
+def test_repeated_keys_give_one_document_each(spark, tmpdir_path):
+    from inkwell.plans.features import enrich_corpus
+    from tests.conftest import article_row, articles_df
+    rows = [article_row(key="a", headline="One."), article_row(key="a", headline="Two!"), article_row(key="b", headline="Three.")]
+    enrich_corpus(articles_df(spark, rows), f"{tmpdir_path}/out")
+    found = spark.read.json(f"{tmpdir_path}/out").select("article_key", "promo.headlines.headline", "features.sentiment_label").collect()
+    assert sorted(tuple(r)[:2] for r in found) == [("a", "One."), ("a", "Two!"), ("b", "Three.")]
