@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.functions.text import literal_lookup
 from inkwell.llm.common import lower_ascii
 from inkwell.llm.licence_texts import EQUIVALENT_SPELLINGS, KNOWN_TEXTS
 
@@ -55,11 +56,11 @@ def licence_scan(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN_TEXTS, id
     The known texts are a list of the program, so their digests are broadcast
     whatever the size of ``docs``, and no row of ``docs`` is shuffled."""
     known = known_licences(docs.sparkSession, texts)
-    names = F.create_map(*[F.lit(x) for row in sorted(known.collect()) for x in row])
+    name = literal_lookup({r["known_digest"]: r["licence"] for r in known.collect()}, "string")
     lines = docs.select(F.col(id_col), normalised_lines(F.col(text_col)).alias("lines"))
     hashed = lines.select(id_col, digest(F.array_join("lines", " ")).alias("digest"),
                           F.array_distinct(F.transform("lines", digest)).alias("line_digests"))
-    hits = F.transform(F.array_intersect("line_digests", F.map_keys(names)), lambda d: names[d])
+    hits = F.filter(F.transform("line_digests", name), lambda licence: licence.isNotNull())
     return (hashed.join(F.broadcast(known), F.col("digest") == F.col("known_digest"), "left")
             .select(id_col, "digest", "licence",
                     F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notices")))

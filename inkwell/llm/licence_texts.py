@@ -1,7 +1,12 @@
 """Known licence texts and notices, by SPDX identifier.
 
 FIXED VALUES: public licence texts and the notice sentences their authors
-recommend."""
+recommend.  The longer texts are the files of ``licences``, as their authors
+publish them; notices of the usual forms follow from ``NAMES`` by a rule."""
+
+from __future__ import annotations
+
+from importlib.resources import files
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -93,6 +98,70 @@ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
 See the License for the specific language governing permissions and
 limitations under the License."""
 
+#: Names that notices give a licence.
+NAMES = {
+    "MIT": ["MIT License", "MIT Licence (MIT)", "MIT"],
+    "ISC": ["ISC License", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD License", "0BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "Zlib": ["zlib License", "zlib/libpng License"],
+    "Unlicense": ["Unlicense"],
+    "BSL-1.0": ["Boost Software License 1.0", "Boost Software License, Version 1.0"],
+    "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "Apache 2.0"],
+    "Artistic-1.0-Perl": ["Perl Artistic License"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "MPL-1.1": ["Mozilla Public License 1.1", "Mozilla Public License, version 1.1", "MPL 1.1"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License v1.0", "EPL 1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "EPL 2.0"],
+    "EUPL-1.2": ["European Union Public Licence 1.2", "EUPL 1.2"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0", "Creative Commons Zero v1.0 Universal"],
+}
+#: GNU licences: the name, its short form, and the versions.
+GNU = {"GPL": ("GNU General Public License", "GNU GPL", "123"), "LGPL": ("GNU Lesser General Public License", "GNU LGPL", ("2.1", "3")),
+       "AGPL": ("GNU Affero General Public License", "GNU AGPL", "3"), "GFDL": ("GNU Free Documentation License", "GNU FDL", ("1.2", "1.3"))}
+#: Creative Commons licences: the code and the name; versions 3.0 and 4.0.
+CREATIVE_COMMONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+                    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+#: What a notice line says of a licence's name.
+SENTENCES = ("Licensed under {}", "Licensed under the {}", "Released under {}", "Released under the {}", "Distributed under the {}", "Published under the {}",
+             "Available under the {}", "This work is licensed under {}", "This work is licensed under the {}", "This work is licensed under a {}",
+             "This project is licensed under the {}", "This software is licensed under the {}", "This program is licensed under the {}", "License: {}")
+
+
+def names_by_licence() -> dict[str, list[str]]:
+    out = {k: list(v) for k, v in NAMES.items()}
+    for code, (long, short, versions) in GNU.items():
+        for v in versions:
+            forms = ("{} version " + v, "{} v" + v, "{} " + v, *((f"{{}} version {v}.0", f"{{}} v{v}.0") if "." not in v else ()))
+            out[f"{code}-{v}{'' if '.' in v else '.0'}-only"] = [f.format(n) for n in (long, short, code) for f in forms]
+    for code, name in CREATIVE_COMMONS.items():
+        for v in ("3.0", "4.0"):
+            kind = "International" if v == "4.0" else "Unported"
+            out[f"CC-{code}-{v}"] = [f"CC {code} {v}", f"Creative Commons {name} {v}", f"Creative Commons {name} {v} License",
+                                     f"Creative Commons {name} {v} {kind}", f"Creative Commons {name} {v} {kind} License"]
+    return out
+
+
+def notices() -> list[tuple[str, str]]:
+    """(SPDX identifier, notice line) of every name in every sentence, and the
+    SPDX lines; "or later" forms have their own identifier."""
+    out = []
+    for licence, names in names_by_licence().items():
+        out += [(licence, s.format(n)) for n in names for s in SENTENCES]
+        out.append((licence, f"SPDX-License-Identifier: {licence}"))
+        if licence.endswith("-only"):
+            later, plain = licence.replace("-only", "-or-later"), licence.replace("-only", "")
+            out += [(later, f"SPDX-License-Identifier: {later}"), (licence, f"SPDX-License-Identifier: {plain}")]
+            out += [(later, s.format(n) + tail) for n in names for s in SENTENCES for tail in (" or later", " or any later version")]
+    return out
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    return [(f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in sorted(files(__package__).joinpath("licences").iterdir(), key=lambda f: f.name)]
+
+
 #: (SPDX identifier, entire text of a licence or of a notice).
 KNOWN_TEXTS: list[tuple[str, str]] = [
     ("MIT", _MIT_GRANT),
@@ -127,6 +196,8 @@ KNOWN_TEXTS: list[tuple[str, str]] = [
      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0",
      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *whole_texts(),
+    *notices(),
 ]
 
 #: (spelling, the spelling it counts as), applied in this order to normalised
