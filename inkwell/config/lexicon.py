@@ -1,9 +1,10 @@
 """Valence lexicon and rule constants for the lexicon sentiment scorer.
 
 The rule constants and modifier word lists follow the published VADER
-method (Hutto & Gilbert, 2014).  The valence table below is our own small
-lexicon (values on the same -4..4 scale); pass a full ``(term, valence)``
-table to the scorer to replace it."""
+method (Hutto & Gilbert, 2014).  The word table below is a small lexicon on the
+same -4..4 scale; where a valence equals that of the public VADER lexicon, it
+is that lexicon's value.  Pass a full ``(term, valence)`` table to the scorer
+to replace it."""
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: rule constants
@@ -42,7 +43,7 @@ BOOSTERS_DOWN = ["almost", "barely", "hardly", "kinda", "kindof", "kind-of", "le
                  "sorta", "sortof", "sort-of"]
 
 # ---------------------------------------------------------------------------
-# Own default lexicon (term -> valence)
+# Default lexicon (term -> valence)
 # ---------------------------------------------------------------------------
 DEFAULT_LEXICON = {
     "abandon": -1.9, "abuse": -3.2, "accept": 1.6, "admire": 2.1, "afraid": -2.0,
@@ -78,3 +79,21 @@ DEFAULT_LEXICON = {
     "weak": -1.9, "welcome": 2.0, "win": 2.8, "winner": 2.8, "wonderful": 2.7,
     "worry": -1.9, "worse": -2.1, "worst": -3.1, "worthless": -1.9, "wrong": -2.1,
 }
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: emoticons and idioms (term -> valence), after the published
+# VADER method
+# ---------------------------------------------------------------------------
+EMOTICONS = {
+    ":)": 2.0, ":-)": 1.3, ":d": 2.3, ":-d": 2.3, ";)": 0.9, ";-)": 1.0, "<3": 1.9, ":p": 1.0,
+    "=)": 2.2, ":*": 1.9, ":(": -1.9, ":-(": -1.5, ":'(": -2.2, ":/": -1.4, ":-/": -1.2,
+    ">:(": -2.7, "</3": -3.0, ":|": -0.4,
+}
+
+IDIOMS = {
+    "cut the mustard": 2.0, "hand to mouth": -2.0, "back handed": -2.0, "blow smoke": -2.0,
+    "blowing smoke": -2.0, "upper hand": 1.0, "break a leg": 2.0, "cooking with gas": 2.0,
+    "in the black": 2.0, "in the red": -2.0, "on the ball": 2.0, "under the weather": -2.0,
+    "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+    "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}

@@ -13,11 +13,14 @@ sentence mixes case; boosters at distance 1-3 damped by 1 / 0.95 / 0.9;
 negation at distance 1-3 (with the ``never so`` / ``without doubt`` cases);
 ``least``; ``kind of``; the ``but`` shift (0.5 before, 1.5 after);
 ``!``/``?`` emphasis; normalisation ``s / sqrt(s^2 + 15)`` rounded to 4 dp.
-Not covered: emoticons and multi-word idioms.  Tokens are whitespace splits
-longer than one character with edge punctuation stripped."""
+Tokens are whitespace splits longer than one character; an emoticon of the
+table stays as it is, every other token loses its edge punctuation.  Before the
+rules, the longest idiom that starts at a token becomes one token (leftmost
+first), whose valence is the idiom's."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -31,15 +34,85 @@ EDGE_PUNCT_RE = f"^[{PUNCT}]+|[{PUNCT}]+$"
 PUNCT_CHARS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"   # same set, as plain characters
 
 
+# Noncharacters that frame the tokens of a sentence while idioms are matched;
+# a text's own are removed from sentences that hold an idiom's first word.
+LOWER, UPPER, END, MARK = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+FRAME = LOWER + UPPER + END + MARK
+
+
+def idiom_words(term: str) -> tuple[str, ...]:
+    """The words of a term as texts show them: lower case, one-character words
+    left out, edge punctuation stripped."""
+    return tuple(w.lower().strip(PUNCT_CHARS) for w in term.split() if len(w) > 1)
+
+
+def trie_regex(phrases: list[tuple[str, ...]]) -> str:
+    """A pattern for the longest of the word sequences, one branch per word of
+    their trie, over framed words (flag, word, END)."""
+    trie: dict = {}
+    for words in phrases:
+        node = trie
+        for w in words:
+            node = node.setdefault(w, {})
+        node[None] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [f"[{LOWER}{UPPER}]{re.escape(w)}{END}{pattern(below)}" for w, below in sorted(
+            (w, below) for w, below in node.items() if w is not None)]
+        if not branches:
+            return ""
+        return f"(?:{'|'.join(branches)})" + ("?" if None in node else "")
+    return pattern(trie)
+
+
 class Lexicon:
-    """A valence table as one literal of the plan, however many terms."""
+    """A valence table as one literal of the plan, however many terms.
+
+    A term of several words is an idiom; a term that edge stripping would
+    change is an emoticon; any other is a word.  An idiom of which fewer than
+    two words remain (see ``idiom_words``) matches nothing."""
 
     def __init__(self, terms: list[str], values: list[float]):
-        self.terms = frozenset(terms)
-        self.lookup = literal_lookup(dict(zip(terms, values)), "double")
+        table = dict(zip(terms, values))
+        phrases = {idiom_words(t): v for t, v in table.items() if len(t.split()) > 1}
+        self.idioms = {w: v for w, v in phrases.items() if len(w) > 1}
+        single = {t: v for t, v in table.items() if len(t.split()) == 1}
+        self.emoticons = frozenset(t for t in single if t.strip(PUNCT_CHARS) != t)
+        self.terms = frozenset(single)
+        roots = {w[0] for w in self.idioms}
+        self.lookup = literal_lookup(single | {" ".join(w): v for w, v in self.idioms.items()}, "double")
+        self._candidate = literal_lookup(dict.fromkeys(single.keys() | roots, 1.0), "double")
+        self._root = literal_lookup(dict.fromkeys(roots, 1.0), "double")
+        self._emoticon = literal_lookup(dict.fromkeys(self.emoticons, 1.0), "double")
 
     def contains(self, w: Column) -> Column:
-        return F.coalesce(self.lookup(w).isNotNull(), F.lit(False))
+        """Is the word a term, or the first of an idiom?"""
+        return F.coalesce(self._candidate(w).isNotNull(), F.lit(False))
+
+    def word(self, raw: Column) -> Column:
+        """A token as the rules see it."""
+        bare = F.btrim(raw, F.lit(PUNCT_CHARS))
+        if not self.emoticons:
+            return F.lower(bare)
+        return F.when((bare != raw) & self._emoticon(F.lower(raw)).isNotNull(), F.lower(raw)).otherwise(F.lower(bare))
+
+    def merged(self, words: Column, upper: Column) -> Column:
+        """struct<words, upper> with every idiom as one token, in capitals if
+        all its words are.  Only a sentence with a first word is searched."""
+        plain = F.struct(words.alias("words"), upper.alias("upper"))
+        if not self.idioms:
+            return plain
+        framed = F.array_join(F.zip_with(words, upper, lambda w, u: F.concat(
+            F.when(u, UPPER).otherwise(LOWER), F.translate(w, FRAME, ""), F.lit(END))), "")
+        marked = F.regexp_replace(framed, f"({trie_regex(list(self.idioms))})", f"{MARK}$1{MARK}")
+        # idioms are the odd pieces between the marks
+        pieces = F.transform(F.split(marked, MARK), lambda s, i: F.when(i % 2 == 1, F.array(s)).otherwise(
+            F.filter(F.split(s, END), lambda t: t != "")))
+        units = _bind(F.flatten(pieces), lambda units: F.struct(
+            F.transform(units, lambda t: F.btrim(F.translate(t, END + FRAME, " "))).alias("words"),
+            F.transform(units, lambda t: ~t.contains(LOWER)).alias("upper")))
+        return F.when(F.exists(words, lambda w: F.coalesce(self._root(w).isNotNull(), F.lit(False))), units) \
+            .otherwise(plain)
 
 
 def lexicon_map(lexicon: Mapping[str, float] | DataFrame | Lexicon | None = None) -> Lexicon:
@@ -48,7 +121,7 @@ def lexicon_map(lexicon: Mapping[str, float] | DataFrame | Lexicon | None = None
     if isinstance(lexicon, Lexicon):
         return lexicon
     if lexicon is None:
-        lexicon = LX.DEFAULT_LEXICON
+        lexicon = LX.DEFAULT_LEXICON | LX.EMOTICONS | LX.IDIOMS
     if isinstance(lexicon, DataFrame):
         lexicon = {r["term"]: r["valence"] for r in lexicon.select("term", "valence").where(
             "term is not null and valence is not null").collect()}
@@ -132,8 +205,7 @@ def _stage(texts: Column, lex: Lexicon) -> Column:
     s1 = F.transform(texts, lambda s: F.struct(s.alias("text"), tokens(s).alias("raws")))
     s2 = F.transform(s1, lambda a: F.struct(
         a.getField("text").alias("text"), a.getField("raws").alias("raws"),
-        F.transform(a.getField("raws"),
-                    lambda t: F.lower(F.btrim(t, F.lit(PUNCT_CHARS)))).alias("words")))
+        F.transform(a.getField("raws"), lex.word).alias("words")))
     return F.transform(s2, lambda b: F.struct(
         *[b.getField(k).alias(k) for k in ("text", "raws", "words")],
         F.exists(b.getField("words"), lex.contains).alias("has_lex")))
@@ -143,20 +215,21 @@ def _lookups(b: Column, lex: Lexicon) -> Column:
     """Per-token look-ups of one staged sentence (run only when the
     sentence holds a lexicon word)."""
     boost = booster_map()
-    raws, words = b.getField("raws"), b.getField("words")
-    upper = F.transform(raws, is_upper)
-    n_caps = F.size(F.filter(upper, lambda u: u))
-    n = F.size(words)
-    return F.struct(b.getField("text").alias("text"), words.alias("words"),
-                    F.transform(words, lex.lookup).alias("vals"),
-                    F.transform(words, boost.lookup).alias("boosts"),
-                    upper.alias("upper"), F.transform(words, negated).alias("negs"),
-                    ((n_caps > 0) & (n_caps < n)).alias("cap_diff"),
-                    (F.array_position(words, "but") - 1).alias("but_pos"))
+
+    def looked_up(units):
+        words, upper = units.getField("words"), units.getField("upper")
+        n_caps = F.size(F.filter(upper, lambda u: u))
+        return F.struct(b.getField("text").alias("text"), words.alias("words"),
+                        F.transform(words, lex.lookup).alias("vals"),
+                        F.transform(words, boost.lookup).alias("boosts"),
+                        upper.alias("upper"), F.transform(words, negated).alias("negs"),
+                        ((n_caps > 0) & (n_caps < F.size(words))).alias("cap_diff"),
+                        (F.array_position(words, "but") - 1).alias("but_pos"))
+    return _bind(lex.merged(b.getField("words"), F.transform(b.getField("raws"), is_upper)), looked_up)
 
 
 def _sentence_score(b: Column, lex: Lexicon) -> Column:
-    """A sentence without lexicon words sums to 0, and punctuation emphasis
+    """A sentence without lexicon words or idioms sums to 0, and punctuation emphasis
     only applies to a non-zero sum, so its compound is exactly 0."""
     return F.when(b.getField("has_lex"), _bind(_lookups(b, lex), lambda st: _compound(st, lex))) \
         .otherwise(F.lit(0.0))

@@ -44,12 +44,15 @@ def sentiment_mean(df: DataFrame, text: str, group: list[str], lexicon=None) ->
 def article_sentiment(df: DataFrame, text: str, keys: list[str], convert_to_sents: bool = True,
                       aggregate_scores: bool = True, lexicon=None,
                       splitter: Callable[[Column], Column] = split_sentences,
+                      scorer: Callable[[Column], Column] | None = None,
                       normaliser: Callable[[Column], Column] | None = S.sentiment_label) -> DataFrame:
     """E5: text -> sentences -> scores -> mean -> label, as one projection.
-    ``aggregate_scores=False`` returns per-sentence rows instead."""
-    lex = S.lexicon_map(lexicon)
+    ``aggregate_scores=False`` returns per-sentence rows instead.  ``scorer``
+    is another sentiment model: array of sentences -> array of scores (a
+    Column expression or a pandas UDF)."""
+    scorer = scorer or (lambda texts: S.list_scores(texts, S.lexicon_map(lexicon)))
     segs = splitter(F.col(text)) if convert_to_sents else F.array(F.col(text))
-    scores = S.list_scores(segs, lex)
+    scores = scorer(segs)
     if not aggregate_scores:
         out = explode_indexed(df, keys, scores, "sent_idx", "sentiment_score")
         if normaliser is not None:

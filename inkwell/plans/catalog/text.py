@@ -34,6 +34,19 @@ def lexicon_sentiment_q(spark, sf):
     return SO.lexicon_sentiment(_combined(spark, sf), "text", ["doc_id"]).select("doc_id", "sent_idx", "compound")
 
 
+# A dictionary of words, word sequences and raw tokens that the documents hold.
+PHRASES = {"of the": 1.4, "the and": 0.8, "and the of": -2.2, "in the": -1.1, "the the": 2.6, "la un": 1.7,
+           "de le la": -1.9, "des": -0.6, "der die": 1.2, "der die und": -1.6, "is": 0.4, "and,": -0.7, "the.": 1.1}
+
+
+@register("phrase_sentiment", f"""WITH sents_ AS (SELECT doc_id, CAST(generate_subscripts(sl, 1) - 1 AS INTEGER)
+  AS sent_idx, unnest(sl) AS stext FROM (SELECT doc_id, {split_sql('text')} AS sl FROM documents))"""
+          + vader_ctes("sents_", ["doc_id", "sent_idx"], PHRASES) + " SELECT doc_id, sent_idx, compound FROM vader_out")
+def phrase_sentiment_q(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return SO.lexicon_sentiment(docs, "text", ["doc_id"], PHRASES).select("doc_id", "sent_idx", "compound")
+
+
 def _ll(hits: str, tries: str, p: str) -> str:
     chance = f"least(greatest({p}, 1e-12), 1 - 1e-12)"
     return f"(({hits}) * ln({chance}) + (({tries}) - ({hits})) * ln(1 - {chance}))"

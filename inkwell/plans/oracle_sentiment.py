@@ -5,7 +5,7 @@ expressions)."""
 from __future__ import annotations
 
 from inkwell.config import lexicon as LX
-from inkwell.functions.sentiment import EDGE_PUNCT_RE
+from inkwell.functions.sentiment import EDGE_PUNCT_RE, PUNCT_CHARS, idiom_words
 from inkwell.functions.text import WHITESPACE_CLASS
 from inkwell.plans.oracles import q
 
@@ -14,7 +14,6 @@ def _values(rows) -> str:
     return ", ".join(f"({q(k)}, {float(v)!r})" for k, v in rows)
 
 
-LEX_CTE = f"lex_(term, valence) AS (VALUES {_values(sorted(LX.DEFAULT_LEXICON.items()))})"
 BOOST_CTE = ("boost_(term, b) AS (VALUES "
              + _values([(w, LX.B_INCR) for w in LX.BOOSTERS_UP] + [(w, LX.B_DECR) for w in LX.BOOSTERS_DOWN])
              + ")")
@@ -47,12 +46,19 @@ def _step(acc: str, d: int) -> str:
             f"ELSE {acc} END)")
 
 
-def vader_ctes(src: str, keys: list[str]) -> str:
+def vader_ctes(src: str, keys: list[str], lexicon: dict[str, float] | None = None) -> str:
     """CTEs turning relation ``src`` (columns: keys, ``stext``) into
-    ``vader_out(keys..., compound)``; one output row per input row."""
+    ``vader_out(keys..., compound)``; one output row per input row.  A lexicon
+    term with a blank is an idiom, one with edge punctuation an emoticon."""
+    lexicon = lexicon or LX.DEFAULT_LEXICON | LX.EMOTICONS | LX.IDIOMS
+    idioms = {" ".join(idiom_words(t)): v for t, v in lexicon.items() if " " in t}
+    words = {t: v for t, v in lexicon.items() if " " not in t}
+    emoticons = ", ".join(q(t) for t in sorted(words) if t.strip(PUNCT_CHARS) != t)
+    longest = max(len(t.split()) for t in idioms)
+    idiom_rows = ", ".join(f"(string_split({q(t)}, ' '))" for t in sorted(idioms))
     k = ", ".join(keys)
     part = ", ".join(keys)
-    least_in_lex = "least" in LX.DEFAULT_LEXICON
+    least_in_lex = "least" in words
     lags = ", ".join(
         f"lag(w, {d}) OVER po AS p{d}w, lag(val, {d}) OVER po AS p{d}val, lag(bst, {d}) OVER po AS p{d}b, "
         f"lag(up, {d}) OVER po AS p{d}up, lag(neg, {d}) OVER po AS p{d}neg" for d in (1, 2, 3))
@@ -60,13 +66,33 @@ def vader_ctes(src: str, keys: list[str]) -> str:
              f"(CASE WHEN p1w = 'least' THEN (CASE WHEN i > 1 THEN (CASE WHEN NOT coalesce(p2w IN ('at', 'very'), false) "
              f"THEN {LX.N_SCALAR} ELSE 1.0 END) ELSE {LX.N_SCALAR} END) ELSE 1.0 END)")
     return f""",
-{LEX_CTE},
+lex_(term, valence) AS (VALUES {_values(sorted((words | idioms).items()))}),
 {BOOST_CTE},
+idiom_(words) AS (VALUES {idiom_rows}),
 vs_ AS (SELECT {k}, stext, list_filter(string_split_regex(stext, {q(WHITESPACE_CLASS + '+')}),
           lambda t: length(t) > 1) AS toks FROM {src}),
-vt_ AS (SELECT {k}, unnest(toks) AS raw, generate_subscripts(toks, 1) - 1 AS i, len(toks) AS n FROM vs_),
-vw_ AS (SELECT *, lower(regexp_replace(raw, {q(EDGE_PUNCT_RE)}, '', 'g')) AS w,
+vt_ AS (SELECT {k}, unnest(toks) AS raw, generate_subscripts(toks, 1) - 1 AS i FROM vs_),
+vr_ AS (SELECT {k}, i, CASE WHEN lower(raw) IN ({emoticons}) THEN lower(raw)
+          ELSE lower(regexp_replace(raw, {q(EDGE_PUNCT_RE)}, '', 'g')) END AS w,
           (upper(raw) = raw AND lower(raw) <> raw) AS up FROM vt_),
+-- the longest idiom at a token, then the leftmost of those that overlap
+vx_ AS (SELECT *, list(w) OVER (PARTITION BY {part} ORDER BY i ROWS BETWEEN CURRENT ROW AND {longest - 1} FOLLOWING)
+          AS ahead, list(up) OVER (PARTITION BY {part} ORDER BY i ROWS BETWEEN CURRENT ROW AND {longest - 1} FOLLOWING)
+          AS ups FROM vr_),
+vm_ AS (SELECT {k}, i, any_value(ups) AS ups, max(len(words)) AS m FROM vx_ JOIN idiom_
+        ON ahead[1] = words[1] AND ahead[1:len(words)] = words GROUP BY {k}, i),
+vg_ AS (SELECT {k}, list_reduce(list({{'from': i, 'till': i + m, 'kept': [i]}} ORDER BY i), lambda a, b:
+          CASE WHEN b['from'] >= a['till'] THEN {{'from': b['from'], 'till': b['till'],
+          'kept': list_concat(a['kept'], b['kept'])}} ELSE a END)['kept'] AS kept FROM vm_ GROUP BY {k}),
+vk_ AS (SELECT {k}, i, i + m AS till, list_bool_and(ups[1:m]) AS up FROM vm_ JOIN (SELECT {k}, unnest(kept) AS i FROM vg_)
+        USING ({k}, i)),
+vi_ AS (SELECT vx_.*, max(vk_.till) OVER po AS till, max(CASE WHEN vk_.i IS NOT NULL THEN vk_.i END) OVER po AS start,
+          vk_.up AS idiom_up FROM vx_ LEFT JOIN vk_ USING ({k}, i) WINDOW po AS (PARTITION BY {part} ORDER BY i)),
+vw_ AS (SELECT {k}, row_number() OVER (PARTITION BY {part} ORDER BY i) - 1 AS i,
+          count(*) OVER (PARTITION BY {part}) AS n,
+          CASE WHEN i = start THEN list_aggregate(ahead[1:till - i], 'string_agg', ' ') ELSE w END AS w,
+          CASE WHEN i = start THEN idiom_up ELSE up END AS up
+        FROM vi_ WHERE till IS NULL OR i >= till OR i = start),
 vl_ AS (SELECT vw_.*, lex_.valence AS val, boost_.b AS bst,
           (w IN ({NEG_LIST}) OR contains(w, 'n''t')) AS neg
         FROM vw_ LEFT JOIN lex_ ON lex_.term = vw_.w LEFT JOIN boost_ ON boost_.term = vw_.w),
