@@ -17,6 +17,7 @@ from inkwell.schema import ARTICLE
 from inkwell.session import read_table, scratch_path
 from inkwell.sources import articles as SA
 from inkwell.sources import files as SF
+from inkwell.sources.document_sink import relative_path, write_documents
 from inkwell.sources.sinks import attach_features, sink_enriched
 from inkwell.sources.snapshot import topic_snapshot_refresh
 
@@ -95,12 +96,14 @@ def scan_word_vectors_q(spark, sf):
     return wv.select("term", F.size("vector").alias("n_dims"), F.round(total, 4).alias("vsum"))
 
 
+_SINK_COLS = ["headline"]
+for _name, _spec in CATEGORY_KEYWORDS.items():
+    _s, _n = _kw_sql("t", _spec)
+    _SINK_COLS.append(f"(NOT {_n} AND {_s}) AS \"{_name}\"")
+
+
 def _sink_sql() -> str:
-    cols = []
-    for name, spec in CATEGORY_KEYWORDS.items():
-        s, n = _kw_sql("t", spec)
-        cols.append(f"(NOT {n} AND {s}) AS \"{name}\"")
-    return O.with_articles(f"SELECT article_key, site, headline, {', '.join(cols)} FROM (SELECT article_key, {O.SITE} AS site, "
+    return O.with_articles(f"SELECT article_key, site, {', '.join(_SINK_COLS)} FROM (SELECT article_key, {O.SITE} AS site, "
                            f"headline_raw AS headline, {ARTICLE_TEXT_SQL} AS t FROM articles)")
 
 
@@ -115,6 +118,23 @@ def sink_enriched_q(spark, sf):
     return back.select("article_key", "site", F.col("promo.headlines.headline").alias("headline"), "features.*")
 
 
+@register("sink_documents", O.with_articles(
+    f"SELECT site || '/' || doc_id || '/article.json' AS path, {', '.join(_SINK_COLS)} "
+    f"FROM (SELECT doc_id, {O.SITE} AS site, headline_raw AS headline, {ARTICLE_TEXT_SQL} AS t FROM articles)"))
+def sink_documents_q(spark, sf):
+    """One file per article, all of one name, each in a folder of its own."""
+    target = scratch_path(spark, "documents")
+    arts = load_articles(spark, sf).withColumn("site", B.site())
+    rows = attach_features(arts, boolean_categories(arts)).select(
+        F.concat_ws("/", "site", F.col("doc_id").cast("string"), F.lit("article.json")).alias("path"),
+        F.to_json(F.struct(F.col("promo.headlines.headline").alias("headline"), "features")).alias("content"))
+    write_documents(rows, target)
+    features = T.StructType([T.StructField(c, T.BooleanType()) for c in CATEGORY_KEYWORDS])
+    back = SA.scan_articles(spark, target, T.StructType([T.StructField("headline", T.StringType()),
+                                                         T.StructField("features", features)]))
+    return back.select(relative_path(F.col("path_key"), target).alias("path"), "headline", "features.*")
+
+
 @register("topic_snapshot_refresh", """
 SELECT CAST(o_orderkey AS VARCHAR) AS article_key, CAST(o_orderkey % 3 AS INTEGER) AS n_topics FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")

@@ -22,6 +22,7 @@ from inkwell.operators.classifier import article_sarcasm, rule_scorer, sarcasm_s
 from inkwell.operators.entailment import best_probability, premises, term_share_scorer
 from inkwell.operators.entities import Enrichment
 from inkwell.operators.labelling import _category_flags, article_text, mention_label_aggregates
+from inkwell.sources.document_sink import relative_path, write_documents
 from inkwell.sources.sinks import sink_enriched
 
 
@@ -100,4 +101,16 @@ def enrich_corpus(articles: DataFrame, out_path: str, fmt: str = "json", **featu
     return enriched
 
 
-__all__ = ["article_features", "enrich_corpus", "BOOLEAN_FEATURES"]
+def enrich_files(articles: DataFrame, root: str, target: str, overwrite: bool = False, **feature_args) -> None:
+    """H2 file by file: every article scanned from ``root`` (``path_key`` is its
+    file) becomes one JSON file at the same relative path below ``target``: the
+    document and its features."""
+    feats = article_features(articles, key="path_key", source="_source", **feature_args)
+    own = [c for c in feats.columns if c not in ("path_key", "_source")]
+    source = [f"_source.{c}" for c in articles.columns if c not in ("path_key", "file_name")]
+    content = F.to_json(F.struct(*source, F.struct(*own).alias("features")))
+    write_documents(feats.select(relative_path(F.col("path_key"), root).alias("path"), content.alias("content")),
+                    target, overwrite=overwrite)
+
+
+__all__ = ["enrich_files", "article_features", "enrich_corpus", "BOOLEAN_FEATURES"]

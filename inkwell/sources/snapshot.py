@@ -3,8 +3,10 @@
 Only article URIs not yet in the snapshot are fetched: ``distinct`` +
 ``left_anti`` against the existing snapshot, then an injected client runs
 per partition in ``mapInPandas`` (the number of partitions bounds client
-concurrency).  The snapshot is appended, so a rerun after a failure fetches
-only what is still missing."""
+concurrency).  The keys in the written snapshot are its manifest: a rerun with
+the same arguments, after a run that failed or was killed before, during or
+after its append, fetches only what is still missing and appends no key twice
+(one run at a time)."""
 
 from __future__ import annotations
 
@@ -12,6 +14,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +57,31 @@ def fetch_topics(keys: DataFrame, client_factory: Callable[[], Client] = lambda:
     return keys.select(F.col(key).cast("string").alias(key)).mapInPandas(run, SNAPSHOT_SCHEMA)
 
 
+def written_keys(like: DataFrame, path: str, key: str = "article_key") -> DataFrame:
+    """The keys in the files of a snapshot; none if there is no such folder."""
+    spark = like.sparkSession
+    schema = f"{key} string"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def topic_snapshot_refresh(articles: DataFrame, snapshot: DataFrame, key: str = "article_key",
                            client_factory: Callable[[], Client] = lambda: empty_client,
                            append_to: str | None = None, partitions: int | None = None) -> DataFrame:
     """Fetch topics for articles missing from the snapshot, at most
     ``partitions`` clients at a time, and append them (parquet) to
-    ``append_to`` or to a table in the shared folder.  Returns the fetched rows
-    as written, so actions on them call no client again."""
-    wanted = materialize_table(missing_keys(articles, snapshot, key), "missing-topics")
+    ``append_to`` or to a table in the shared folder.  What ``append_to`` holds
+    already is not fetched, whether ``snapshot`` shows it or not.  Null keys are
+    left out.  Returns the fetched rows as written, so actions on them call no
+    client again."""
+    known = snapshot.select(F.col(key).cast("string").alias(key))
+    if append_to:
+        known = known.unionByName(written_keys(articles, append_to, key))
+    wanted = materialize_table(missing_keys(articles.where(F.col(key).isNotNull()), known, key), "missing-topics")
     fetched = materialize_table(fetch_topics(wanted, client_factory, key, partitions=partitions), "fetched-topics")
     if append_to:
         fetched.write.mode("append").parquet(append_to)

@@ -3,9 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from inkwell.plans.features import enrich_files
 from inkwell.sources.articles import scan_articles, scan_articles_filtered
+from inkwell.sources.document_sink import write_documents
 from inkwell.sources.files import scan_word_vectors, write_word2vec_text
 from inkwell.sources.snapshot import topic_snapshot_refresh
 from inkwell.streaming.enrich_stream import enrich_stream
@@ -108,3 +111,67 @@ def test_repeated_keys_give_one_document_each(spark, tmpdir_path):
     enrich_corpus(articles_df(spark, rows), f"{tmpdir_path}/out")
     found = spark.read.json(f"{tmpdir_path}/out").select("article_key", "promo.headlines.headline", "features.sentiment_label").collect()
     assert sorted(tuple(r)[:2] for r in found) == [("a", "One."), ("a", "Two!"), ("b", "Three.")]
+
+
+def _files(root):
+    return {os.path.relpath(os.path.join(d, f), root): open(os.path.join(d, f)).read()
+            for d, _, fs in os.walk(root) for f in fs if not f.endswith(".crc")}
+
+
+def test_documents_keep_their_paths(spark, tmpdir_path):
+    rows = {"a/x.json": "1", "b/x.json": "2", "x.json": "é\n3", "b/c d/+ü%20.json": None}
+    df = spark.createDataFrame(list(rows.items()), "path string, content string")
+    target = os.path.join(tmpdir_path, "out")
+    write_documents(df, target)
+    assert _files(target) == {k: v or "" for k, v in rows.items()}
+    with pytest.raises(FileExistsError):
+        write_documents(df, target)
+    write_documents(df.limit(0), target, overwrite=True)
+    assert _files(target) == {} and os.listdir(tmpdir_path) == ["out"]
+
+
+@pytest.mark.parametrize("bad", [[("a", "1"), ("a", "1")], [("../a", "1")], [(None, "1")], [("/a", "1")], [("a//b", "1")]])
+def test_a_failed_write_leaves_nothing(spark, tmpdir_path, bad):
+    target = os.path.join(tmpdir_path, "out")
+    write_documents(spark.createDataFrame([("kept", "old")], "path string, content string"), target)
+    df = spark.createDataFrame([(f"f{i}", "x") for i in range(50)] + bad, "path string, content string")
+    with pytest.raises(Exception, match="two documents|not a path"):
+        write_documents(df, target, overwrite=True)
+    assert _files(target) == {"kept": "old"} and os.listdir(tmpdir_path) == ["out"]
+
+
+def test_enriched_files_mirror_the_input(spark, tmpdir_path):
+    src, out = os.path.join(tmpdir_path, "in +é"), os.path.join(tmpdir_path, "out")
+    os.makedirs(src)
+    _write_corpus(src)
+    os.makedirs(os.path.join(src, "other"))
+    with open(os.path.join(src, "other", "12345678"), "w") as fo:      # a name that another folder has too
+        json.dump(_doc("/news/uk-12345678", "Four", "Body."), fo)
+    enrich_files(scan_articles(spark, src), src, out)
+    got = {p: json.loads(t) for p, t in _files(out).items()}
+    assert {p: d["promo"]["headlines"]["headline"] for p, d in got.items()} == {
+        "12345678": "One", "sub/23456789.JSON": "Two", "34567890.json": "Three", "other/12345678": "Four"}
+    assert all("sentiment_label" in d["features"] for d in got.values())
+
+
+def test_snapshot_rerun_appends_nothing_twice(spark, tmpdir_path):
+    arts = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "article_key string")
+    stale = spark.createDataFrame([("a",)], "article_key string")
+    path = os.path.join(tmpdir_path, "snap")
+
+    def broken():
+        def client(uris):
+            raise RuntimeError("client is down")
+        return client
+    with pytest.raises(Exception, match="client is down"):
+        topic_snapshot_refresh(arts, stale, client_factory=broken, append_to=path)
+    for wanted in (2, 0):            # the second run starts from the same stale snapshot
+        assert topic_snapshot_refresh(arts, stale, append_to=path).count() == wanted
+    assert sorted(r["article_key"] for r in spark.read.parquet(path).collect()) == ["b", "c"]
+    # killed halfway through its append: one file of two is there
+    kept = [f for f in os.listdir(path) if f.endswith(".parquet")][0]
+    half = os.path.join(tmpdir_path, "half")
+    os.makedirs(half)
+    os.link(os.path.join(path, kept), os.path.join(half, kept))
+    topic_snapshot_refresh(arts, stale, append_to=half)
+    assert sorted(r["article_key"] for r in spark.read.parquet(half).collect()) == ["b", "c"]
