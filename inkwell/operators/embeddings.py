@@ -3,9 +3,9 @@
 Candidate label vectors and projections are parameters: they are gathered
 once and broadcast to the tasks, where each Arrow batch of vectors is one numpy
 matrix product -- no cross join, no shuffle, and nothing of them in the plan.
-Gram matrices for the least-squares projection are summed per partition, then
-as whole rows by a partial aggregation, and only the d x d result reaches the
-driver."""
+The least-squares projection is solved from a tree of QR factorisations; Gram
+matrices are summed per partition, then as whole rows by a partial aggregation.
+Of either only matrices of the vectors' width reach the driver."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from inkwell.functions.text import explode_indexed
 from inkwell.operators.vocab import top_vocab_from_table, words
-from inkwell.session import ship_package
+from inkwell.session import materialize_table, ship_package
 
 
 # ---------------------------------------------------------------------------
@@ -220,11 +220,73 @@ def gram_matrices(df: DataFrame, x: str, y: str) -> tuple[np.ndarray, np.ndarray
     return tuple(np.array([row for k, _, row in rows if k == kind]) for kind in ("xtx", "xty"))
 
 
+#: Triangular factors that one task, or in the end the driver, merges.
+MERGED_FACTORS = 16
+
+
+def _triangles(batches: Iterator[pa.RecordBatch], rows: Callable[[pa.RecordBatch], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One triangular factor of all rows of a task, or none without rows."""
+    r = None
+    for b in batches:
+        if b.num_rows:
+            block = rows(b)
+            r = np.linalg.qr(block if r is None else np.vstack([r, block]), mode="r")
+    if r is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([r.ravel().tolist()], pa.list_(pa.float64())),
+                                          pa.array([r.shape[1]], pa.int32())], names=["r", "width"])
+
+
+def qr_factor(df: DataFrame, x: str, y: str) -> tuple[np.ndarray, int]:
+    """The triangular factor R of [X Y] and the width of X, by a tree of QR
+    factorisations: each task factors its rows batch by batch, then factors meet
+    ``MERGED_FACTORS`` at a time until the driver has few enough left.  Unlike
+    the Gram matrices, R has the condition number of X itself."""
+    ship_package(df.sparkSession)
+    schema = "r array<double>, width int, x_width int"
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x_width = []
+
+        def rows(b: pa.RecordBatch) -> np.ndarray:
+            X = _matrix(b.column(0))
+            x_width[:] = [X.shape[1]]
+            return np.hstack([X, _matrix(b.column(1))])
+        for out in _triangles(batches, rows):
+            yield out.append_column("x_width", pa.array(x_width, pa.int32()))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x_width = []
+
+        def rows(b: pa.RecordBatch) -> np.ndarray:
+            x_width[:] = [b.column(2)[0].as_py()]
+            return _matrix(b.column(0)).reshape(-1, b.column(1)[0].as_py())
+        for out in _triangles(batches, rows):
+            yield out.append_column("x_width", pa.array(x_width, pa.int32()))
+
+    given = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    factors = materialize_table(given.mapInArrow(local, schema), "qr-factors")
+    n = factors.count()
+    while n > MERGED_FACTORS:
+        merged = factors.repartition(-(-n // MERGED_FACTORS)).mapInArrow(merge, schema)
+        factors = materialize_table(merged, "qr-factors")
+        n = factors.count()
+    rows = factors.collect()
+    if not rows:
+        raise ValueError("no rows to fit")
+    stacked = np.vstack([np.reshape(r["r"], (-1, r["width"])) for r in rows])
+    return np.linalg.qr(stacked, mode="r"), rows[0]["x_width"]
+
+
 def fit_projection(df: DataFrame, x: str, y: str, ridge: float = 0.0) -> list[list[float]]:
-    """Z = argmin |XZ - Y|^2 + ridge |Z|^2, solved from the Gram
-    matrices (d x d, bounded by the dimension) on the driver."""
-    xtx, xty = gram_matrices(df, x, y)
-    z, *_ = np.linalg.lstsq(xtx + ridge * np.eye(len(xtx)), xty, rcond=None)
+    """Z = argmin |XZ - Y|^2 + ridge |Z|^2, of the least norm if there are
+    several, solved from the triangular factor of [X Y] (its size is bounded by
+    the dimensions) on the driver.  Rows with a null vector are left out."""
+    r, d = qr_factor(df, x, y)
+    a, b = r[:, :d], r[:, d:]
+    if ridge:
+        a = np.vstack([a, np.sqrt(ridge) * np.eye(d)])
+        b = np.vstack([b, np.zeros((d, b.shape[1]))])
+    z, *_ = np.linalg.lstsq(a, b, rcond=None)
     return z.tolist()
 
 

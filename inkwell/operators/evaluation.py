@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.config import THRESHOLD_SWEEP
+from inkwell.operators.ranking import exact_quantiles, with_running_sums
 
 
 def encode_labels(label: Column, mapping: Mapping[str, int] | None = None) -> Column:
@@ -41,14 +42,17 @@ def label_accuracy(df: DataFrame, truth: str, pred: str) -> DataFrame:
 def profile(df: DataFrame, value: str, klass: str | None = None, approx: bool = True) -> DataFrame:
     """Class counts and descriptive statistics (count, mean, std, min,
     quartiles, max) as ``stat, value`` rows.  Quartiles come from a sketch of
-    fixed size; ``approx=False`` interpolates exactly and holds every distinct
-    value in one task, so it is for scores of a bounded number of values."""
+    fixed size; ``approx=False`` selects and interpolates exactly, by running
+    counts over ranges of the distinct values (jobs run when the plan is built)."""
     v = F.col(value).cast("double")
-    pct = (lambda q: F.percentile_approx(v, q, 100000)) if approx else (lambda q: F.percentile(v, q))
+    quartiles = [0.25, 0.5, 0.75]
+    if approx:
+        q1, q2, q3 = (F.percentile_approx(v, q, 100000).cast("double") for q in quartiles)
+    else:
+        q1, q2, q3 = (F.lit(x).cast("double") for x in exact_quantiles(df, value, quartiles))
     stats = df.agg(
         F.count(v).cast("double").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), pct(0.25).cast("double").alias("25%"), pct(0.5).cast("double").alias("50%"),
-        pct(0.75).cast("double").alias("75%"), F.max(v).alias("max"))
+        F.min(v).alias("min"), q1.alias("25%"), q2.alias("50%"), q3.alias("75%"), F.max(v).alias("max"))
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     long = stats.select(F.explode(F.array(*[F.struct(F.lit(n).alias("stat"), F.col(f"`{n}`").alias("value"))
                                             for n in names])).alias("s")).select("s.stat", "s.value")
@@ -106,6 +110,26 @@ def roc_points(sweep: DataFrame) -> DataFrame:
     return seg.select("threshold", "fpr", "tpr", auc.alias("auc")).where(F.col("threshold").isNotNull())
 
 
+def roc_curve(df: DataFrame, truth: str, score: str) -> DataFrame:
+    """G7 over every distinct score: ``threshold, tp, fp, tpr, fpr, auc`` of
+    ``score >= threshold``, the highest threshold first.  Rows are counted per
+    score, and the counts run over ranges of scores; the area is exact (the
+    rank statistic, ties half).  Rows with a null are left out; a missing class
+    gives null ratios and area."""
+    y = F.col(truth).cast("boolean")
+    counted = df.select(y.alias("_y"), F.col(score).cast("double").alias("threshold")) \
+        .where("_y is not null and threshold is not null") \
+        .groupBy("threshold").agg(F.count_if("_y").alias("_pos"), F.count_if(~F.col("_y")).alias("_neg"))
+    run = with_running_sums(counted, [F.desc("threshold")], {"tp": "_pos", "fp": "_neg"})
+    # trapezoids in half units: a step to the right under the middle of its rise
+    area = F.sum(F.col("_neg").cast("decimal(19,0)") * (2 * F.col("tp") - F.col("_pos")).cast("decimal(19,0)"))
+    pos, neg, halves = run.agg(F.sum("_pos"), F.sum("_neg"), area).first()
+    auc = float(halves) / (2.0 * pos * neg) if pos and neg else None
+    return run.select("threshold", "tp", "fp", (F.col("tp") / F.lit(pos or None).cast("long")).alias("tpr"),
+                      (F.col("fp") / F.lit(neg or None).cast("long")).alias("fpr"),
+                      F.lit(auc).cast("double").alias("auc"))
+
+
 def sample_articles(df: DataFrame, key: str, n: int = 1, seed: str = "") -> DataFrame:
     """Repeatable sample of ``n`` rows ordered by ``md5(seed || key)``
     (a sampling operator: the limit is the feature)."""

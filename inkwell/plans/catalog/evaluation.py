@@ -144,6 +144,24 @@ def roc_points_q(spark, sf):
     return G.roc_points(_sweep(spark, sf)).withColumn("auc", F.round("auc", 6))
 
 
+@register("roc_curve", REV + """, n_ AS (SELECT vader_score + length(text) / 1e7 AS threshold,
+    count(*) FILTER (encoded_sentiment = 1) AS pos, count(*) FILTER (encoded_sentiment = 0) AS neg
+  FROM enc_ JOIN documents USING (doc_id) GROUP BY 1),
+c_ AS (SELECT threshold, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+  FROM n_ WINDOW w AS (ORDER BY threshold DESC))
+SELECT round(threshold, 9) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tp / p, 6) AS tpr,
+  round(fp / n, 6) AS fpr, round((SELECT sum(a.pos * b.neg * CASE WHEN a.threshold > b.threshold THEN 1.0
+    WHEN a.threshold = b.threshold THEN 0.5 ELSE 0.0 END) FROM n_ a, n_ b) / (p * n), 6) AS auc FROM c_""")
+def roc_curve_q(spark, sf):
+    """Sentiment as a classifier of quality; the length sets equal scores apart."""
+    lengths = read_table(spark, sf, "documents").select("doc_id", F.length("text").alias("_n"))
+    scored = _encoded(spark, sf).join(lengths, "doc_id").select(
+        "encoded_sentiment", (F.col("vader_score") + F.col("_n") / 1e7).alias("score"))
+    out = G.roc_curve(scored, "encoded_sentiment", "score")
+    return out.select(F.round("threshold", 9).alias("threshold"), "tp", "fp",
+                      *[F.round(c, 6).alias(c) for c in ("tpr", "fpr", "auc")])
+
+
 SAMPLE_N = 1
 
 

@@ -5,11 +5,11 @@ Label vectors are the lowest ``vec_id`` row of each label."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkwell.operators import embeddings as V
-from inkwell.operators.vocab import top_vocab
+from inkwell.operators.ranking import with_rank
+from inkwell.operators.vocab import vocab_counts
 from inkwell.plans.catalog import register
 from inkwell.session import read_table
 
@@ -122,8 +122,7 @@ def text_vectors_q(spark, sf):
     """Mean word vector of each document; the stand-in word vectors are the
     embeddings in the order of the most frequent words."""
     docs, emb = read_table(spark, sf, "documents").select("doc_id", "text"), _emb(spark, sf)
-    top = top_vocab(docs, "text", emb.count()).withColumn("vec_id", F.row_number().over(
-        Window.orderBy(F.desc("n"), "term")).cast("long") - 1)
+    top = with_rank(vocab_counts(docs, "text"), [F.desc("n"), F.asc("term")], "vec_id")
     vectors = top.join(emb, "vec_id").select("term", F.col("n").alias("count"), F.col("embedding").alias("vector"))
     out = V.text_vectors(docs, "doc_id", "text", vectors)
     return out.select("doc_id", F.posexplode("vector").alias("dim", "value")).withColumn("value", F.round("value", 4) + 0.0)
