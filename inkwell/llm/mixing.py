@@ -14,12 +14,14 @@ with the other sources; no document is dropped or repeated.  The patterns
 depend on weights and block counts alone, and a document finds its slot by
 arithmetic.
 
-Sources without a weight of their own share one stream, so the number of
-streams is that of the weights plus one.  Everything is DataFrame expressions.
-
-Defined results: a null source belongs to the shared stream; null doc_ids are
-ordered as the empty text; repeated rows each get a place; an empty table
-gives no rows.  Only the named columns are read, so extra columns never clash;
+Every source found is a stream of its own; one that has no weight in the given
+table takes the default weight.  What reaches the driver is one block count per
+source.  Everything is DataFrame expressions.
+
+Defined results: a null source is the stream ``other``, as is a source of that
+name; a weight whose source has no rows is not used; null doc_ids are ordered
+as the empty text; repeated rows each get a place; an empty table gives no
+rows.  Only the named columns are read, so extra columns never clash;
 ``mixed`` returns all columns as they are.
 """
 
@@ -34,7 +36,7 @@ from inkwell.functions.text import bind
 BLOCK_DOCS = 16
 #: Documents of a run of the stream, inside which others may reorder them.
 RUN_DOCS = 4096
-#: The stream of sources without a weight of their own.
+#: The stream of rows without a source.
 OTHER = "other"
 #: Hash buckets in which a stream's documents are numbered, as a power of two;
 #: hashes have 60 bits.
@@ -73,24 +75,26 @@ def pattern(shares: Column) -> Column:
     return bind(period, slots)
 
 
-def schedule(blocks: DataFrame, weights: list[int]) -> DataFrame:
+def schedule(blocks: DataFrame, weights: dict[str, int], other_weight: int) -> DataFrame:
     """One row per stream with the phases it takes part in, by first block:
     (stream, phases array<struct<first, share, period, start, slots>>), where
     ``slots`` are the stream's slots in one period.  ``blocks`` holds (stream,
-    blocks), one row for each of the streams."""
+    blocks), one row per stream; equal deadlines go in the order of names."""
     spark = blocks.sparkSession
-    found = dict(tuple(r) for r in blocks.collect())
-    rows, start, done = [], 0, [0] * len(weights)
-    for shares, periods in phases([found.get(i, 0) for i in range(len(weights))], weights):
-        rows.append((shares, start, list(done)))
+    found = sorted(tuple(r) for r in blocks.collect())
+    names = [name for name, _ in found]
+    rows, start, done = [], 0, [0] * len(names)
+    for shares, periods in phases([n for _, n in found], [weights.get(name, other_weight) for name in names]):
+        rows.append((names, shares, start, list(done)))
         start += periods * sum(shares)
         done = [d + periods * s for d, s in zip(done, shares)]
-    plan = spark.createDataFrame(rows, "shares array<int>, start bigint, done array<bigint>")
-    each = plan.withColumn("order", pattern(F.col("shares"))).select("*", F.posexplode("shares").alias("stream", "share"))
-    own = F.array_compact(F.transform("order", lambda o, t: F.when(o == F.col("stream"), t)))
+    plan = spark.createDataFrame(rows, "names array<string>, shares array<int>, start bigint, done array<bigint>")
+    each = plan.withColumn("order", pattern(F.col("shares"))).select("*", F.posexplode("shares").alias("at", "share"))
+    own = F.array_compact(F.transform("order", lambda o, t: F.when(o == F.col("at"), t)))
     return (each.filter("share > 0")
-            .select("stream", F.struct(F.get("done", F.col("stream")).alias("first"), "share", F.size("order").alias("period"),
-                                       "start", own.alias("slots")).alias("phase"))
+            .select(F.get("names", F.col("at")).alias("stream"),
+                    F.struct(F.get("done", F.col("at")).alias("first"), "share", F.size("order").alias("period"),
+                             "start", own.alias("slots")).alias("phase"))
             .groupBy("stream").agg(F.array_sort(F.collect_list("phase")).alias("phases")))
 
 
@@ -102,22 +106,21 @@ def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs:
 
     Documents are numbered within (stream, hash bucket) after one shuffle of
     the rows; bucket offsets are a table of at most 2^BUCKET_BITS rows per
-    stream, so a source with a third of all rows is spread over thousands of
-    groups."""
-    names = [*sorted(weights), OTHER]
-    index = F.create_map(*[F.lit(x) for i, name in enumerate(names[:-1]) for x in (name, i)]) if weights else None
-    stream = F.coalesce(F.try_element_at(index, F.col(source_col)), F.lit(len(weights))) if weights else F.lit(0)
+    stream, which Spark broadcasts or merges by its size, so a source with a
+    third of all rows is spread over thousands of groups.  The plan of slots,
+    which is broadcast, has one row per source."""
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), stream.alias("stream"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                       F.coalesce(F.col(source_col), F.lit(OTHER)).alias("stream"),
                        F.conv(F.substr(digest, F.lit(1), F.lit(HASH_BITS // 4)), 16, 10).cast("bigint").alias("hash"),
                        *(keep or [])).withColumn("bucket", F.shiftright("hash", HASH_BITS - BUCKET_BITS))
     counts = rows.groupBy("stream", "bucket").agg(F.count("*").alias("n"))
     blocks = counts.groupBy("stream").agg(F.ceil(F.sum("n") / block_docs).alias("blocks"))
     lower = Window.partitionBy("stream").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("stream", "bucket", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before"))
-    plan = schedule(blocks, [*[weights[n] for n in names[:-1]], other_weight])
+    plan = schedule(blocks, weights, other_weight)
     within = Window.partitionBy("stream", "bucket").orderBy("hash", "doc_id")
-    numbered = (rows.withColumn("n", F.row_number().over(within) - 1).join(F.broadcast(offsets), ["stream", "bucket"])
+    numbered = (rows.withColumn("n", F.row_number().over(within) - 1).join(offsets, ["stream", "bucket"])
                 .withColumn("position", F.col("before") + F.col("n"))
                 .withColumns({"block": F.floor(F.col("position") / block_docs),
                               "place": (F.col("position") % block_docs).cast("int")}))
@@ -127,7 +130,7 @@ def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs:
     share, period = F.col("phase.share"), F.col("phase.period")
     timed = timed.withColumns({"begin": F.col("phase.start") + F.floor(turn / share) * period, "turn": turn % share})
     return timed.select(
-        "doc_id", "source", F.element_at(F.array(*map(F.lit, names)), F.col("stream") + 1).alias("stream"), "block",
+        "doc_id", "source", "stream", "block",
         (F.col("begin") + F.get("phase.slots", F.col("turn").cast("int"))).alias("slot"),
         (F.col("begin") + F.floor(F.col("turn") * period / share)).alias("release"),
         (F.col("begin") + F.ceil((F.col("turn") + 1) * period / share)).alias("deadline"), "place", *(keep or []))
@@ -163,26 +166,26 @@ def runs(docs: DataFrame, columns: list[str], run_docs: int = RUN_DOCS) -> DataF
 
 def oracle(weights: dict[str, int], other_weight: int, block_docs: int = BLOCK_DOCS) -> str:
     """The rows of ``mix`` as DuckDB SQL over ``documents``."""
-    names = sorted(weights)
-    streams = ", ".join(f"({i}, '{n}', {w})" for i, (n, w) in enumerate([*((n, weights[n]) for n in names), (OTHER, other_weight)]))
-    k = len(names) + 1
+    given = ", ".join(f"('{name}', {w})" for name, w in sorted(weights.items()))
     return f"""
-with recursive target(stream, name, weight) as (values {streams}),
-hashed as (select doc_id, source, coalesce(t.stream, {k - 1}) stream,
-                  ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint h
-           from documents d left join target t on t.name = d.source and t.stream < {k - 1}),
-placed as (select doc_id, source, stream, row_number() over (partition by stream order by h, doc_id) - 1 as position from hashed),
-total as (select t.stream, t.weight, count(p.stream) n from target t left join placed p using (stream) group by all),
+with recursive given(name, weight) as (values {given}),
+hashed as (select doc_id, source, coalesce(source, '{OTHER}') as name,
+                  ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint h from documents),
+target as (select row_number() over (order by name) - 1 as stream, name, coalesce(g.weight, {other_weight}) as weight
+           from (select distinct name from hashed) left join given g using (name)),
+placed as (select doc_id, source, stream, row_number() over (partition by stream order by h, doc_id) - 1 as position
+           from hashed join target using (name)),
+total as (select t.stream, t.weight, count(*) n from target t join placed p using (stream) group by all),
 step(p, owed, first_block, shares, periods, start) as (
   select 0, list(((n + {block_docs - 1}) // {block_docs})::bigint order by stream), list(0::bigint order by stream),
-         list(0::bigint order by stream), 0::bigint, 0::bigint from total
+         list(0::bigint order by stream), 0::bigint, 0::bigint from total having count(*) > 0
   union all
-  select p + 1, list_transform(range({k}), lambda i: owed[i + 1] - greatest(m, 1) * now[i + 1]),
-         list_transform(range({k}), lambda i: first_block[i + 1] + periods * shares[i + 1]), now, greatest(m, 1),
+  select p + 1, list_transform(range(len(owed)), lambda i: owed[i + 1] - greatest(m, 1) * now[i + 1]),
+         list_transform(range(len(owed)), lambda i: first_block[i + 1] + periods * shares[i + 1]), now, greatest(m, 1),
          start + periods * coalesce(list_sum(shares), 0)::bigint
-  from (select *, list_transform(range({k}), lambda i: case when owed[i + 1] = 0 then 0 when m > 0 then w[i + 1]
+  from (select *, list_transform(range(len(owed)), lambda i: case when owed[i + 1] = 0 then 0 when m > 0 then w[i + 1]
                                                             else least(owed[i + 1], w[i + 1]) end)::bigint[] now
-        from (select s.*, t.w, list_min(list_transform(list_filter(range({k}), lambda i: owed[i + 1] > 0),
+        from (select s.*, t.w, list_min(list_transform(list_filter(range(len(owed)), lambda i: owed[i + 1] > 0),
                                                        lambda i: owed[i + 1] // t.w[i + 1])) m
               from step s, (select list(weight::bigint order by stream) w from total) t
               where list_sum(owed) > 0))),
@@ -190,9 +193,9 @@ phase as (select p, shares, first_block, start, list_sum(shares)::bigint w from
 slots(p, t, done, pick) as (
   select p, -1::bigint, list_transform(shares, lambda s: 0::bigint), null::bigint from phase
   union all
-  select p, t + 1, list_transform(range({k}), lambda i: done[i + 1] + (case when i = best then 1 else 0 end)), best
+  select p, t + 1, list_transform(range(len(done)), lambda i: done[i + 1] + (case when i = best then 1 else 0 end)), best
   from (select s.p, s.t, s.done,
-               list_min(list_transform(list_filter(range({k}), lambda i: s.done[i + 1] < f.shares[i + 1]
+               list_min(list_transform(list_filter(range(len(s.done)), lambda i: s.done[i + 1] < f.shares[i + 1]
                                                      and s.done[i + 1] * f.w // greatest(f.shares[i + 1], 1) <= s.t + 1),
                  lambda i: ((s.done[i + 1] + 1) * f.w + f.shares[i + 1] - 1) // greatest(f.shares[i + 1], 1) * 1000 + i)) % 1000 best
         from slots s join phase f on f.p = s.p where s.t + 1 < f.w)),

@@ -75,6 +75,26 @@ def test_small_weights_hold_from_the_first_slot_on(spark):
         assert abs(order[:t].count("a") - t * 3 / 5) < 1
 
 
+def test_sources_without_a_weight_have_windows_of_their_own(spark):
+    names = [f"new{i}" for i in range(9)]
+    docs = [(i, "x", None, "big" if i % 3 == 0 else names[i % 9] if i % 7 else None) for i in range(1500)]
+    rows = mixing.mix(documents(spark, docs), {"big": 5, "absent": 50}, 2, block_docs=2).collect()
+    order = [s for _, s in sorted({(r["slot"], r["stream"]) for r in rows})]
+    streams = set(order)
+    assert streams == {"big", mixing.OTHER} | {n for _, _, _, n in docs if n}
+    assert all(r["stream"] == (r["source"] or mixing.OTHER) for r in rows)
+    weights = {s: 5 if s == "big" else 2 for s in streams}
+    first_end = min(t for s in streams for t in [max(i for i, o in enumerate(order) if o == s)])
+    for t in range(1, first_end - sum(weights.values())):
+        for s, w in weights.items():
+            assert abs(order[:t].count(s) - t * w / sum(weights.values())) < 1
+
+
+def test_a_source_named_as_the_stream_of_rows_without_one(spark):
+    rows = mixing.mix(documents(spark, [(1, "x", None, "other"), (2, "x", None, None), (3, "x", None, "a")]), {"a": 1}, 1).collect()
+    assert {(r["doc_id"], r["stream"]) for r in rows} == {(1, "other"), (2, "other"), (3, "a")}
+
+
 def test_query_against_sql(spark, tmp_path):
     sf = save(spark, tmp_path, documents=documents(spark, skewed(700)))
     con = duckdb.connect()
