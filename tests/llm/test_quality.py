@@ -69,7 +69,6 @@ def test_labelled_rows_are_told_apart(judged):
     known = [r for r in judged if r["quality"] is not None]
     good = [r["probability"] for r in known if r["quality"]]
     bad = [r["probability"] for r in known if not r["quality"]]
-    print("good", np.quantile(good, [0, .01, .05, .5]), "bad", np.quantile(bad, [.25, .5, .75, .9]), sum(b < .5 for b in bad), len(bad))
     assert np.mean([b > p for p in bad[:50] for b in good]) > 0.8
     assert np.mean([r["kept"] for r in known if r["quality"] and not r["base_failed"]]) > 0.97
 
