@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from inkwell.operators import embeddings as V
+from inkwell.operators.label_index import build_label_index, nearest_labels
 from inkwell.operators.ranking import with_rank
 from inkwell.operators.vocab import vocab_counts
 from inkwell.plans.catalog import register
@@ -60,6 +61,21 @@ def label_similarity_q(spark, sf):
     return V.label_similarity(labels, "label", "embedding").withColumn("similarity", F.round("similarity", 5))
 
 
+@register("nearest_labels", f"""
+WITH sims AS (SELECT e.vec_id, l.vec_id AS label,
+           round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(l.embedding AS DOUBLE[])), 12) AS sim
+         FROM embeddings e CROSS JOIN embeddings l WHERE e.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, label) AS rk FROM sims WHERE sim IS NOT NULL AND NOT isnan(sim))
+SELECT vec_id, CAST(rk AS INTEGER) AS rank, label, round(sim, 5) AS similarity FROM r WHERE rk <= {TOP_N}""")
+def nearest_labels_q(spark, sf):
+    """Every row of the table is a label; the rows to label are those whose id
+    is divisible by 100."""
+    emb = _emb(spark, sf)
+    index = build_label_index(emb, "vec_id", "embedding")
+    out = nearest_labels(emb.where(F.col("vec_id") % 100 == 0), "vec_id", "embedding", index, TOP_N)
+    return out.withColumn("similarity", F.round("similarity", 5))
+
+
 def _xy(spark, sf):
     """X = each embedding, Y = the label vector of its label."""
     lab = _labels(spark, sf).select("label", F.col("embedding").alias("target"))
