@@ -140,9 +140,10 @@ def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame, positions: bool
     same_as = F.array(F.concat(F.lit("http://dbpedia.org/resource/"),
                                F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))),
                       _team_same_as(F.col("p_brand")))
-    base = j.select(
+    sources = F.when(F.col("l_linenumber") == 1, F.array(F.lit("tagger_b"), F.lit("tagger_a"))).otherwise(F.array(F.lit("tagger_b")))
+    both = j.select(
         F.col("l_orderkey").cast("string").alias("article_key"),
-        F.lit("tagger_b").alias("source"),
+        F.explode(sources).alias("source"),
         kb_uri(F.col("p_partkey")).alias("uri"),
         F.col("p_name").alias("label"),
         F.col("p_brand").alias("surface_form"),
@@ -150,10 +151,8 @@ def mentions_from_lineitem(lineitem: DataFrame, part: DataFrame, positions: bool
         F.when(F.col("l_linenumber") == 3, F.lit(None).cast("int"))
          .otherwise(F.col("l_quantity").cast("int")).alias("count"),
         same_as.alias("same_as"),
-        F.col("l_linenumber"))
-    second = base.where(F.col("l_linenumber") == 1).withColumn("source", F.lit("tagger_a")) \
-        .withColumn("label", F.initcap(F.col("label")))
-    both = base.unionByName(second)
+        F.col("l_linenumber")).withColumn(
+        "label", F.when(F.col("source") == "tagger_a", F.initcap("label")).otherwise(F.col("label")))
     return both.withColumnRenamed("l_linenumber", "position") if positions else both.drop("l_linenumber")
 
 
