@@ -37,7 +37,7 @@ MAX_TYPES = 100_000
 #: a sentence starter and of a collocation.
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
 
-OPENING, CLOSING = r"""^["'(\[]+""", r"""["')\]]+$"""
+OPENING, CLOSING = "\"'([", "\"')]"
 
 
 def tokens(text: Column) -> Column:
@@ -45,24 +45,28 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def _described(word: Column) -> Column:
-    """(type, period, mark, dots, upper, lower) of a word."""
-    def parts(core: Column) -> Column:
-        bare = F.regexp_replace(core, OPENING, "")
-        return F.struct(F.lower(F.regexp_replace(bare, r"\.$", "")).alias("type"), core.endswith(".").alias("period"),
-                        core.rlike("[!?]$").alias("mark"), core.rlike(r"(?:\.\.\.|…)$").alias("dots"),
-                        bare.rlike(r"^\p{Lu}").alias("upper"), bare.rlike(r"^\p{Ll}").alias("lower"))
+def _core(word: Column) -> Column:
+    return F.rtrim(word, F.lit(CLOSING))
 
-    return bind(F.regexp_replace(word, CLOSING, ""), parts)
+
+def _bare(core: Column) -> Column:
+    return F.ltrim(core, F.lit(OPENING))
+
+
+def _type(bare: Column) -> Column:
+    return F.lower(F.when(bare.endswith("."), F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare))
 
 
 def type_counts(df: DataFrame, text: str) -> DataFrame:
     """(type, period, next, n) over all texts; ``next`` only behind a period."""
+    def described(word: Column) -> Column:
+        return bind(_core(word), lambda core: F.struct(_type(_bare(core)).alias("type"), core.endswith(".").alias("period")))
+
     def rows(words: Column) -> Column:
         return F.transform(words, lambda w, i: F.struct(
             w["type"].alias("type"), w["period"].alias("period"), F.when(w["period"], F.get(words, i + 1)["type"]).alias("next")))
 
-    words = F.transform(tokens(F.col(text)), _described)
+    words = F.transform(tokens(F.col(text)), described)
     return df.select(F.explode(bind(words, rows)).alias("w")).select("w.*").groupBy("type", "period", "next").agg(F.count("*").alias("n"))
 
 
@@ -98,17 +102,25 @@ class SentenceModel:
             self.abbreviations, self.starters, {" ".join(pair) for pair in self.collocations})]
         abbreviation, starter, collocation = ((lambda c, look=look: look(c).isNotNull()) for look in known)
 
-        def breaks(words: Column, i: Column) -> Column:
-            word, after = words[i], F.get(words, i + 1)
-            own = abbreviation(word["type"]) | word["type"].rlike(r"^\p{L}$")
-            starts = after["upper"] & starter(after["type"]) & ~collocation(F.concat_ws(" ", word["type"], after["type"]))
-            return F.when(after.isNull(), False).when(word["mark"], True).when(~word["period"] & ~word["dots"], False) \
-                .when(word["dots"] & after["lower"], False).when(~word["period"], False).when(own, starts).otherwise(True)
+        def period_ends(core: Column, following: Column) -> Column:
+            """Does the period end a sentence before this word?"""
+            def judged(bare: Column) -> Column:
+                def own_ends(kind: Column) -> Column:
+                    after = _type(bare)
+                    starts = bare.rlike(r"^\p{Lu}") & starter(after) & ~collocation(F.concat_ws(" ", kind, after))
+                    return F.when(abbreviation(kind) | kind.rlike(r"^\p{L}$"), starts).otherwise(True)
+                dots = core.endswith("...") & bare.rlike(r"^\p{Ll}")
+                return F.when(dots, False).otherwise(bind(_type(_bare(core)), own_ends))
+            return bind(_bare(_core(following)), judged)
+
+        def breaks(words: Column, word: Column, i: Column) -> Column:
+            following = F.get(words, i + 1)
+            return F.when(following.isNull(), False).otherwise(bind(_core(word), lambda core: F.when(
+                core.endswith("!") | core.endswith("?"), True).when(core.endswith("."), period_ends(core, following)).otherwise(False)))
 
         def split(text: Column) -> Column:
             def marked(words: Column) -> Column:
-                return bind(F.transform(words, _described), lambda d: F.transform(
-                    words, lambda w, i: F.concat(w, F.when(breaks(d, i), F.lit(SENTENCE_BREAK)).otherwise(F.lit(" ")))))
+                return F.transform(words, lambda w, i: F.concat(w, F.when(breaks(words, w, i), F.lit(SENTENCE_BREAK)).otherwise(F.lit(" "))))
 
             joined = F.array_join(bind(tokens(text), marked), "")
             return F.filter(F.transform(F.split(joined, SENTENCE_BREAK), lambda s: F.trim(s)), lambda s: s != "")
