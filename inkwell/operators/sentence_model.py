@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import SENTENCE_BREAK, WHITESPACE_CLASS, bind, literal_lookup
+from inkwell.functions.text import SENTENCE_BREAK, WHITESPACE, bind, literal_lookup
 from inkwell.session import materialize_table
 
 #: A type or pair needs one in so many of all words with a period.
@@ -41,7 +41,7 @@ OPENING, CLOSING = "\"'([", "\"')]"
 
 
 def tokens(text: Column) -> Column:
-    words = F.split(F.regexp_replace(text, WHITESPACE_CLASS + "+", " "), " ")
+    words = F.split(F.regexp_replace(text, WHITESPACE + "+", " "), " ")
     return F.filter(words, lambda w: w != "")
 
 
