@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -23,8 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkwell.functions.text import explode_indexed
-from inkwell.operators.vocab import top_vocab_from_table, words
+from inkwell.operators.vocab import spaced_words, top_vocab_from_table
 from inkwell.session import materialize_table, ship_package
 
 
@@ -131,14 +131,53 @@ def mean_pool(df: DataFrame, group: list[str], vec: str) -> DataFrame:
     return mean_pool_vectors(df, group, vec).select(*group, F.posexplode(vec).alias("dim", "value"))
 
 
-def text_vectors(texts: DataFrame, key: str, text: str, word_vectors: DataFrame, out: str = "vector") -> DataFrame:
+#: Characters of text, about, whose words a task looks up at a time.
+BLOCK_CHARS = 16_000_000
+
+
+def text_vectors(texts: DataFrame, key: str, text: str, word_vectors: DataFrame, out: str = "vector",
+                 block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Mean of the word vectors of each text's words (a word counts as
-    often as it occurs; words without a vector do not count).  Words are
-    counted per text before they meet the ``(term, count, vector)`` table."""
-    counted = explode_indexed(texts, [key], words(F.col(text)), "pos", "term").groupBy(key, "term").agg(F.count("*").alias("n"))
-    known = counted.join(word_vectors.select("term", F.col("vector").alias("_v")), "term")
-    return known.groupBy(key).agg(vector_to_array(Summarizer.mean(
-        array_to_vector(as_double(F.col("_v"))), F.col("n").cast("double"))).alias(out))
+    often as it occurs; words without a vector do not count).  The texts are
+    dealt into blocks, and a block gets the vector of each of its words once
+    from the ``(term, count, vector)`` table, so vectors move per block, not per
+    word of a text.  A key's texts may lie in many blocks: their sums are added
+    (the number of blocks is counted when the plan is built)."""
+    spark = texts.sparkSession
+    ship_package(spark)
+    spaced = texts.select(F.col(key).alias("_key"), spaced_words(F.col(text)).alias("_text")).where("_text <> ''")
+    chars = texts.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // block_chars))
+    dealt = spaced.withColumn("_block", F.pmod(F.xxhash64("_key", "_text"), F.lit(n))).repartition(n, "_block")
+    needed = dealt.select("_block", F.explode(F.split("_text", " ")).alias("term")).distinct()
+    known = word_vectors.select("term", F.col("vector").alias("_v")).where("term <> '' AND _v IS NOT NULL")
+    vectors = needed.join(known, "term").select(F.col("_block").alias("_to"), "term", "_v")
+
+    def sums(found: pa.Table, given: pa.Table) -> pa.Table:
+        keys, counts, rows = [], [], []
+        if found.num_rows and given.num_rows:
+            place = {w: i for i, w in enumerate(dict.fromkeys(given.column("term").to_pylist()))}
+            at = np.fromiter((place[w] for w in given.column("term").to_pylist()), np.int64, given.num_rows)
+            listed = _matrix(given.column("_v"))
+            matrix, times = np.zeros((len(place), listed.shape[1])), np.bincount(at, minlength=len(place))
+            np.add.at(matrix, at, listed)
+            for i, line in enumerate(found.column("_text")):
+                hits = [(place[w], c) for w, c in Counter(line.as_py().split(" ")).items() if w in place]
+                if hits:
+                    ids, uses = np.array(hits, np.int64).T
+                    keys.append(i)
+                    counts.append(int(uses @ times[ids]))
+                    rows.append(uses.astype(float) @ matrix[ids])
+        flat = np.concatenate(rows) if rows else np.zeros(0)
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+        return pa.table({"_key": found.column("_key").take(pa.array(keys, pa.int64())), "_n": pa.array(counts, pa.int64()),
+                         "_sum": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+
+    schema = T.StructType([T.StructField("_key", texts.schema[key].dataType), T.StructField("_n", T.LongType()),
+                           T.StructField("_sum", T.ArrayType(T.DoubleType()))])
+    parts = dealt.groupBy("_block").cogroup(vectors.groupBy("_to")).applyInArrow(sums, schema)
+    total = parts.groupBy("_key").agg(F.sum("_n").alias("_n"), vector_to_array(Summarizer.sum(array_to_vector("_sum"))).alias("_sum"))
+    return total.select(F.col("_key").alias(key), F.transform("_sum", lambda x: x / F.col("_n")).alias(out))
 
 
 class HashingEncoder:

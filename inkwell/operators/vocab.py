@@ -10,11 +10,15 @@ from inkwell.functions.text import explode_indexed
 WORD_SPLIT = r"[^\p{L}]+"
 
 
+def spaced_words(text: Column) -> Column:
+    """Lowercased letter runs with one space between them (and perhaps around)."""
+    return F.regexp_replace(F.lower(text), WORD_SPLIT, " ")
+
+
 def words(text: Column) -> Column:
     """Lowercased letter runs (non-letters normalised to one space with a
     once-compiled pattern, then a plain single-character split)."""
-    spaced = F.regexp_replace(F.lower(text), WORD_SPLIT, " ")
-    return F.filter(F.split(spaced, " "), lambda t: t != "")
+    return F.filter(F.split(spaced_words(text), " "), lambda t: t != "")
 
 
 def vocab_counts(df: DataFrame, text: str) -> DataFrame:

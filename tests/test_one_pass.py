@@ -37,3 +37,31 @@ def test_words_are_described_without_a_pattern_each(spark):
     assert "RLIKE" not in plan and plan.count("regexp_replace") == 1
     got = {(r["type"], r["period"], r["next"]) for r in M.type_counts(df, "t").collect()}
     assert {("dr", True, "who"), ("etc.)", True, "it")} & got and ("rained..", True, "so") in got and ("what?!", False, None) in got
+
+
+def test_text_vectors_in_many_blocks(spark):
+    from collections import defaultdict
+
+    from inkwell.operators.embeddings import text_vectors
+    rows = [(1, "The cat, the dog"), (1, "cat"), (None, "dog unknown"), (2, "unknown"), (3, None), (4, ""), (5, "dog " * 50 + "cat")]
+    table = [("the", 2, [1.0, 0.0]), ("cat", 2, [0.0, 2.0]), ("dog", 1, [4.0, 4.0]), ("dog", 1, [0.0, 2.0])]
+    want = defaultdict(list)
+    for key, text in rows:
+        for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+            want[key] += [v for t, _, v in table if t == w]
+    vectors = spark.createDataFrame(table, "term string, count long, vector array<float>")
+    got = text_vectors(spark.createDataFrame(rows, "k int, t string"), "k", "t", vectors, block_chars=4).collect()
+    assert {r["k"]: [round(x, 9) for x in r["vector"]] for r in got} == {
+        k: [round(sum(v[d] for v in vs) / len(vs), 9) for d in (0, 1)] for k, vs in want.items() if vs}
+
+
+def test_keyword_numbers_in_bounded_batches(spark):
+    from array import array
+
+    from inkwell.operators import keyword_automaton as K
+    assert K._lists(array("i", [3, 5, 5]), [0, 2, 2, 2, 3], [False, True, False, False]).to_pylist() == [[3, 5], None, [], [5]]
+    assert K._lists(array("i"), [0, 0], [True]).to_pylist() == [None]
+    words = [f"w{i:03d}" for i in range(300)]
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else " ".join(words[: i % 5 * 70])) for i in range(9000)], "i int, t string").coalesce(1)
+    got = df.select("i", K.keyword_numbers(F.col("t"), words).alias("n")).collect()
+    assert len(got) == 9000 and all(r["n"] == (None if r["i"] % 7 == 0 else list(range(r["i"] % 5 * 70))) for r in got)
