@@ -23,6 +23,8 @@ from inkwell.sources.snapshot import topic_snapshot_refresh
 
 KEYED_ARTICLE = T.StructType([T.StructField("doc_id", T.LongType())] + ARTICLE.fields)
 
+FOLDERS = 1024
+
 ROUND_TRIP_SQL = O.with_articles(
     f"SELECT doc_id, {O.URI} AS asset_uri, {O.HEADLINE} AS headline, "
     f"{O.iso_sql('ts_last_published')} AS last_published, CAST(len(block_texts) AS INTEGER) AS n_blocks, "
@@ -30,9 +32,13 @@ ROUND_TRIP_SQL = O.with_articles(
 
 
 def _written_articles(spark, sf) -> str:
-    """One JSON document per file."""
+    """One JSON document per file, the files dealt into folders.  They are
+    committed by one rename; Spark's writer would move each of them on the driver."""
     path = scratch_path(spark, "articles-json")
-    load_articles(spark, sf).drop("article_key", "lang", "source").write.option("maxRecordsPerFile", 1).json(path)
+    arts = load_articles(spark, sf).drop("article_key", "lang", "source")
+    numbered = arts.select(F.monotonically_increasing_id().alias("_id"), F.to_json(F.struct("*")).alias("content"))
+    write_documents(numbered.select(F.concat(F.xxhash64("_id").bitwiseAND(FOLDERS - 1), F.lit("/"), F.col("_id"), F.lit(".json")).alias("path"),
+                                    "content"), path)
     return path
 
 

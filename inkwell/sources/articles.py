@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 
 from inkwell.schema import ARTICLE
 
+#: A scan with more tasks than ``TASKS`` has up to ``FILE_GROUPS`` times fewer:
+#: Spark packs about 30 small files into a partition.
+TASKS, FILE_GROUPS = 256, 32
+
 
 def scan_articles(spark: SparkSession, path: str | list[str], schema: T.StructType = ARTICLE,
                   multi_line: bool = True, path_glob: str | None = None) -> DataFrame:
@@ -25,8 +29,10 @@ def scan_articles(spark: SparkSession, path: str | list[str], schema: T.StructTy
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     df = reader.json(path)
-    return df.select(F.col("_metadata.file_path").alias("path_key"),
-                     F.col("_metadata.file_name").alias("file_name"), *[F.col(f.name) for f in schema.fields])
+    found = df.select(F.col("_metadata.file_path").alias("path_key"),
+                      F.col("_metadata.file_name").alias("file_name"), *[F.col(f.name) for f in schema.fields])
+    n = found.rdd.getNumPartitions()
+    return found.coalesce(max(TASKS, -(-n // FILE_GROUPS))) if n > TASKS else found
 
 
 def _ci_glob(suffix: str) -> str:

@@ -65,3 +65,21 @@ def test_keyword_numbers_in_bounded_batches(spark):
     df = spark.createDataFrame([(i, None if i % 7 == 0 else " ".join(words[: i % 5 * 70])) for i in range(9000)], "i int, t string").coalesce(1)
     got = df.select("i", K.keyword_numbers(F.col("t"), words).alias("n")).collect()
     assert len(got) == 9000 and all(r["n"] == (None if r["i"] % 7 == 0 else list(range(r["i"] % 5 * 70))) for r in got)
+
+
+def test_scan_of_many_files_groups_them(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from inkwell.sources.articles import TASKS, scan_articles
+    n = TASKS + 40
+    for i in range(n):
+        (tmp_path / f"{i % 3}").mkdir(exist_ok=True)
+        (tmp_path / f"{i % 3}" / f"{i}.json").write_text(f'{{"doc_id": {i}}}')
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        df = scan_articles(spark, str(tmp_path), T.StructType([T.StructField("doc_id", T.LongType())]))
+        assert df.rdd.getNumPartitions() == TASKS
+        assert sorted((r["doc_id"], r["file_name"]) for r in df.collect()) == sorted((i, f"{i}.json") for i in range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
