@@ -67,6 +67,51 @@ def test_texts_passed_over_hold_no_known_word(spark):
     assert {r["t"] for r in rows if r["may"] is False} >= {"not a thing here", "goods and fairness", "win9 9win", "", "-"}
 
 
+def test_texts_with_only_an_idiom_s_first_word_are_passed_over(spark):
+    import random
+    lex = S.lexicon_map({"good": 1.9, "bad": -2.5} | {k: 1.5 for k in ("in the red", "to die for", "bad ass", "break a leg", "the bomb")})
+    pieces = ["in", "the", "The", "RED", "to", "die,", "for", "a", "x", "7", "-", "--", "(bomb)", "bo\ufdd0mb", "bombs", "bad", "ass!",
+              "break", "leg", "é", "İ", "not", "so", "very", "in-the", "\t", "  ", "dog", "dog", "dog"]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts += ["The dog went in to a house, on the hill.", "in a the red", "the x 7 bomb", "the a x 7 a bomb", "the -- bomb", "the - bomb",
+              "the bo\ufdd0mb", "break a leg", "break leg", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.get(F.transform(S._stage(F.array("t"), lex), lambda st: S._sentence_score(st, lex)), 0)   # nothing passed over
+    rows = df.select("t", lex.may_know(F.col("t")).alias("may"), S.sentence_compound(F.col("t"), lex).alias("c"), whole.alias("w")).collect()
+    assert not [r for r in rows if r["c"] != r["w"]] and len({r["c"] for r in rows}) > 20
+    assert {r["t"]: r["may"] for r in rows}["The dog went in to a house, on the hill."] is False
+    assert {r["t"]: r["c"] for r in rows}["the a x 7 a bomb"] > 0
+
+
+def test_long_text_full_of_single_characters(spark):
+    df = spark.createDataFrame([("the " + "a " * 100_000,), ("the" + " " * 200_000 + "bomb",)], "t string")
+    assert [r[0] > 0 for r in df.select(S.sentence_compound(F.col("t"))).collect()] == [False, True]
+
+
+def test_position_scores_come_with_the_kb(spark):
+    """One aggregate per article; scores are no step of the mentions."""
+    from inkwell.config import PERSON_TYPE, POLITICAL_PARTY_TYPE, POLITICIAN_TYPE
+    from inkwell.operators.entities import Enrichment
+    people, party = [PERSON_TYPE, POLITICIAN_TYPE], [POLITICAL_PARTY_TYPE]
+    rows = [("1", "tagger_b", "p", "Ann X", "", people, 3, []), ("1", "tagger_b", "green_party", None, "Greens", party, None, []),
+            ("1", "tagger_b", "green_party", None, "Greens", party, 2, []), ("1", "tagger_b", "y", "Both", "", people + party, 2, []),
+            ("2", "tagger_b", "q", "Bob", "", [PERSON_TYPE], 1, []), ("3", "tagger_b", "unknown_green_party", "U", "", party, 4, []),
+            ("3", "tagger_b", None, None, None, party, 1, []), (None, "tagger_b", "p", "Ann", "", people, None, [])]
+    kb = [("p", "party", "labour_party"), ("labour_party", "position", "Left-wing"), ("green_party", "position", "Centre-left"),
+          ("y", "position", "Right-wing"), ("p", "gender", "female")]
+    per = Enrichment(spark.createDataFrame(rows, MENTIONS), spark.createDataFrame(kb, "subject string, predicate string, value string"),
+                     spark.createDataFrame([("Bob", "male", "genderize")], "first_name string, gender string, provider string")).per_article
+    got = {r["article_key"]: r for r in per.collect()}
+    assert got["1"]["political_score"] == pytest.approx((3 * -2 + 3 * -1 + 2 * 2) / 8) and got[None]["political_score"] == -2
+    assert [tuple(x) for x in got["1"]["partyScore"]] == [("Both", "Right-wing", 0)] + [("Greens", "Centre-left", 1)] * 2
+    assert (got["1"]["num_political_references"], got["1"]["num_political_reference_entries"], got["1"]["num_politicians"]) == (3, 8, 2)
+    assert got["1"]["party_greens_refs"] == got["1"]["party_labour_refs"] == got["3"]["party_greens_refs"] == 1
+    assert [tuple(x) for x in got["3"]["partyScore"]] == [(None, None, 0), ("U", None, 1)] and got["3"]["political_score"] is None
+    assert (got["2"]["female_proportion"], got["1"]["female_proportion"], got["2"]["partyScore"]) == (0.0, 1.0, [])
+    assert len(re.findall(r"\nAggregate \[article_key|Aggregate \[article_key", per._jdf.queryExecution().optimizedPlan().toString())) == 1
+
+
 @pytest.mark.parametrize("terms,text,value", [({"café": 2.0}, "CAFÉ", 2.0), ({"++": 1.0}, "a ++ b", 1.0), ({}, "good", 0.0)])
 def test_any_lexicon_scores(spark, terms, text, value):
     got = spark.range(1).select(S.sentence_compound(F.lit(text), S.lexicon_map(terms))).first()[0]
