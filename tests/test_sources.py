@@ -5,9 +5,11 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkwell.plans.features import enrich_files
-from inkwell.sources.articles import scan_articles, scan_articles_filtered
+from inkwell.sources import small_files
+from inkwell.sources.articles import _scan_listed_by_driver, scan_articles, scan_articles_filtered
 from inkwell.sources.document_sink import write_documents
 from inkwell.sources.files import scan_word_vectors, write_word2vec_text
 from inkwell.sources.snapshot import topic_snapshot_refresh
@@ -40,6 +42,39 @@ def test_scan_one_document_per_file(spark, tmpdir_path):
     assert all(r["path_key"].startswith("file:") for r in df.select("path_key").collect())
 
 
+ODD = {"object": '{"a": 1, "b": {"c": "x"}}', "array": '[{"a": 1}, {"a": 2}]', "null in it": '[{"a": 1}, null]', "none": "[]", "empty": "",
+       "blank": " \n", "cut": '{"a": 1, "b": {"c"', "word": "x", "number": "5", "partly": '{"a": "no", "b": {"c": "y"}}', "two": '{"a": 1}\n{"a": 2}',
+       "mark": "\ufeff" + '{"a": 3}', "é [x]%20;.json": '{"a": 4}', "_hidden": '{"a": 5}', ".dot": '{"a": 6}', "s/t/object": '{"a": 7}',
+       "s/u/object": '{"a": 8}', "_h/object": '{"a": 9}', "_p=1/object": '{"a": 10}'}
+
+
+@pytest.mark.parametrize("listed, large", [(10_000, 1 << 20), (2, 1 << 20), (10_000, 20)])
+def test_scan_lists_by_tasks_what_the_reader_lists(spark, tmpdir_path, monkeypatch, listed, large):
+    for name, text in ODD.items():
+        os.makedirs(os.path.dirname(os.path.join(tmpdir_path, name)), exist_ok=True)
+        with open(os.path.join(tmpdir_path, name), "w") as fo:
+            fo.write(text)
+    with open(os.path.join(tmpdir_path, "wide"), "wb") as fo:
+        fo.write('{"a": 11}'.encode("utf-16"))
+    monkeypatch.setattr(small_files, "LISTED", listed)
+    monkeypatch.setattr(small_files, "LARGE", large)
+    schema = T.StructType.fromDDL("a int, b struct<c: string>")
+    for path, glob in [(tmpdir_path, None), (f"file://{tmpdir_path}/", "*[t5].{j,}*"), ([tmpdir_path, f"{tmpdir_path}/s", f"{tmpdir_path}/word"], None)]:
+        want = _scan_listed_by_driver(spark, path, schema, True, glob).collect()
+        assert sorted(map(str, scan_articles(spark, path, schema, path_glob=glob).collect())) == sorted(map(str, want))
+
+
+def test_scan_keeps_no_file_list_in_the_plan(spark, tmpdir_path, monkeypatch):
+    for i in range(60):
+        os.makedirs(f"{tmpdir_path}/{i}")
+        with open(f"{tmpdir_path}/{i}/article.json", "w") as fo:
+            fo.write('{"a": %d}' % i)
+    monkeypatch.setattr(small_files, "LISTED", 5)
+    df = scan_articles(spark, tmpdir_path, T.StructType.fromDDL("a int"))
+    assert not [f for f in df.inputFiles() if f.endswith("article.json")]
+    assert sorted(r["a"] for r in df.collect()) == list(range(60))
+
+
 def test_scan_filtered_case_insensitive_and_limit(spark, tmpdir_path):
     _write_corpus(tmpdir_path)
     assert scan_articles_filtered(spark, tmpdir_path, ".json").count() == 2
