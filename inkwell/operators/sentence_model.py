@@ -10,12 +10,14 @@ Sentence Boundary Detection", 2006) from one aggregate over all texts: counts of
 * sentence starters: types that follow sentence breaks more than by chance;
 * collocations: pairs over an abbreviation's period that belong together.
 
-The three sets are dictionaries, not corpus data: a type or pair needs one in
-``MAX_TYPES`` of all words with a period, so each has at most ``MAX_TYPES``
-entries whatever the corpus.  Breaks are then a projection of each row: after
-``!`` and ``?``, after a period that is not an abbreviation's (nor an initial's),
-and after an abbreviation before a capitalised sentence starter that is no
-collocation with it; not after ``...`` before a small letter.
+No type or pair is left out for being rare.  Breaks are a projection of each
+row: after ``!`` and ``?``, after a period that is not an abbreviation's (nor an
+initial's), and after an abbreviation before a capitalised sentence starter that
+is no collocation with it; not after ``...`` before a small letter.  Sets of up to
+``LITERALS`` entries are dictionaries of the plan (``SentenceModel``).  Larger ones
+stay tables (``SentenceTables``): the pairs over periods of each row are joined with
+them, and a row gets the pairs that do not end a sentence, a list as long as a
+text has different ones.
 
 Sentences are their words joined by one space.  A null text gives null, a blank
 one no sentence; an empty corpus teaches nothing, and every period breaks."""
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import SENTENCE_BREAK, WHITESPACE, bind, literal_lookup
 from inkwell.session import materialize_table
 
-#: A type or pair needs one in so many of all words with a period.
-MAX_TYPES = 100_000
+#: Entries of a set that the driver collects; with more, the sets stay tables.
+LITERALS = 100_000
 #: Bounds of the paper: weighted score of an abbreviation, likelihood ratios of
 #: a sentence starter and of a collocation.
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
@@ -57,17 +59,27 @@ def _type(bare: Column) -> Column:
     return F.lower(F.when(bare.endswith("."), F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare))
 
 
-def type_counts(df: DataFrame, text: str) -> DataFrame:
-    """(type, period, next, n) over all texts; ``next`` only behind a period."""
+def _capital(bare: Column) -> Column:
+    return bare.rlike(r"^\p{Lu}")
+
+
+def _words(text: Column, *more: Callable[[Column], Column]) -> Column:
+    """Array of (type, period, next) and what ``more`` takes of the next bare
+    word; ``next`` and these only behind a period."""
     def described(word: Column) -> Column:
-        return bind(_core(word), lambda core: F.struct(_type(_bare(core)).alias("type"), core.endswith(".").alias("period")))
+        return bind(_core(word), lambda core: F.struct(
+            _type(_bare(core)).alias("type"), core.endswith(".").alias("period"), *[f(_bare(core)).alias(f"m{k}") for k, f in enumerate(more)]))
 
     def rows(words: Column) -> Column:
-        return F.transform(words, lambda w, i: F.struct(
-            w["type"].alias("type"), w["period"].alias("period"), F.when(w["period"], F.get(words, i + 1)["type"]).alias("next")))
+        return F.transform(words, lambda w, i: F.struct(w["type"].alias("type"), w["period"].alias("period"), *[
+            F.when(w["period"], F.get(words, i + 1)[of]).alias(name) for of, name in (("type", "next"), *((f"m{k}", f"m{k}") for k in range(len(more))))]))
+
+    return bind(F.transform(tokens(text), described), rows)
 
-    words = F.transform(tokens(F.col(text)), described)
-    return df.select(F.explode(bind(words, rows)).alias("w")).select("w.*").groupBy("type", "period", "next").agg(F.count("*").alias("n"))
+
+def type_counts(df: DataFrame, text: str) -> DataFrame:
+    """(type, period, next, n) over all texts; ``next`` only behind a period."""
+    return df.select(F.explode(_words(F.col(text))).alias("w")).select("w.*").groupBy("type", "period", "next").agg(F.count("*").alias("n"))
 
 
 def _chance(p: Column) -> Column:
@@ -90,6 +102,33 @@ def pair_ratio(first: Column, second: Column, both: Column, n: Column) -> Column
                  - _log_likelihood(both, first, p1) - _log_likelihood(second - both, n - first, p2))
 
 
+def _is_initial(kind: Column) -> Column:
+    return kind.rlike(r"^\p{L}$")
+
+
+def _splitter(ends: Callable[[Column, Column], Column]) -> Callable[[Column], Column]:
+    """``ends``: does a period behind this type end a sentence before this bare word?"""
+    def period_ends(core: Column, following: Column) -> Column:
+        def judged(bare: Column) -> Column:
+            dots = core.endswith("...") & bare.rlike(r"^\p{Ll}")
+            return F.when(dots, False).otherwise(bind(_type(_bare(core)), lambda kind: ends(kind, bare)))
+        return bind(_bare(_core(following)), judged)
+
+    def breaks(words: Column, word: Column, i: Column) -> Column:
+        following = F.get(words, i + 1)
+        return F.when(following.isNull(), False).otherwise(bind(_core(word), lambda core: F.when(
+            core.endswith("!") | core.endswith("?"), True).when(core.endswith("."), period_ends(core, following)).otherwise(False)))
+
+    def split(text: Column) -> Column:
+        def marked(words: Column) -> Column:
+            return F.transform(words, lambda w, i: F.concat(w, F.when(breaks(words, w, i), F.lit(SENTENCE_BREAK)).otherwise(F.lit(" "))))
+
+        joined = F.array_join(bind(tokens(text), marked), "")
+        return F.filter(F.transform(F.split(joined, SENTENCE_BREAK), lambda s: F.trim(s)), lambda s: s != "")
+
+    return split
+
+
 @dataclass(frozen=True)
 class SentenceModel:
     abbreviations: frozenset[str]
@@ -102,48 +141,74 @@ class SentenceModel:
             self.abbreviations, self.starters, {" ".join(pair) for pair in self.collocations})]
         abbreviation, starter, collocation = ((lambda c, look=look: look(c).isNotNull()) for look in known)
 
-        def period_ends(core: Column, following: Column) -> Column:
-            """Does the period end a sentence before this word?"""
-            def judged(bare: Column) -> Column:
-                def own_ends(kind: Column) -> Column:
-                    after = _type(bare)
-                    starts = bare.rlike(r"^\p{Lu}") & starter(after) & ~collocation(F.concat_ws(" ", kind, after))
-                    return F.when(abbreviation(kind) | kind.rlike(r"^\p{L}$"), starts).otherwise(True)
-                dots = core.endswith("...") & bare.rlike(r"^\p{Ll}")
-                return F.when(dots, False).otherwise(bind(_type(_bare(core)), own_ends))
-            return bind(_bare(_core(following)), judged)
+        def ends(kind: Column, bare: Column) -> Column:
+            after = _type(bare)
+            starts = _capital(bare) & starter(after) & ~collocation(F.concat_ws(" ", kind, after))
+            return F.when(abbreviation(kind) | _is_initial(kind), starts).otherwise(True)
+
+        return _splitter(ends)
 
-        def breaks(words: Column, word: Column, i: Column) -> Column:
-            following = F.get(words, i + 1)
-            return F.when(following.isNull(), False).otherwise(bind(_core(word), lambda core: F.when(
-                core.endswith("!") | core.endswith("?"), True).when(core.endswith("."), period_ends(core, following)).otherwise(False)))
+    def over(self, df: DataFrame, text: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+        """``df`` and a splitter for its ``text``."""
+        return df, self.splitter()
 
-        def split(text: Column) -> Column:
-            def marked(words: Column) -> Column:
-                return F.transform(words, lambda w, i: F.concat(w, F.when(breaks(words, w, i), F.lit(SENTENCE_BREAK)).otherwise(F.lit(" "))))
 
-            joined = F.array_join(bind(tokens(text), marked), "")
-            return F.filter(F.transform(F.split(joined, SENTENCE_BREAK), lambda s: F.trim(s)), lambda s: s != "")
+#: Column of a row's pairs that do not end a sentence.
+HELD = "_held_together"
 
-        return split
 
+def _pair(kind: Column, after: Column, capital: Column) -> Column:
+    return F.concat_ws(" ", kind, after, capital.cast("string"))
 
-def train_sentences(df: DataFrame, text: str, max_types: int = MAX_TYPES) -> SentenceModel:
-    """Learn from all texts of ``df``; the one pass over them is ``type_counts``."""
+
+@dataclass(frozen=True)
+class SentenceTables:
+    """The same sets as tables ``type``, ``next`` and ``type, next``."""
+    abbreviations: DataFrame
+    starters: DataFrame
+    collocations: DataFrame
+
+    def over(self, df: DataFrame, text: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+        """``df`` with the column ``HELD``, and a splitter for its ``text``.  The
+        rows are written and numbered, so keys may repeat."""
+        rows = materialize_table(df.withColumn("_row", F.monotonically_increasing_id()), "sentence-texts")
+        asked = F.array_distinct(F.filter(_words(F.col(text), _capital), lambda w: w["next"].isNotNull()))
+        pairs = rows.select("_row", F.explode(asked).alias("w")).select("_row", "w.type", "w.next", F.col("w.m0").alias("capital"))
+        own = _flagged(pairs, self.abbreviations, ["type"], "abbreviation").where(F.col("abbreviation") | _is_initial(F.col("type")))
+        known = _flagged(_flagged(own, self.starters, ["next"], "starter"), self.collocations, ["type", "next"], "together")
+        held = known.where(~(F.col("capital") & F.col("starter") & ~F.col("together"))) \
+            .groupBy("_row").agg(F.collect_list(_pair(F.col("type"), F.col("next"), F.col("capital"))).alias(HELD))
+
+        def ends(kind: Column, bare: Column) -> Column:
+            return ~F.coalesce(F.array_contains(F.col(HELD), _pair(kind, _type(bare), _capital(bare))), F.lit(False))
+
+        return rows.join(held, "_row", "left").drop("_row"), _splitter(ends)
+
+
+def _flagged(df: DataFrame, entries: DataFrame, on: list[str], name: str) -> DataFrame:
+    """``df`` with the boolean ``name``: is the row's key an entry?"""
+    return df.join(entries.withColumn("_known", F.lit(True)), on, "left") \
+        .withColumn(name, F.col("_known").isNotNull()).drop("_known")
+
+
+def train_sentences(df: DataFrame, text: str, max_types: int | None = None) -> SentenceModel | SentenceTables:
+    """Learn from all texts of ``df``; the one pass over them is ``type_counts``.
+    With ``max_types`` a type or pair needs one in so many of all words with a
+    period."""
     counts = materialize_table(type_counts(df, text), "sentence-types")
     types = counts.groupBy("type").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("period"), F.col("n")).otherwise(0)).alias("dotted"))
     n, dotted = types.agg(F.sum("total"), F.sum("dotted")).first()
     if not dotted:
         return SentenceModel(frozenset(), frozenset(), frozenset())
-    at_least = dotted / max_types
+    at_least = dotted / max_types if max_types else 1
     plain = F.length(F.replace("type", F.lit("."), F.lit("")))
     score = (period_ratio(F.col("dotted"), F.col("total"), F.lit(dotted / n)) * F.exp(-plain)
              * (F.length("type") - plain + 1) * F.pow(plain.cast("double"), -(F.col("total") - F.col("dotted")).cast("double")))
-    found = types.filter(F.col("type").rlike(r"\p{L}") & (F.col("dotted") >= at_least)).filter(score >= ABBREVIATION).select("type")
-    abbreviations = frozenset(r["type"] for r in found.collect())
+    abbreviations = types.filter(F.col("type").rlike(r"\p{L}") & (F.col("dotted") >= at_least)).filter(score >= ABBREVIATION).select("type")
+    abbreviations = materialize_table(abbreviations, "abbreviations")
 
-    own = (literal_lookup(dict.fromkeys(abbreviations, 1), "int")(F.col("type")).isNotNull() | F.col("type").rlike(r"^\p{L}$"))
-    pairs = counts.filter("period AND next IS NOT NULL").withColumn("own", own)
+    pairs = _flagged(counts.filter("period AND next IS NOT NULL"), abbreviations, ["type"], "known") \
+        .withColumn("own", F.col("known") | _is_initial(F.col("type")))
     follower = types.select(F.col("type").alias("next"), F.col("total").alias("next_total"))
     breaks = pairs.filter("NOT own").agg(F.sum("n")).first()[0] or 0
     attracted = F.col("both") * n > F.col("first") * F.col("next_total")
@@ -153,5 +218,8 @@ def train_sentences(df: DataFrame, text: str, max_types: int = MAX_TYPES) -> Sen
     together = (pairs.filter("own").select("type", "next", F.col("n").alias("both")).filter((F.col("both") > 1) & (F.col("both") >= at_least))
                 .join(follower, "next").join(types.select("type", F.col("dotted").alias("first")), "type").filter(attracted))
     collocations = together.filter(pair_ratio(F.col("first"), F.col("next_total"), F.col("both"), F.lit(n)) > COLLOCATION).select("type", "next")
-    return SentenceModel(abbreviations, frozenset(r["next"] for r in starters.collect()),
-                         frozenset((r["type"], r["next"]) for r in collocations.collect()))
+    tables = [abbreviations, materialize_table(starters, "starters"), materialize_table(collocations, "collocations")]
+    if max(t.count() for t in tables) > LITERALS:
+        return SentenceTables(*tables)
+    known = [t.collect() for t in tables]
+    return SentenceModel(*(frozenset(r[0] for r in rows) for rows in known[:2]), frozenset(map(tuple, known[2])))

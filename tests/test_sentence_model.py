@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.operators.sentence_model import SentenceModel, train_sentences
+from inkwell.operators import sentence_model
+from inkwell.operators.sentence_model import SentenceModel, SentenceTables, train_sentences
 from inkwell.operators.sentiment import sentences
 
 CORPUS = (["Dr. Smith came. He left.", "We saw Dr. Jones. He waved.", "The old doctor spoke. He was tired.", "Ask Dr. Brown today. He knows."] * 8
@@ -56,3 +57,25 @@ def test_sets_are_bounded(spark):
     assert len(few.abbreviations) <= 5 and len(few.starters) <= 5 and few.abbreviations <= {"dr", "co"}
     rows = texts(spark, CORPUS).select("k", F.lit(None).cast("string").alias("text"))
     assert train_sentences(rows, "text").abbreviations == frozenset()
+
+
+def test_rare_types_are_learned(spark):
+    """One of more than 100,000 words with a period."""
+    common = spark.range(105).select(F.repeat(F.lit("so it was and then ended. "), 1000).alias("text"))
+    rare = spark.createDataFrame([("we saw co. here",)], "text string")
+    model = train_sentences(common.unionByName(rare), "text")
+    assert "co" in model.abbreviations
+    assert split(spark, ["we saw co. here"], model) == [["we saw co. here"]]
+
+
+def test_large_sets_stay_tables(spark, model, monkeypatch):
+    monkeypatch.setattr(sentence_model, "LITERALS", 1)
+    large = train_sentences(texts(spark, CORPUS), "text")
+    assert isinstance(large, SentenceTables)
+    rows = [(1, "He asked Dr. Who?  Yes!\nHe did. Acme Co. of Leeds. Acme Co. He left."), (1, "J. Smith said (so.) Then he left"),
+            (None, "Wait... what? Well... Fine. Dr. Smith came."), (2, None), (2, ""), (2, "Dr."), (1, "J. Smith said (so.) Then he left"),
+            *enumerate(CORPUS)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    found, splitter = large.over(df, "text")
+    want = sentences(df, "text", ["k"], model.splitter()).collect()
+    assert sorted(map(str, sentences(found, "text", ["k"], splitter).collect())) == sorted(map(str, want))
