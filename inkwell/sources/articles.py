@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 
 from inkwell.functions.text import explode_indexed
 from inkwell.schema import ARTICLE
-from inkwell.sources.small_files import list_files, local_roots, read_small
+from inkwell.sources.small_files import TASKS, list_files, local_roots, read_small
 
-#: A scan with more tasks than ``TASKS`` has up to ``FILE_GROUPS`` times fewer:
-#: Spark packs about 30 small files into a partition.
-TASKS, FILE_GROUPS = 256, 32
+#: A scan by Spark's reader with more tasks than ``TASKS`` has up to ``FILE_GROUPS``
+#: times fewer: Spark packs about 30 small files into a partition.
+FILE_GROUPS = 32
 
 
 def scan_articles(spark: SparkSession, path: str | list[str], schema: T.StructType = ARTICLE,

@@ -33,6 +33,8 @@ from inkwell.session import materialize_table, ship_package
 LISTED = 10_000
 #: Folders of a listing task, files and bytes of a reading task, and of one batch.
 FOLDERS, FILES, BYTES, BATCH = 5_000, 2_000, 64 << 20, 4 << 20
+#: Up to so many tasks a scan heeds ``spark.sql.files.maxPartitionBytes``.
+TASKS = 256
 #: Larger files are Spark's to read.
 LARGE = 64 << 20
 
@@ -157,6 +159,7 @@ def read_small(listed: DataFrame) -> tuple[DataFrame, list[str]]:
     spark = listed.sparkSession
     small = listed.where(F.col("bytes") <= LARGE)
     n, total = small.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    tasks = max(1, min(n, spark.sparkContext.defaultParallelism), -(-n // FILES), -(-total // BYTES))
+    wanted = -(-total // max(1, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, min(wanted, TASKS))), -(-n // FILES), -(-total // BYTES))
     contents = small.select("path").repartition(tasks).mapInArrow(_read, "path_key string, file_name string, content string")
     return contents, [r["path"] for r in listed.where(F.col("bytes") > LARGE).select("path").collect()]
